@@ -1,6 +1,6 @@
 """The library's operators bound to the driver's tables, each with its SQL oracle."""
 
-from bindings import analytics  # noqa: F401
+from bindings import analytics, generating, nesting, profiling, reconciling, storing, typing  # noqa: F401
 from bindings.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -81,9 +81,15 @@ def as_items(value: Column, strict: bool = False) -> Column:
 
 
 def as_mapping(value: Column, strict: bool = False) -> Column:
-    """An array of pairs becomes a map; for a repeated key the last pair counts."""
-    pairs = F.filter(value, lambda p, i: ~F.exists(F.slice(value, i + 2, F.size(value)), lambda q: q[0] == p[0]))
-    return F.map_from_entries(F.transform(pairs, lambda p: F.struct(p[0], p[1])))
+    """An array of pairs (structs of two fields) becomes a map; for a repeated key the last pair counts."""
+    entries = F.transform(value, lambda pair: F.map_from_entries(F.array(pair)))
+
+    def key(entry: Column) -> Column:
+        return F.element_at(F.map_keys(entry), 1)
+
+    keys = F.transform(entries, key)
+    last = F.filter(entries, lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), key(e)))
+    return F.map_from_arrays(F.transform(last, key), F.transform(last, lambda e: F.element_at(F.map_values(e), 1)))
 
 
 #: Accepted type names and what they do.

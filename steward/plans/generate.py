@@ -43,9 +43,8 @@ WORDS = (
 
 ANCHOR = datetime(2025, 1, 1)
 YEAR = 365 * 24 * 3600
-MAX_ACCOUNTS = 3
-#: Candidates drawn per foreign key; each is valid with a probability of 2/3, and the first valid one is taken.
-CANDIDATES = 16
+# Every order in which three neighbouring users can have one, two and three accounts.
+SHARES = [[1, 2, 3], [1, 3, 2], [2, 1, 3], [2, 3, 1], [3, 1, 2], [3, 2, 1]]
 
 
 def row_numbers(spark: SparkSession, n: int) -> DataFrame:
@@ -65,13 +64,13 @@ def user_id(seed: int, user: Column) -> Column:
     return draws.uuid_text(_salt(seed, "user"), user)
 
 
-def account_id(seed: int, user: Column, slot: Column) -> Column:
-    return draws.uuid_text(_salt(seed, "account"), user, slot)
+def account_id(seed: int, account: Column) -> Column:
+    return draws.uuid_text(_salt(seed, "account"), account)
 
 
-def account_count(seed: int, user: Column) -> Column:
-    """How many accounts a user has: 1 to 3."""
-    return draws.below(MAX_ACCOUNTS, _salt(seed, "accounts"), user) + 1
+def account_total(users: int) -> int:
+    """How many accounts ``users`` users have together."""
+    return 2 * users
 
 
 def users_v1(
@@ -87,118 +86,90 @@ def users_v1(
     )
 
 
-def accounts_v1(user_rows: DataFrame, seed: int = 0) -> DataFrame:
-    """One to three accounts for each user row."""
-    n, slot = F.col("row"), F.col("slot")
-    last = account_count(seed, n) - 1
-    return user_rows.select("row", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("slot")).select(
-        account_id(seed, n, slot).alias("account_id"),
-        user_id(seed, n).alias("user_id"),
-        draws.choice(ACCOUNT_TYPES, _salt(seed, "type"), n, slot).alias("account_type"),
-        draws.choice(CURRENCIES, _salt(seed, "currency"), n, slot).alias("currency"),
-    )
-
+def accounts_v1(user_rows: DataFrame, users: int, seed: int = 0) -> DataFrame:
+    """One to three accounts for each user row (G2), ``users`` being the number of all users.
 
-def _some_account(seed: int, name: str, users: int, other_than: Column | None, *parts: Column) -> Column:
-    """An account drawn uniformly over accounts, coded as ``user * 3 + slot``.
-
-    A draw over users would favour the accounts of users who have few. So user and slot are drawn together, and the
-    draw counts only if the user has that slot. ``coalesce`` stops at the first candidate that counts.
+    Three neighbouring users share six accounts, one, two and three in a drawn order; those left over at the end have
+    two each. So the accounts are numbered without gaps, from the user's number alone, and a draw of an account number
+    is uniform over accounts.
     """
-    drawn = [
-        draws.below(users * MAX_ACCOUNTS, _salt(seed, f"{name}{i}"), *parts) for i in range(CANDIDATES)
-    ]
-
-    def counts(code: Column) -> Column:
-        exists = code % MAX_ACCOUNTS < account_count(seed, F.floor(code / MAX_ACCOUNTS))
-        return exists if other_than is None else exists & (code != other_than)
-
-    valid = [F.when(counts(code), code) for code in drawn]
-    first_slot = drawn[0] - drawn[0] % MAX_ACCOUNTS
-    if other_than is not None:
-        # The first account of the next user: it exists and, with two users or more, is another one.
-        neighbour = (F.floor(other_than / MAX_ACCOUNTS) + 1) % users
-        first_slot = F.nullif(neighbour * MAX_ACCOUNTS, other_than)
-    return F.coalesce(*valid, first_slot)
+    user, account = F.col("row"), F.col("account")
+    trio, place = F.expr("row div 3"), user % 3
+    shares = F.array(*[F.array(*[F.lit(n) for n in share]) for share in SHARES])
+    drawn = F.element_at(shares, (draws.below(len(SHARES), _salt(seed, "shares"), trio) + 1).cast("int"))
+    share = F.when(trio < users // 3, F.col("_drawn")).otherwise(F.array(F.lit(2), F.lit(2), F.lit(2)))
+    before = F.when(place > 0, share[0]).otherwise(0) + F.when(place > 1, share[1]).otherwise(0)
+    first = trio * 6 + before
+    return (
+        user_rows.select("row", drawn.alias("_drawn"))
+        .select("row", first.alias("_first"), share[place.cast("int")].alias("_n"))
+        .select("row", F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_n") - 1)).alias("account"))
+        .select(
+            account_id(seed, account).alias("account_id"),
+            user_id(seed, user).alias("user_id"),
+            draws.choice(ACCOUNT_TYPES, _salt(seed, "type"), account).alias("account_type"),
+            draws.choice(CURRENCIES, _salt(seed, "currency"), account).alias("currency"),
+        )
+    )
 
 
-def _account_of(seed: int, code: Column) -> Column:
-    return F.when(code.isNotNull(), account_id(seed, F.floor(code / MAX_ACCOUNTS), code % MAX_ACCOUNTS))
+def _account(seed: int, name: str, users: int, *parts: Column) -> Column:
+    """The number of an account, uniform over all accounts."""
+    return draws.below(account_total(users), _salt(seed, name), *parts)
 
 
-def _transactions(coded: DataFrame, seed: int) -> DataFrame:
-    return coded.select(
-        "tx_id",
-        _account_of(seed, F.col("_src")).alias("src_account_id"),
-        _account_of(seed, F.col("_dest")).alias("dest_account_id"),
-        "amount",
-        "tx_type",
-        "timestamp",
-    )
+def _other_account(seed: int, name: str, users: int, taken: Column, *parts: Column) -> Column:
+    """The number of an account other than ``taken``: one of the rest is drawn, and those from ``taken`` on move up."""
+    drawn = draws.below(account_total(users) - 1, _salt(seed, name), *parts)
+    return drawn + F.when(drawn >= taken, 1).otherwise(0)
 
 
 def transactions_v1(rows: DataFrame, users: int, seed: int = 0, anchor: datetime = ANCHOR) -> DataFrame:
     """Ordinary transactions of the last year (G3). Only internal ones have a destination, another account."""
     n = F.col("row")
-    coded = rows.select(
+    drawn = rows.select(
         "row",
         draws.choice(TX_TYPES, _salt(seed, "txtype"), n).alias("tx_type"),
-        _some_account(seed, "src", users, None, n).alias("_src"),
-    ).withColumn(
-        "_dest", F.when(F.col("tx_type") == "Internal", _some_account(seed, "dest", users, F.col("_src"), n))
+        _account(seed, "src", users, n).alias("_src"),
     )
-    return _transactions(
-        coded.select(
-            draws.uuid_text(_salt(seed, "tx"), n).alias("tx_id"),
-            "_src",
-            "_dest",
-            draws.money("1", "5000", _salt(seed, "amount"), n).alias("amount"),
-            "tx_type",
-            draws.seconds_before(_anchor(anchor), YEAR, _salt(seed, "time"), n).alias("timestamp"),
-        ),
-        seed,
+    other = _other_account(seed, "dest", users, F.col("_src"), n)
+    return drawn.select(
+        draws.uuid_text(_salt(seed, "tx"), n).alias("tx_id"),
+        account_id(seed, F.col("_src")).alias("src_account_id"),
+        F.when(F.col("tx_type") == "Internal", account_id(seed, other)).alias("dest_account_id"),
+        draws.money("1", "5000", _salt(seed, "amount"), n).alias("amount"),
+        "tx_type",
+        draws.seconds_before(_anchor(anchor), YEAR, _salt(seed, "time"), n).alias("timestamp"),
     )
 
 
 def rapid_fire_v1(bursts: DataFrame, users: int, seed: int = 0, anchor: datetime = ANCHOR) -> DataFrame:
     """Planted bursts: for each row five internal transactions of one source, two seconds apart."""
     n, step = F.col("row"), F.col("step")
-    based = bursts.select(
-        "row",
-        _some_account(seed, "burstsrc", users, None, n).alias("_src"),
-        draws.seconds_before(_anchor(anchor), YEAR, _salt(seed, "bursttime"), n).alias("_base"),
-    )
-    coded = based.select("*", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("step")).select(
+    base = draws.seconds_before(_anchor(anchor), YEAR, _salt(seed, "bursttime"), n)
+    return bursts.select("row", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("step")).select(
         draws.uuid_text(_salt(seed, "bursttx"), n, step).alias("tx_id"),
-        "_src",
-        _some_account(seed, "burstdest", users, None, n, step).alias("_dest"),
+        account_id(seed, _account(seed, "burstsrc", users, n)).alias("src_account_id"),
+        account_id(seed, _account(seed, "burstdest", users, n, step)).alias("dest_account_id"),
         draws.money("10", "100", _salt(seed, "burstamount"), n, step).alias("amount"),
         F.lit("Internal").alias("tx_type"),
-        (F.col("_base") + F.make_dt_interval(secs=(step * 2).cast("decimal(18,6)"))).alias("timestamp"),
+        (base + F.make_dt_interval(secs=(step * 2).cast("decimal(18,6)"))).alias("timestamp"),
     )
-    return _transactions(coded, seed)
 
 
 def double_spend_v1(pairs: DataFrame, users: int, seed: int = 0, anchor: datetime = ANCHOR) -> DataFrame:
     """Planted pairs: for each row two equal transactions, each 10 to 500 ms after one base time."""
     n, step = F.col("row"), F.col("step")
-    based = pairs.select(
-        "row",
-        _some_account(seed, "pairsrc", users, None, n).alias("_src"),
-        _some_account(seed, "pairdest", users, None, n).alias("_dest"),
-        draws.money("500", "1000", _salt(seed, "pairamount"), n).alias("amount"),
-        draws.seconds_before(_anchor(anchor), YEAR, _salt(seed, "pairtime"), n).alias("_base"),
-    )
+    base = draws.seconds_before(_anchor(anchor), YEAR, _salt(seed, "pairtime"), n)
     millis = draws.below(491, _salt(seed, "pairdelay"), n, step) + 10
-    coded = based.select("*", F.explode(F.sequence(F.lit(0), F.lit(1))).alias("step")).select(
+    return pairs.select("row", F.explode(F.sequence(F.lit(0), F.lit(1))).alias("step")).select(
         draws.uuid_text(_salt(seed, "pairtx"), n, step).alias("tx_id"),
-        "_src",
-        "_dest",
-        "amount",
+        account_id(seed, _account(seed, "pairsrc", users, n)).alias("src_account_id"),
+        account_id(seed, _account(seed, "pairdest", users, n)).alias("dest_account_id"),
+        draws.money("500", "1000", _salt(seed, "pairamount"), n).alias("amount"),
         F.lit("Internal").alias("tx_type"),
-        (F.col("_base") + F.make_dt_interval(secs=millis.cast("decimal(18,6)") / 1000)).alias("timestamp"),
+        (base + F.make_dt_interval(secs=millis.cast("decimal(18,6)") / 1000)).alias("timestamp"),
     )
-    return _transactions(coded, seed)
 
 
 def fintech_v1(
@@ -219,7 +190,7 @@ def fintech_v1(
     )
     return {
         "users": users_v1(people, seed, anchor),
-        "accounts": accounts_v1(people, seed),
+        "accounts": accounts_v1(people, users, seed),
         "transactions": transactions,
     }
 
@@ -238,7 +209,7 @@ def accounts_v2(rows: DataFrame, users: int, seed: int = 0) -> DataFrame:
     """Accounts, each with a random owner."""
     n = F.col("row")
     return rows.select(
-        draws.uuid_text(_salt(seed, "account"), n).alias("account_id"),
+        account_id(seed, n).alias("account_id"),
         user_id(seed, draws.below(users, _salt(seed, "owner"), n)).alias("user_id"),
         draws.choice(ACCOUNT_CODES, _salt(seed, "type"), n).alias("type"),
     )
@@ -250,7 +221,7 @@ def transactions_v2(rows: DataFrame, accounts: int, seed: int = 0, anchor: datet
     source = draws.below(accounts, _salt(seed, "src"), n)
     return rows.select(
         draws.uuid_text(_salt(seed, "tx"), n).alias("tx_id"),
-        draws.uuid_text(_salt(seed, "account"), source).alias("src_id"),
+        account_id(seed, source).alias("src_id"),
         draws.money("1", "5000", _salt(seed, "amount"), n).alias("amount"),
         draws.seconds_before(_anchor(anchor), YEAR, _salt(seed, "time"), n).alias("ts"),
     )

@@ -16,33 +16,44 @@ class TableSpec:
     key: tuple[str, ...] = ()
 
 
-def _columns(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TEXT, _TIME = T.StringType(), T.TimestampNTZType()
+
+
+def _columns(**types: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, dtype) for name, dtype in types.items()])
 
 
 # Names, order and types of the columns. Identifiers are UUID texts.
 FINTECH_V1 = {
-    "users": TableSpec(_columns("user_id STRING, kyc_status STRING, country STRING, created_at TIMESTAMP_NTZ"), ("user_id",)),
+    "users": TableSpec(_columns(user_id=_TEXT, kyc_status=_TEXT, country=_TEXT, created_at=_TIME), ("user_id",)),
     "accounts": TableSpec(
-        _columns("account_id STRING, user_id STRING, account_type STRING, currency STRING"), ("account_id",)
+        _columns(account_id=_TEXT, user_id=_TEXT, account_type=_TEXT, currency=_TEXT), ("account_id",)
     ),
     "transactions": TableSpec(
         _columns(
-            "tx_id STRING, src_account_id STRING, dest_account_id STRING, amount DECIMAL(18,2), tx_type STRING, "
-            "timestamp TIMESTAMP_NTZ"
+            tx_id=_TEXT,
+            src_account_id=_TEXT,
+            dest_account_id=_TEXT,
+            amount=T.DecimalType(18, 2),
+            tx_type=_TEXT,
+            timestamp=_TIME,
         ),
         ("tx_id",),
     ),
 }
 FINTECH = {
-    "users": TableSpec(_columns("user_id STRING, kyc STRING, country STRING")),
-    "accounts": TableSpec(_columns("account_id STRING, user_id STRING, type STRING")),
-    "transactions": TableSpec(_columns("tx_id STRING, src_id STRING, amount DECIMAL(18,2), ts TIMESTAMP_NTZ")),
+    "users": TableSpec(_columns(user_id=_TEXT, kyc=_TEXT, country=_TEXT)),
+    "accounts": TableSpec(_columns(account_id=_TEXT, user_id=_TEXT, type=_TEXT)),
+    "transactions": TableSpec(_columns(tx_id=_TEXT, src_id=_TEXT, amount=T.DecimalType(18, 2), ts=_TIME)),
 }
 REVIEWS = {
     "reviews": TableSpec(
         _columns(
-            "review_id STRING, category STRING, text STRING, sentiment_score DECIMAL(5,2), sentiment_label STRING"
+            review_id=_TEXT,
+            category=_TEXT,
+            text=_TEXT,
+            sentiment_score=T.DecimalType(5, 2),
+            sentiment_label=_TEXT,
         )
     ),
 }
@@ -50,7 +61,10 @@ REVIEWS = {
 UUID_PATTERN = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
 
 
-def declare_table(spark: SparkSession, name: str, schema: T.StructType, if_absent: bool = True) -> None:
-    """Create an empty Parquet table. Without ``if_absent`` an existing table is an error."""
+def declare_table(
+    spark: SparkSession, name: str, schema: T.StructType, if_absent: bool = True, location: str | None = None
+) -> None:
+    """Create an empty Parquet table, at ``location`` if given. Without ``if_absent`` an existing table is an error."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(f"CREATE TABLE {'IF NOT EXISTS ' if if_absent else ''}{name} ({columns}) USING parquet")
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE {'IF NOT EXISTS ' if if_absent else ''}{name} ({columns}) USING parquet{place}")
