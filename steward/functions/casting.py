@@ -11,13 +11,20 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# White space a numeric literal may be wrapped in, and the literal's grammar.
+# White space around a literal, the characters of decimal literals, and the words for special values and booleans.
 BLANKS = " \t\n\r\f\x0b"
-NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+LITERAL_CHARACTERS = "0123456789+-.eE"
 DIGIT_GROUPING = r"(?<=[0-9])_(?=[0-9])"
 NOT_A_NUMBER = ["nan", "+nan", "-nan"]
 INFINITE = ["inf", "+inf", "infinity", "+infinity"]
 NEGATIVE_INFINITE = ["-inf", "-infinity"]
+TRUE_WORDS = ["t", "true", "y", "yes", "1"]
+FALSE_WORDS = ["f", "false", "n", "no", "0"]
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` worked out once, however often ``body`` uses it. For array expressions."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def _guarded(value: Column, target: str, strict: bool, result: Column) -> Column:
@@ -27,21 +34,28 @@ def _guarded(value: Column, target: str, strict: bool, result: Column) -> Column
     return F.when(value.isNotNull() & result.isNull(), F.raise_error(message)).otherwise(result)
 
 
+def _plain(text: Column) -> Column:
+    # Spark's own cast would also read suffixes such as '1d'; none of those is written with these characters.
+    literal = (F.translate(text, LITERAL_CHARACTERS + BLANKS, "") == "") & (text != "")
+    return F.when(literal, text.try_cast("double"))
+
+
 def _finite(value: Column) -> Column:
-    text = F.regexp_replace(F.btrim(value.cast("string"), F.lit(BLANKS)), DIGIT_GROUPING, "")
-    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+    text = value.cast("string")
+    return F.coalesce(
+        _plain(text), F.when(F.contains(text, F.lit("_")), _plain(F.regexp_replace(text, DIGIT_GROUPING, "")))
+    )
 
 
 def as_float(value: Column, strict: bool = False) -> Column:
     """A double, from decimal or exponent notation, ``nan`` or ``inf``; digits may be grouped by ``_``."""
     word = F.lower(F.btrim(value.cast("string"), F.lit(BLANKS)))
-    result = (
+    special = (
         F.when(word.isin(NOT_A_NUMBER), F.lit(float("nan")))
         .when(word.isin(INFINITE), F.lit(float("inf")))
         .when(word.isin(NEGATIVE_INFINITE), F.lit(float("-inf")))
-        .otherwise(_finite(value))
     )
-    return _guarded(value, "float", strict, result)
+    return _guarded(value, "float", strict, F.coalesce(_finite(value), special))
 
 
 def as_integer(value: Column, strict: bool = False) -> Column:
@@ -67,7 +81,9 @@ def as_boolean(value: Column, strict: bool = False, mode: str = "token") -> Colu
         return F.coalesce(F.length(value.cast("string")) > 0, F.lit(False))
     if mode != "token":
         raise ValueError(f"unknown boolean mode {mode!r}; use 'token' or 'truthy'")
-    return _guarded(value, "boolean", strict, value.try_cast("boolean"))
+    word = F.lower(F.btrim(value.cast("string"), F.lit(BLANKS)))
+    result = F.when(word.isin(TRUE_WORDS), F.lit(True)).when(word.isin(FALSE_WORDS), F.lit(False))
+    return _guarded(value, "boolean", strict, result)
 
 
 def unchanged(value: Column, strict: bool = False) -> Column:
@@ -82,14 +98,22 @@ def as_items(value: Column, strict: bool = False) -> Column:
 
 def as_mapping(value: Column, strict: bool = False) -> Column:
     """An array of pairs (structs of two fields) becomes a map; for a repeated key the last pair counts."""
-    entries = F.transform(value, lambda pair: F.map_from_entries(F.array(pair)))
 
     def key(entry: Column) -> Column:
         return F.element_at(F.map_keys(entry), 1)
 
-    keys = F.transform(entries, key)
-    last = F.filter(entries, lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), key(e)))
-    return F.map_from_arrays(F.transform(last, key), F.transform(last, lambda e: F.element_at(F.map_values(e), 1)))
+    def content(entry: Column) -> Column:
+        return F.element_at(F.map_values(entry), 1)
+
+    def last_of_each(entries: Column) -> Column:
+        return let(
+            F.transform(entries, key),
+            lambda keys: F.filter(entries, lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), key(e))),
+        )
+
+    entries = F.transform(value, lambda pair: F.map_from_entries(F.array(pair)))
+    last = let(entries, last_of_each)
+    return let(last, lambda kept: F.map_from_arrays(F.transform(kept, key), F.transform(kept, content)))
 
 
 #: Accepted type names and what they do.

@@ -38,14 +38,9 @@ def money(low: str, high: str, salt: str, *parts: Column) -> Column:
 def uuid_text(salt: str, *parts: Column) -> Column:
     """An identifier in UUID form (version 4 layout) that depends on salt and parts only."""
     h = _digest(salt, *parts)
-    return F.concat_ws(
-        "-",
-        F.substring(h, 1, 8),
-        F.substring(h, 9, 4),
-        F.concat(F.lit("4"), F.substring(h, 14, 3)),
-        F.concat(F.lit("a"), F.substring(h, 18, 3)),
-        F.substring(h, 21, 12),
-    )
+    first, second = F.substring(h, 1, 8), F.substring(h, 9, 4)
+    third, fourth, last = F.substring(h, 14, 3), F.substring(h, 18, 3), F.substring(h, 21, 12)
+    return F.concat(first, F.lit("-"), second, F.lit("-4"), third, F.lit("-a"), fourth, F.lit("-"), last)
 
 
 def seconds_before(anchor: Column, span_seconds: int, salt: str, *parts: Column) -> Column:

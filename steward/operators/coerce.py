@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,20 +43,40 @@ def _check(df: DataFrame, types: Mapping[str, str]) -> None:
 
 
 def coerce(df: DataFrame, types: Mapping[str, str], strict: bool = False) -> DataFrame:
-    """C11: every column cast by its type name, in one projection.
+    """C11: every column cast by its type name, without a shuffle.
 
     ``strict`` fails the job at the first value that cannot be read. Otherwise such a value is NULL and the array
     column ``_reject`` says which columns were unreadable; it is empty for good rows.
     """
     _check(df, types)
-    results = {c: cast_as(F.col(c), types[c], strict) for c in df.columns}
-    out = [r.alias(c) for c, r in results.items()]
+    results = {f.name: _cast(f, types[f.name], strict) for f in df.schema.fields}
     if strict:
-        return df.select(*out)
+        return df.select(*[result.alias(c) for c, result in results.items()])
+    return _with_notes(df, results, types)
+
+
+def _cast(field: T.StructField, type_name: str, strict: bool) -> Column:
+    value = F.col(f"`{field.name}`")
+    if type_name in ("int", "integer") and isinstance(field.dataType, T.NumericType):
+        return value.cast("double").try_cast("bigint")  # a number needs no detour through text
+    return cast_as(value, type_name, strict)
+
+
+def _with_notes(df: DataFrame, results: Mapping[str, Column], kinds: Mapping[str, str]) -> DataFrame:
+    """The results under their names, and a note for each value that was given but could not be read."""
+    given = [c for c in results if c in df.columns]
+    # Two projections, so that a note looks at the finished value and does not work it out again.
+    both = df.select(
+        *[F.col(f"`{c}`").alias(f"_given{i}") for i, c in enumerate(given)],
+        *[result.alias(f"_read{i}") for i, result in enumerate(results.values())],
+    )
+    place = {c: i for i, c in enumerate(results)}
     notes = [
-        F.when(unreadable(F.col(c), r), F.lit(f"{c}: not a valid {types[c]}")) for c, r in results.items()
+        F.when(unreadable(F.col(f"_given{i}"), F.col(f"_read{place[c]}")), F.lit(f"{c}: not a valid {kinds[c]}"))
+        for i, c in enumerate(given)
     ]
-    return df.select(*out, F.array_compact(F.array(*notes)).alias(REJECT))
+    reject = F.array_compact(F.array(*notes)) if notes else F.array().cast("array<string>")
+    return both.select(*[F.col(f"_read{i}").alias(c) for c, i in place.items()], reject.alias(REJECT))
 
 
 def coerce_through(
@@ -79,32 +99,31 @@ def conform(df: DataFrame, schema: T.StructType, empty_as_null: bool = True) ->
     extra = [c for c in df.columns if c not in schema.fieldNames()]
     if extra:
         raise ValueError(f"the table has no column(s) {', '.join(extra)}")
-    out, notes = [], []
-    for field in schema.fields:
-        if field.name not in df.columns:
-            out.append(F.lit(None).cast(field.dataType).alias(field.name))
-            continue
-        given, held = F.col(field.name), df.schema[field.name].dataType
-        if isinstance(held, T.StringType) and empty_as_null:
-            given = empty_to_null(given)
-        if held == field.dataType:
-            result = given
-        elif not isinstance(held, T.StringType):
-            result = given.try_cast(field.dataType)
-        elif isinstance(field.dataType, T.BooleanType):
-            result = F.coalesce(flag_to_boolean(given), given.try_cast("boolean"))
-        elif isinstance(field.dataType, T.IntegralType):
+    if empty_as_null:
+        texts = [isinstance(f.dataType, T.StringType) for f in df.schema.fields]
+        df = df.select(
+            *[empty_to_null(F.col(f"`{c}`")).alias(c) if text else F.col(f"`{c}`") for c, text in zip(df.columns, texts)]
+        )
+    results = {f.name: _conformed(df, f) for f in schema.fields}
+    return _with_notes(df, results, {f.name: f.dataType.simpleString() for f in schema.fields})
+
+
+def _conformed(df: DataFrame, field: T.StructField) -> Column:
+    if field.name not in df.columns:
+        return F.lit(None).cast(field.dataType)
+    given, held, wanted = F.col(f"`{field.name}`"), df.schema[field.name].dataType, field.dataType
+    if held == wanted:
+        return given
+    if isinstance(held, T.StringType):
+        if isinstance(wanted, T.BooleanType):
+            return F.coalesce(flag_to_boolean(given), cast_as(given, "boolean"))
+        if isinstance(wanted, T.IntegralType):
             # Exact where the text is a plain integer, since identifiers may exceed 2^53.
-            result = F.coalesce(given.try_cast(field.dataType), cast_as(given, "int").try_cast(field.dataType))
-        elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            result = cast_as(given, "float").cast(field.dataType)
-        else:
-            result = given.try_cast(field.dataType)
-        out.append(result.alias(field.name))
-        kind = field.dataType.simpleString()
-        notes.append(F.when(unreadable(given, result), F.lit(f"{field.name}: not a valid {kind}")))
-    reject = F.array_compact(F.array(*notes)) if notes else F.array().cast("array<string>")
-    return df.select(*out, reject.alias(REJECT))
+            whole = given.rlike(r"^\s*[+-]?[0-9]+\s*$")
+            return F.coalesce(F.when(whole, given.try_cast(wanted)), cast_as(given, "int").try_cast(wanted))
+        if isinstance(wanted, (T.DoubleType, T.FloatType)):
+            return cast_as(given, "float").cast(wanted)
+    return given.try_cast(wanted)
 
 
 def accepted(df: DataFrame) -> DataFrame:

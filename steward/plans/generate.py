@@ -127,20 +127,17 @@ def _other_account(seed: int, name: str, users: int, taken: Column, *parts: Colu
 def transactions_v1(rows: DataFrame, users: int, seed: int = 0, anchor: datetime = ANCHOR) -> DataFrame:
     """Ordinary transactions of the last year (G3). Only internal ones have a destination, another account."""
     n = F.col("row")
-    drawn = rows.select(
-        "row",
-        draws.choice(TX_TYPES, _salt(seed, "txtype"), n).alias("tx_type"),
-        _account(seed, "src", users, n).alias("_src"),
-    )
-    other = _other_account(seed, "dest", users, F.col("_src"), n)
-    return drawn.select(
+    numbered = rows.select("row", _account(seed, "src", users, n).alias("_src"))
+    named = numbered.select(
         draws.uuid_text(_salt(seed, "tx"), n).alias("tx_id"),
         account_id(seed, F.col("_src")).alias("src_account_id"),
-        F.when(F.col("tx_type") == "Internal", account_id(seed, other)).alias("dest_account_id"),
+        account_id(seed, _other_account(seed, "dest", users, F.col("_src"), n)).alias("_other_id"),
         draws.money("1", "5000", _salt(seed, "amount"), n).alias("amount"),
-        "tx_type",
+        draws.choice(TX_TYPES, _salt(seed, "txtype"), n).alias("tx_type"),
         draws.seconds_before(_anchor(anchor), YEAR, _salt(seed, "time"), n).alias("timestamp"),
     )
+    destination = F.when(F.col("tx_type") == "Internal", F.col("_other_id")).alias("dest_account_id")
+    return named.select("tx_id", "src_account_id", destination, "amount", "tx_type", "timestamp")
 
 
 def rapid_fire_v1(bursts: DataFrame, users: int, seed: int = 0, anchor: datetime = ANCHOR) -> DataFrame:

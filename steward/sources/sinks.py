@@ -71,6 +71,7 @@ def append_rows(
     key: Sequence[str] = (),
     on_violation: str = "quarantine",
     mode: str = "append",
+    stage: bool = True,
 ) -> AppendReport:
     """Append rows to a catalog table and report what could not be appended.
 
@@ -78,9 +79,10 @@ def append_rows(
     whose key is NULL, repeated among the rows or present in the table are rejected; ``on_violation="fail"`` then
     appends nothing and raises. ``mode="overwrite"`` replaces the table's rows.
 
-    The outcome of the key check is stored in the shared scratch folder; when there are no violations, which is the
-    usual case, the rows are appended without any join. Counts are observed while the rows pass. Rejects are worked
-    out from the source again when they are read, and not at all if there are none.
+    The typed rows are stored once in the shared scratch folder, so what they are made from is worked out a single
+    time, and the rejects stay what they were when the table changes. The key check then reads the key columns only,
+    and without violations, which is the usual case, the rows are appended without a join. ``stage=False`` saves the
+    stored copy where the rows come from plain files: they are read again for the key check and for the rejects.
     """
     if on_violation not in ("quarantine", "fail"):
         raise ValueError("on_violation is 'quarantine' or 'fail'")
@@ -88,12 +90,17 @@ def append_rows(
     target = spark.table(table)
     if REJECT not in rows.columns:
         rows = conform(rows, target.schema)
+
     seen, kept = Observation("attempted"), Observation("appended")
     counted = rows.observe(seen, F.count(F.lit(1)).alias("n"))
+    if stage:
+        rows = counted = _stored(counted, "staged-rows")
     good, rejects = accepted(rows if key else counted), rejected(rows)
 
     if key:
-        violations = _stored_violations(accepted(counted), key, target if mode == "append" else None)
+        violations = _stored(
+            key_violations(accepted(counted), key, target if mode == "append" else None), "key-violations"
+        )
         if not violations.isEmpty():
             if on_violation == "fail":
                 raise KeyViolation(f"{table}: key ({', '.join(key)}) is absent, repeated or already stored")
@@ -106,11 +113,11 @@ def append_rows(
     return AppendReport(attempted, appended, rejects if appended < attempted else rejects.where(F.lit(False)))
 
 
-def _stored_violations(rows: DataFrame, key: Sequence[str], stored: DataFrame | None) -> DataFrame:
-    """The key violations, written to the shared scratch folder: they are read several times, and after the append."""
-    path = scratch_path(rows.sparkSession, "key-violations")
-    key_violations(rows, key, stored).write.parquet(path)
-    return rows.sparkSession.read.parquet(path)
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to, and read from, the shared scratch folder: it is used several times and must not change."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def load_csv(
@@ -124,4 +131,4 @@ def load_csv(
 ) -> AppendReport:
     """Load delimited files into a declared table (S2). Loading the same file twice appends it twice."""
     lines = read_typed_csv(spark, path, spark.table(table).schema, newline_free)
-    return append_rows(lines, table, key, on_violation, mode)
+    return append_rows(lines, table, key, on_violation, mode, stage=bool(key))
