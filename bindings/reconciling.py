@@ -41,6 +41,22 @@ def e1b(spark, sf):
     return reconcile.fresh_rows(*_events(spark, sf))
 
 
+@query(
+    "E1c_fresh_rows_by_digest",
+    """
+    SELECT doc_id, text, lang, CAST(n_chars AS DOUBLE) AS size FROM documents
+    EXCEPT ALL SELECT doc_id, text, CASE WHEN quality = 1 THEN lang END, CAST(n_chars AS DOUBLE)
+    FROM documents JOIN labels USING (doc_id)
+    """,
+)
+def e1c(spark, sf):
+    # The stored side has the labelled documents, some of them with an unknown language.
+    documents, size = table(spark, sf, "documents"), F.col("n_chars").cast("double").alias("size")
+    known = F.when(F.col("quality") == 1, F.col("lang")).alias("lang")
+    stored = documents.join(table(spark, sf, "labels"), "doc_id").select("doc_id", "text", known, size)
+    return reconcile.fresh_rows_by_digest(documents.select("doc_id", "text", "lang", size), stored)
+
+
 @query("E2_matched_rows", "SELECT o_custkey AS custkey FROM orders INTERSECT ALL SELECT c_custkey FROM customer")
 def e2(spark, sf):
     return reconcile.matched_rows(*_customers(spark, sf))

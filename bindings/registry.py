@@ -24,5 +24,13 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+_OPENED: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A table, opened once per application: opening reads the schema from a file footer, which is a job of its own."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _OPENED:
+        _OPENED[key] = spark.read.parquet(path)
+    return _OPENED[key]

@@ -145,7 +145,8 @@ KEY = ["l_orderkey", "l_linenumber"]
 def _appended(spark, sf, key):
     typed = coerce(texts(spark, sf), LINE_TYPES)
     name, place = _declared(spark, typed.drop(REJECT).schema)
-    report = sinks.append_rows(typed, name, key)
+    # Without a key one pass over the file is enough; with one, the typed rows are stored and read again.
+    report = sinks.append_rows(typed, name, key, stage=bool(key))
     return report, _contents(spark, name, place)
 
 

@@ -4,22 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from steward.operators.keys import split_violations
+from steward.session import stored
 
 #: A row repeated more often than this is spread over tasks before it is written out again and again.
 COPIES_PER_TASK = 1_000_000
 
 
+def _check_shape(incoming: DataFrame, stored: DataFrame) -> None:
+    if set(incoming.columns) != set(stored.columns):
+        raise ValueError(f"columns differ: {sorted(incoming.columns)} and {sorted(stored.columns)}")
+    kinds = [(f.name, incoming.schema[f.name].dataType.simpleString(), f.dataType.simpleString()) for f in stored.schema]
+    clash = [name for name, one, other in kinds if one != other]
+    if clash:
+        raise ValueError(f"types differ in {', '.join(clash)}; bring the incoming rows to the table's types first")
+
+
 def paired_counts(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     """Each distinct row with the number of its copies on either side, ``_incoming`` and ``_stored``.
 
     Rows are equal when all columns are, NULL being equal to NULL; the order of the columns does not matter. Both
     sides are counted in one aggregation that combines before it shuffles, so many copies of a row travel as one.
     """
-    if set(incoming.columns) != set(stored.columns):
-        raise ValueError(f"columns differ: {sorted(incoming.columns)} and {sorted(stored.columns)}")
-    clash = [f.name for f in stored.schema.fields if incoming.schema[f.name].dataType.simpleString() != f.dataType.simpleString()]
-    if clash:
-        raise ValueError(f"types differ in {', '.join(clash)}; bring the incoming rows to the table's types first")
+    _check_shape(incoming, stored)
     names = [F.col(f"`{c}`") for c in stored.columns]
     left = incoming.select(*names, F.lit(1).alias("_i"), F.lit(0).alias("_s"))
     right = stored.select(*names, F.lit(0).alias("_i"), F.lit(1).alias("_s"))
@@ -55,6 +64,40 @@ def fresh_rows(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     return _bag(incoming, stored, F.col("_incoming") - F.col("_stored"))
 
 
+def _digest(df: DataFrame) -> Column:
+    """SHA-256 of a row: equal for equal rows, and different for others as far as anyone can tell."""
+
+    def part(field: T.StructField) -> Column:
+        value = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+            return (value + F.lit(0.0).cast(field.dataType)).alias(field.name)  # -0.0 equals 0.0
+        if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
+            return value.cast("string").alias(field.name)
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            raise ValueError(f"column {field.name}: nested columns have no digest; use fresh_rows")
+        return value.alias(field.name)
+
+    record = F.struct(*[part(df.schema[c]) for c in sorted(df.columns)])
+    return F.unhex(F.sha2(F.to_json(record).cast("binary"), 256))
+
+
+def fresh_rows_by_digest(incoming: DataFrame, stored_rows: DataFrame) -> DataFrame:
+    """The result of :func:`fresh_rows`, for wide rows of which few are fresh.
+
+    Only 32-byte digests of the rows are shuffled to find what is fresh; the incoming rows are then read again and
+    just the fresh ones are shuffled whole. The fresh digests are stored in the shared scratch folder, which is an
+    action. Columns must not be nested. For the table-only rows (E3) swap the arguments.
+    """
+    _check_shape(incoming, stored_rows)
+    marked = incoming.select(*[F.col(f"`{c}`") for c in stored_rows.columns], _digest(incoming).alias("_digest"))
+    counted = paired_counts(marked.select("_digest"), stored_rows.select(_digest(stored_rows).alias("_digest")))
+    fresh = counted.where("_incoming > _stored").select("_digest", (F.col("_incoming") - F.col("_stored")).alias("n"))
+    fresh = stored(fresh, "fresh-digests")
+    _, rows = split_violations(marked, fresh, ["_digest"])
+    once = rows.distinct()
+    return repeat_rows(once.join(fresh, "_digest").drop("_digest"), "n")
+
+
 def matched_rows(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     """Incoming rows that have an equal row in the table."""
     return _bag(incoming, stored, F.least("_incoming", "_stored"))

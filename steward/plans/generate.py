@@ -47,9 +47,14 @@ YEAR = 365 * 24 * 3600
 SHARES = [[1, 2, 3], [1, 3, 2], [2, 1, 3], [2, 3, 1], [3, 1, 2], [3, 2, 1]]
 
 
+#: Rows that one task makes, so that a written part stays below about 1 GB.
+ROWS_PER_TASK = 4_000_000
+
+
 def row_numbers(spark: SparkSession, n: int) -> DataFrame:
     """``n`` rows numbered from 0 in the column ``row``, spread over the cluster."""
-    return spark.range(n).select(F.col("id").alias("row"))
+    tasks = max(1, min(n, spark.sparkContext.defaultParallelism), -(-n // ROWS_PER_TASK))
+    return spark.range(0, n, 1, tasks).select(F.col("id").alias("row"))
 
 
 def _anchor(anchor: datetime) -> Column:

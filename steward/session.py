@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings every operator assumes. Memory, parallelism and the master stay with the deployment.
 REQUIRED_CONF = {
@@ -14,6 +14,8 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Call sites are only recorded for error messages and make building a plan several times slower.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -47,3 +49,13 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below :func:`scratch_root`; nothing is created there yet."""
     return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to, and read from, the shared scratch folder: for what is used several times or must not change.
+
+    The files stay, since the result and what is derived from it read them; clear the folder as its owner sees fit.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

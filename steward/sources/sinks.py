@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from steward.operators.coerce import REJECT, accepted, conform, rejected
 from steward.operators.keys import key_violations, split_violations
-from steward.session import scratch_path
+from steward.session import stored
 from steward.sources.files import read_typed_csv
 
 #: Six digits, so that no time stamp loses its fraction.
@@ -94,13 +94,12 @@ def append_rows(
     seen, kept = Observation("attempted"), Observation("appended")
     counted = rows.observe(seen, F.count(F.lit(1)).alias("n"))
     if stage:
-        rows = counted = _stored(counted, "staged-rows")
+        rows = counted = stored(counted, "staged-rows")
     good, rejects = accepted(rows if key else counted), rejected(rows)
 
     if key:
-        violations = _stored(
-            key_violations(accepted(counted), key, target if mode == "append" else None), "key-violations"
-        )
+        taken = target if mode == "append" else None
+        violations = stored(key_violations(accepted(counted), key, taken), "key-violations")
         if not violations.isEmpty():
             if on_violation == "fail":
                 raise KeyViolation(f"{table}: key ({', '.join(key)}) is absent, repeated or already stored")
@@ -113,13 +112,6 @@ def append_rows(
     return AppendReport(attempted, appended, rejects if appended < attempted else rejects.where(F.lit(False)))
 
 
-def _stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to, and read from, the shared scratch folder: it is used several times and must not change."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def load_csv(
     spark: SparkSession,
     path: str | list[str],

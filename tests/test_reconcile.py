@@ -2,6 +2,7 @@
 
 import random
 from collections import Counter
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -33,6 +34,19 @@ def test_random_bags(spark):
     assert bag(reconcile.stored_only_rows(left, right)) == Counter(b) - Counter(a)
 
 
+def test_random_bags_by_digest(spark):
+    rng = random.Random(6)
+    times = [None, datetime(2024, 1, 1), datetime(2024, 1, 1, 0, 0, 0, 1)]
+    draw = lambda n: [(rng.choice([None, 0.0, 1.5]), rng.choice([None, "", "x"]), rng.choice(times)) for _ in range(n)]
+    a, b = draw(200), draw(100)
+    left, right = (spark.createDataFrame(rows, "d double, s string, t timestamp_ntz") for rows in (a, b))
+    assert bag(reconcile.fresh_rows_by_digest(left, right.select("t", "s", "d")).select("d", "s", "t")) == Counter(a) - Counter(b)
+    minus = left.select((-F.col("d")).alias("d"), "s", "t")
+    assert bag(reconcile.fresh_rows_by_digest(minus.where("d = 0"), left)) == Counter()
+    with pytest.raises(ValueError, match="nested"):
+        reconcile.fresh_rows_by_digest(*[left.select(F.array("d").alias("l"))] * 2)
+
+
 def test_empty_sides(spark):
     some = spark.createDataFrame([(1,)], "i int")
     none = some.where("i > 1")
