@@ -5,6 +5,7 @@ import re
 import pytest
 
 from __spark_entry__ import queries
+from bindings.registry import table
 from steward.operators import reconcile
 
 QUERIES = queries()
@@ -50,10 +51,19 @@ def test_aggregates_combine_before_they_shuffle(spark, sf, name):
 
 def test_copies_share_one_aggregation(spark, sf):
     """The two branches that write out few and many copies read the same exchange."""
-    df = QUERIES["E1_fresh_rows"](spark, sf)
-    df.collect()
-    final = plan(df).split("== Initial Plan ==")[0]
-    assert "ReusedExchange" in final
+    orders = table(spark, sf, "orders").selectExpr("o_custkey AS key")
+    customer = table(spark, sf, "customer").selectExpr("c_custkey AS key")
+    counted = reconcile.paired_counts(orders, customer).selectExpr("key", "_incoming AS n")
+    df = reconcile.repeat_rows(counted, "n", per_task=10)
+    assert len(df.collect()) == orders.count()
+    assert "ReusedExchange" in plan(df).split("== Initial Plan ==")[0]
+
+
+def test_frame_counts_share_no_hot_window(spark, sf):
+    """No window gathers a whole key: rows are partitioned by key and slice, only slice totals by key."""
+    text = plan(QUERIES["Q5_rapid_fire_in_frame"](spark, sf))
+    assert re.search(r"hashpartitioning\(_k0#\d+L?, _slice#\d+L?", text)
+    assert "RangeFrame, -" not in text
 
 
 def test_top_k_is_not_a_full_sort(spark, sf):
