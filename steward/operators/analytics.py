@@ -136,59 +136,75 @@ def rapid_fire_in_frame(
 
     A range frame is re-evaluated for each row and would hold all rows of a key in one task. Here each row opens at
     its time and closes one frame later, and the count is the running sum of openings and closings. The time line
-    of a key is cut into slices of ``slice_seconds`` (one frame by default), each a window partition of its own;
-    what is open at the start of a slice is the running total of the preceding slices, which are aggregated before
-    they shuffle. A key that fires extremely often can be cut finer with a smaller slice; the result is the same.
+    of a key is cut into slices, each a window partition of its own; slices are two frames long by default, and then
+    a row that is still open at the end of its slice opens the next one, all in a single shuffle. A key that fires
+    extremely often can be cut finer: with slices shorter than the frame, what is open at the start of a slice is the
+    running total of the preceding slices, which are aggregated in a second pass. The result is the same.
     """
     keys = [key] if isinstance(key, str) else list(key)
     frame = round(frame_seconds * 1_000_000)
-    width = round((slice_seconds or frame_seconds) * 1_000_000)
+    width = round(slice_seconds * 1_000_000) if slice_seconds else 2 * frame
     if frame <= 0 or width <= 0:
         raise ValueError("frame_seconds and slice_seconds must be positive")
 
-    key_cols = [F.col(k) for k in keys]
-    named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
     slots = [f"_k{i}" for i in range(len(keys))]
-    present = reduce(lambda a, b: a & b, [c.isNotNull() for c in key_cols + [F.col(ts)]])
-    timed = tx.where(present).withColumn("_at", _micros(F.col(ts)))
-    body = F.struct(*[F.col(c) for c in tx.columns])
-    opening = F.struct(F.col("_at").alias("at"), F.lit(0).alias("closing"), F.lit(1).alias("step"), body.alias("body"))
-    closing = F.struct(
-        (F.col("_at") + F.lit(frame)).alias("at"),
-        F.lit(1).alias("closing"),
-        F.lit(-1).alias("step"),
-        F.lit(None).alias("body"),
+    present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, ts]])
+    timed = tx.where(present).select(
+        *[F.col(k).alias(slot) for k, slot in zip(keys, slots)],
+        _micros(F.col(ts)).alias("_opens"),
+        F.struct(*[F.col(f"`{c}`") for c in tx.columns]).alias("_row"),
     )
-    marks = timed.select(*named, F.inline(F.array(opening, closing)))
-    marks = marks.withColumn("_slice", F.col("at") - F.pmod("at", F.lit(width)))
-
-    moves = timed.select(
-        *named,
-        F.inline(
-            F.array(
-                F.struct(F.col("_at").alias("at"), F.lit(1).alias("step")),
-                F.struct((F.col("_at") + F.lit(frame)).alias("at"), F.lit(-1).alias("step")),
-            )
-        ),
-    ).groupBy(*slots, (F.col("at") - F.pmod("at", F.lit(width))).alias("_slice")).agg(F.sum("step").alias("_net"))
-    before = Window.partitionBy(*slots).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    opened = moves.select(*slots, "_slice", F.coalesce(F.sum("_net").over(before), F.lit(0)).alias("_open"))
-
+    marks = _marks(timed, slots, frame, width)
     running = (
-        Window.partitionBy(*slots, "_slice")
-        .orderBy("at", "closing")
-        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy(*slots, "_slice").orderBy("_order").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return (
-        marks.withColumn("_run", F.sum("step").over(running))
-        .where(F.col("closing") == 0)
-        .join(opened, [*slots, "_slice"])
-        .withColumn("tx_count", F.col("_run") + F.col("_open"))
-        .where(F.col("tx_count") > more_than)
-        .select("body.*", "tx_count")
+    counted = marks.withColumn("_run", F.sum("_step").over(running)).where(F.col("_row").isNotNull())
+    if width < frame:
+        counted = counted.join(_open_at_start(timed, slots, frame, width), [*slots, "_slice"])
+        counted = counted.withColumn("_run", F.col("_run") + F.col("_open"))
+    return counted.where(F.col("_run") > more_than).select("_row.*", F.col("_run").alias("tx_count"))
+
+
+def _slice_of(at: Column, width: int) -> Column:
+    return at - F.pmod(at, F.lit(width))
+
+
+def _marks(timed: DataFrame, slots: list[str], frame: int, width: int) -> DataFrame:
+    """Openings (with the row) and closings, and, where slices hold a frame, what a slice finds open at its start.
+
+    At one time, what was open counts first, then openings, then closings, since a frame includes both its ends.
+    """
+    opens, closes = F.col("_opens"), F.col("_opens") + F.lit(frame)
+    carried, opened, closed = 0, 1, 2
+    kinds = F.array(F.lit(opened), F.lit(closed))
+    if width >= frame:
+        crosses = _slice_of(opens, width) != _slice_of(closes, width)
+        kinds = F.when(crosses, F.array(F.lit(opened), F.lit(closed), F.lit(carried))).otherwise(kinds)
+    kind = F.col("_kind")
+    at = F.when(kind == opened, opens).when(kind == closed, closes).otherwise(_slice_of(closes, width))
+    placed = timed.select("*", F.explode(kinds).alias("_kind")).withColumn("_at", at)
+    return placed.select(
+        *slots,
+        _slice_of(F.col("_at"), width).alias("_slice"),
+        (F.col("_at") * 3 + kind).alias("_order"),
+        F.when(kind == closed, -1).otherwise(1).alias("_step"),
+        F.when(kind == opened, F.col("_row")).alias("_row"),
     )
 
 
+def _open_at_start(timed: DataFrame, slots: list[str], frame: int, width: int) -> DataFrame:
+    """How many rows of the key each slice finds open at its start: the total of what happened before it."""
+    steps = timed.select(*slots, "_opens", F.explode(F.array(F.lit(1), F.lit(-1))).alias("_step"))
+    at = F.when(F.col("_step") > 0, F.col("_opens")).otherwise(F.col("_opens") + F.lit(frame))
+    net = (
+        steps.select(*slots, _slice_of(at, width).alias("_slice"), "_step")
+        .groupBy(*slots, "_slice")
+        .agg(F.sum("_step").alias("_net"))
+    )
+    before = Window.partitionBy(*slots).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    return net.select(*slots, "_slice", F.coalesce(F.sum("_net").over(before), F.lit(0)).alias("_open"))
+
+
 def double_spend(
     tx: DataFrame,
     same: Sequence[str],

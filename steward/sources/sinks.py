@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from steward.operators.coerce import REJECT, accepted, conform, rejected
 from steward.operators.keys import key_violations, split_violations
 from steward.session import stored
-from steward.sources.files import read_typed_csv
+from steward.sources.files import check_format, read_typed_csv
 
 #: Six digits, so that no time stamp loses its fraction.
 WRITTEN_TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
@@ -46,6 +46,11 @@ def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).options(encoding="UTF-8", **WRITTEN_TIMES).json(path)
 
 
+def write_records(df: DataFrame, path: str, extension: str, mode: str = "errorifexists") -> None:
+    """Files of a supported kind (S7, S8, S12): ``.csv`` or ``.json``."""
+    (write_csv if check_format(extension) == ".csv" else write_json)(df, path, mode)
+
+
 @dataclass(frozen=True)
 class AppendReport:
     """What became of the rows of an append."""

@@ -124,7 +124,9 @@ def test_write_and_read_back(spark, tmp_path):
     got = {r.i: r for r in files.read_csv(spark, str(tmp_path / "out.csv")).collect()}
     assert got["1"][1:] == (' padded "quoted", ', "2024-01-01T00:00:00.000001", "[1,2]")
     assert got["2"][1:] == ("two\nlines", None, None)
-    sinks.write_json(df, str(tmp_path / "out.json"))
+    sinks.write_records(df, str(tmp_path / "out.json"), ".json")
+    with pytest.raises(ValueError):
+        sinks.write_records(df, str(tmp_path / "out.xml"), ".xml")
     assert bag(files.read_json(spark, str(tmp_path / "out.json"), df.schema, lines=True).drop("l")) == bag(df.drop("l"))
 
 
@@ -174,17 +176,18 @@ def test_append_without_stored_copy(spark, new_table):
     assert [r.v for r in report.rejects.collect()] == ["b"]
 
 
-def test_file_to_table_and_again(spark, tmp_path, new_table):
+@pytest.mark.parametrize("by_digest", [False, True])
+def test_file_to_table_and_again(spark, tmp_path, new_table, by_digest):
     name = new_table(TYPED)
     path = tmp_path / "rows.csv"
     path.write_text("id,name,amt,ts,flag\n1,a,1.50,2024-01-01T00:00:00,t\n1,a,1.5,2024-01-01T00:00:00,t\nx,b,2,,f\n2,,3,,f\n")
-    report = load_fresh(spark, str(path), ".csv", name)
+    report = load_fresh(spark, str(path), ".csv", name, by_digest=by_digest)
     assert report.append.appended == 3
     assert [r.name for r in report.unreadable.collect()] == ["b"]
     assert bag(spark.table(name).select("id", "name")) == Counter({(1, "a"): 2, (2, None): 1})
-    assert load_fresh(spark, str(path), ".csv", name).append.appended == 0
+    assert load_fresh(spark, str(path), ".csv", name, by_digest=by_digest).append.appended == 0
     path.write_text(path.read_text() + "3,new,1,,t\n1,a,1.5,2024-01-01T00:00:00,t\n")
-    assert load_fresh(spark, str(path), ".csv", name).append.appended == 2
+    assert load_fresh(spark, str(path), ".csv", name, by_digest=by_digest).append.appended == 2
 
 
 def test_rejects_stay_when_the_table_changes(spark, tmp_path, new_table):
