@@ -226,17 +226,17 @@ def double_spend(
     width = round(slice_seconds * 1_000_000) if slice_seconds else 64 * max(limit, 1)
     if limit < 0 or width < limit:
         raise ValueError("the slice must be at least as long as the limit")
-    at, start = F.col("_at"), F.col("_at") - F.pmod("_at", F.lit(width))
-    own = F.struct(start.alias("_slice"), F.lit(True).alias("_own"))
-    next_one = F.struct((start + F.lit(width)).alias("_slice"), F.lit(False).alias("_own"))
-    shown = tx.where(F.col(ts).isNotNull()).withColumn("_at", _micros(F.col(ts))).select(
-        "*",
-        F.inline(F.when(at + F.lit(limit) >= start + F.lit(width), F.array(own, next_one)).otherwise(F.array(own))),
+    crosses = _slice_of(F.col("_at") + F.lit(limit), width) > _slice_of(F.col("_at"), width)
+    shown = (
+        tx.where(F.col(ts).isNotNull())
+        .withColumn("_at", _micros(F.col(ts)))
+        .withColumn("_next", F.explode(F.when(crosses, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+        .withColumn("_slice", _slice_of(F.col("_at"), width) + F.col("_next") * F.lit(width))
     )
     order = Window.partitionBy(*same, "_slice").orderBy("_at", tx_id)
     return (
         shown.withColumn("previous_id", F.lag(tx_id).over(order))
         .withColumn("gap_micros", F.col("_at") - F.lag("_at").over(order))
-        .where(F.col("_own") & (F.col("gap_micros") <= limit))
+        .where((F.col("_next") == 0) & (F.col("gap_micros") <= limit))
         .select(*tx.columns, "previous_id", "gap_micros")
     )

@@ -73,9 +73,10 @@ def column_profile(
     per column. Both counts combine before they shuffle.
     """
     fields = _profiled(df, columns, skip)
-    pairs = F.array(*[F.struct(F.lit(f.name).alias("column_name"), _comparable(f).alias("value")) for f in fields])
+    names = [f.name for f in fields]
     counted = (
-        df.select(F.inline(pairs))
+        df.select(*[_comparable(f).alias(f.name) for f in fields])
+        .unpivot([], [F.col(f"`{name}`") for name in names], "column_name", "value")
         .groupBy("column_name", "value")
         .agg(F.count(F.lit(1)).alias("_copies"))
         .groupBy("column_name")

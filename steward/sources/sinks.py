@@ -86,8 +86,8 @@ def append_rows(
 
     The typed rows are stored once in the shared scratch folder, so what they are made from is worked out a single
     time, and the rejects stay what they were when the table changes. The key check then reads the key columns only,
-    and without violations, which is the usual case, the rows are appended without a join. ``stage=False`` saves the
-    stored copy where the rows come from plain files: they are read again for the key check and for the rejects.
+    and without violations, which is the usual case, the rows are appended without a join. Without a key, ``stage=False``
+    saves the stored copy where the rows come from plain files; rejects are then worked out from the files again.
     """
     if on_violation not in ("quarantine", "fail"):
         raise ValueError("on_violation is 'quarantine' or 'fail'")
@@ -97,14 +97,15 @@ def append_rows(
         rows = conform(rows, target.schema)
 
     seen, kept = Observation("attempted"), Observation("appended")
+    # Observed just before a write, where a task that runs again is not counted again.
     counted = rows.observe(seen, F.count(F.lit(1)).alias("n"))
-    if stage:
+    if stage or key:
         rows = counted = stored(counted, "staged-rows")
-    good, rejects = accepted(rows if key else counted), rejected(rows)
+    good, rejects = accepted(counted), rejected(rows)
 
     if key:
         taken = target if mode == "append" else None
-        violations = stored(key_violations(accepted(counted), key, taken), "key-violations")
+        violations = stored(key_violations(good, key, taken), "key-violations")
         if not violations.isEmpty():
             if on_violation == "fail":
                 raise KeyViolation(f"{table}: key ({', '.join(key)}) is absent, repeated or already stored")
