@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Flags as database exports write them, case-exact, and the canonical time stamp text.
 TRUE_FLAGS = ["t", "TRUE"]
@@ -37,3 +38,20 @@ def canonical_time_text(text: Column) -> Column:
 def time_text(ts: Column, zone: bool = True) -> Column:
     """A stored time stamp as text, for comparing with a file that keeps times as text."""
     return F.date_format(ts, CANONICAL_TIME if zone else CANONICAL_TIME_NO_ZONE)
+
+
+def comparable_text(value: Column, dtype: T.DataType) -> Column:
+    """A text that is equal exactly for equal values of the type, NULL for NULL.
+
+    The entries of maps are taken in the order they are stored in.
+    """
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return (value + F.lit(0.0).cast(dtype)).cast("string")  # -0.0 equals 0.0
+    if isinstance(dtype, T.BinaryType):
+        return F.hex(value)
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(value.cast("timestamp")).cast("string")  # much cheaper than the calendar form
+    if isinstance(dtype, (T.ArrayType, T.StructType, T.MapType)):
+        micros = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+        return F.to_json(value, {"timestampFormat": micros, "timestampNTZFormat": micros, "ignoreNullFields": "false"})
+    return value.cast("string")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,11 +72,13 @@ def _with_notes(df: DataFrame, results: Mapping[str, Column], kinds: Mapping[str
         *[result.alias(f"_read{i}") for i, result in enumerate(results.values())],
     )
     place = {c: i for i, c in enumerate(results)}
-    notes = [
-        F.when(unreadable(F.col(f"_given{i}"), F.col(f"_read{place[c]}")), F.lit(f"{c}: not a valid {kinds[c]}"))
-        for i, c in enumerate(given)
-    ]
-    reject = F.array_compact(F.array(*notes)) if notes else F.array().cast("array<string>")
+    failed = {c: unreadable(F.col(f"_given{i}"), F.col(f"_read{place[c]}")) for i, c in enumerate(given)}
+    notes = [F.when(bad, F.lit(f"{c}: not a valid {kinds[c]}")) for c, bad in failed.items()]
+    reject = F.array().cast("array<string>")
+    if notes:
+        # Most rows are fine and get the constant empty array.
+        any_bad = reduce(lambda a, b: a | b, failed.values())
+        reject = F.when(any_bad, F.array_compact(F.array(*notes))).otherwise(reject)
     return both.select(*[F.col(f"_read{i}").alias(c) for c, i in place.items()], reject.alias(REJECT))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from steward.functions.nested import json_depth, schema_depth
+from steward.functions.normalize import comparable_text
 
 #: Bookkeeping columns that are never part of a key.
 NOT_PROFILED = ("created_at", "updated_at")
@@ -20,15 +21,7 @@ LONG_TEXT = 64
 
 def _comparable(field: T.StructField) -> Column:
     """The value as a text that is equal exactly for equal values; NULL when empty."""
-    col = F.col(f"`{field.name}`")
-    if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-        text = (col + F.lit(0.0).cast(field.dataType)).cast("string")  # -0.0 equals 0.0
-    elif isinstance(field.dataType, T.BinaryType):
-        text = F.hex(col)
-    elif isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType)):
-        text = F.to_json(col)
-    else:
-        text = col.cast("string")
+    text = comparable_text(F.col(f"`{field.name}`"), field.dataType)
     # A digest has 64 characters and is only used for longer texts, so it cannot equal a short text.
     short = F.when(F.length(text) < LONG_TEXT, text).otherwise(F.sha2(text.cast("binary"), 256))
     return F.nullif(short, F.lit(""))

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from steward.functions.normalize import comparable_text
 from steward.operators.keys import split_violations
 from steward.session import stored
 
 #: A row repeated more often than this is spread over tasks before it is written out again and again.
 COPIES_PER_TASK = 1_000_000
+#: Up to this many digests of 32 bytes are broadcast.
+FEW_DIGESTS = 1_000_000
 
 
 def _check_shape(incoming: DataFrame, stored: DataFrame) -> None:
@@ -66,19 +68,15 @@ def fresh_rows(incoming: DataFrame, stored: DataFrame) -> DataFrame:
 
 def _digest(df: DataFrame) -> Column:
     """SHA-256 of a row: equal for equal rows, and different for others as far as anyone can tell."""
-
-    def part(field: T.StructField) -> Column:
-        value = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            return (value + F.lit(0.0).cast(field.dataType)).alias(field.name)  # -0.0 equals 0.0
-        if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-            return value.cast("string").alias(field.name)
-        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            raise ValueError(f"column {field.name}: nested columns have no digest; use fresh_rows")
-        return value.alias(field.name)
-
-    record = F.struct(*[part(df.schema[c]) for c in sorted(df.columns)])
-    return F.unhex(F.sha2(F.to_json(record).cast("binary"), 256))
+    parts = []
+    for name in sorted(df.columns):
+        dtype = df.schema[name].dataType
+        if "map<" in dtype.simpleString():
+            raise ValueError(f"column {name}: maps have no digest, since their order is open; use fresh_rows")
+        text = comparable_text(F.col(f"`{name}`"), dtype)
+        # The length in front keeps neighbouring values apart; an absent value has none.
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.unhex(F.sha2(F.concat(*parts).cast("binary"), 256))
 
 
 def fresh_rows_by_digest(incoming: DataFrame, stored_rows: DataFrame) -> DataFrame:
@@ -86,14 +84,17 @@ def fresh_rows_by_digest(incoming: DataFrame, stored_rows: DataFrame) -> DataFra
 
     Only 32-byte digests of the rows are shuffled to find what is fresh; the incoming rows are then read again and
     just the fresh ones are shuffled whole. The fresh digests are stored in the shared scratch folder, which is an
-    action. Columns must not be nested. For the table-only rows (E3) swap the arguments.
+    action. Columns must not hold maps. For the table-only rows (E3) swap the arguments.
     """
     _check_shape(incoming, stored_rows)
     marked = incoming.select(*[F.col(f"`{c}`") for c in stored_rows.columns], _digest(incoming).alias("_digest"))
     counted = paired_counts(marked.select("_digest"), stored_rows.select(_digest(stored_rows).alias("_digest")))
     fresh = counted.where("_incoming > _stored").select("_digest", (F.col("_incoming") - F.col("_stored")).alias("n"))
     fresh = stored(fresh, "fresh-digests")
-    _, rows = split_violations(marked, fresh, ["_digest"])
+    if fresh.count() <= FEW_DIGESTS:
+        rows = marked.join(F.broadcast(fresh.select("_digest")), "_digest", "left_semi")
+    else:
+        _, rows = split_violations(marked, fresh, ["_digest"])
     once = rows.distinct()
     return repeat_rows(once.join(fresh, "_digest").drop("_digest"), "n")
 

@@ -34,7 +34,9 @@ def test_random_bags(spark):
     assert bag(reconcile.stored_only_rows(left, right)) == Counter(b) - Counter(a)
 
 
-def test_random_bags_by_digest(spark):
+@pytest.mark.parametrize("few", [0, 1000])
+def test_random_bags_by_digest(spark, monkeypatch, few):
+    monkeypatch.setattr(reconcile, "FEW_DIGESTS", few)
     rng = random.Random(6)
     times = [None, datetime(2024, 1, 1), datetime(2024, 1, 1, 0, 0, 0, 1)]
     draw = lambda n: [(rng.choice([None, 0.0, 1.5]), rng.choice([None, "", "x"]), rng.choice(times)) for _ in range(n)]
@@ -43,8 +45,13 @@ def test_random_bags_by_digest(spark):
     assert bag(reconcile.fresh_rows_by_digest(left, right.select("t", "s", "d")).select("d", "s", "t")) == Counter(a) - Counter(b)
     minus = left.select((-F.col("d")).alias("d"), "s", "t")
     assert bag(reconcile.fresh_rows_by_digest(minus.where("d = 0"), left)) == Counter()
-    with pytest.raises(ValueError, match="nested"):
-        reconcile.fresh_rows_by_digest(*[left.select(F.array("d").alias("l"))] * 2)
+    lists = left.select(F.array("d", F.lit(None)).alias("l"), F.struct("s", "t").alias("r"))
+    other = right.select(F.array("d", F.lit(None)).alias("l"), F.struct("s", "t").alias("r"))
+    want = Counter((str(x), str(y)) for x, y in lists.collect()) - Counter((str(x), str(y)) for x, y in other.collect())
+    got = Counter((str(x), str(y)) for x, y in reconcile.fresh_rows_by_digest(lists, other).collect())
+    assert got == want
+    with pytest.raises(ValueError, match="maps"):
+        reconcile.fresh_rows_by_digest(*[left.select(F.create_map(F.lit("k"), "d").alias("m"))] * 2)
 
 
 def test_empty_sides(spark):
