@@ -12,7 +12,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from steward.session import stored
+
 MONEY = "decimal(38,2)"
+#: Groups that one window may rank: one short row each.
+RANKED_IN_ONE_TASK = 1_000_000
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -90,31 +94,41 @@ def mean_by_group(df: DataFrame, group: str, value: str, scale: int = 2) -> Data
 def rank_by_mean(df: DataFrame, group: str, value: str, scale: int = 2) -> DataFrame:
     """Groups ranked by descending mean; equal means share a rank (Q7).
 
-    The ranking runs over one row per group. Groups are spread over equal-width slices of the range of means, ranked
-    inside their slice, and shifted by the number of groups in the higher slices, so no task sees all groups.
+    The means, one row per group, are stored in the shared scratch folder and counted, which is an action. Up to
+    ``RANKED_IN_ONE_TASK`` groups are ranked by one window. More are counted per distinct mean, so a mean that very
+    many groups share is one row, and the distinct means are ranked in slices between quantiles; the groups then
+    look their rank up.
     """
-    slices = 256
-    means = mean_by_group(df, group, value, scale)
-    span = means.agg(F.struct(F.min("mean_value").alias("lo"), F.max("mean_value").alias("hi")).alias("span")).scalar()
-    placed = means.withColumn("_span", span).withColumn(
-        "_slice",
-        F.when(
-            F.col("_span.hi") > F.col("_span.lo"),
-            F.floor((F.col("mean_value") - F.col("_span.lo")) / (F.col("_span.hi") - F.col("_span.lo")) * slices),
-        )
-        .otherwise(F.lit(0))
-        .cast("int"),
-    )
-    higher = Window.orderBy(F.col("_slice").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    means = stored(mean_by_group(df, group, value, scale), "means")
+    if means.count() <= RANKED_IN_ONE_TASK:
+        rank = F.rank().over(Window.orderBy(F.col("mean_value").desc_nulls_last()))
+        return means.withColumn("sentiment_rank", rank.cast("bigint"))
+    # A mean is finite, so this places groups without any value last.
+    sortable = F.coalesce("mean_value", F.lit(float("-inf"))).alias("_mean")
+    ranks = stored(_ranks(means.select(sortable)), "ranks")
+    return means.select("*", sortable).join(ranks, "_mean").drop("_mean")
+
+
+def _ranks(means: DataFrame) -> DataFrame:
+    """``_mean`` and ``sentiment_rank`` for each distinct value of ``_mean``, without a task that sees them all."""
+    slices = 1_000
+    finite = means.where(F.col("_mean") > float("-inf"))
+    bounds = sorted(set(finite.approxQuantile("_mean", [i / slices for i in range(1, slices)], 1 / slices)))
+    # The number of bounds that the mean reaches.
+    place = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]).cast("array<double>"), lambda b: b <= F.col("_mean")))
+    counted = means.groupBy("_mean").agg(F.count(F.lit(1)).alias("_n")).withColumn("_slice", place)
+    above = Window.orderBy(F.col("_slice").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    # At most as many rows as there are slices, whatever the data.
     offsets = (
-        placed.groupBy("_slice")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(F.col("_slice").alias("_s"), F.coalesce(F.sum("_n").over(higher), F.lit(0)).alias("_above"))
+        counted.groupBy("_slice")
+        .agg(F.sum("_n").alias("_n"))
+        .select("_slice", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_above"))
+    )
+    inside = Window.partitionBy("_slice").orderBy(F.col("_mean").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_n").over(inside), F.lit(0))
+    return counted.join(F.broadcast(offsets), "_slice").select(
+        "_mean", (before + F.col("_above") + 1).alias("sentiment_rank")
     )
-    # At most slices + 2 rows, whatever the data.
-    ranked = placed.join(F.broadcast(offsets), F.col("_slice").eqNullSafe(F.col("_s")))
-    inside = Window.partitionBy("_slice").orderBy(F.col("mean_value").desc_nulls_last())
-    return ranked.select(group, "mean_value", (F.rank().over(inside) + F.col("_above")).alias("sentiment_rank"))
 
 
 def _micros(ts: Column) -> Column:

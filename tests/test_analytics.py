@@ -108,6 +108,18 @@ def test_mean_and_rank(spark):
     assert alone == {"a": 1}
 
 
+def test_many_groups_are_ranked_alike(spark, monkeypatch):
+    rng = random.Random(8)
+    # Half of the groups share one mean, some have none.
+    rows = [(f"g{i}", str(rng.choice([0, 0, 0, rng.randrange(-300, 300) / 100])) if i % 50 else None) for i in range(3000)]
+    df = spark.createDataFrame(rows, "cat string, score string").select("cat", F.col("score").cast("decimal(5,2)"))
+    want = {tuple(r) for r in analytics.rank_by_mean(df, "cat", "score").collect()}
+    monkeypatch.setattr(analytics, "RANKED_IN_ONE_TASK", 0)
+    got = analytics.rank_by_mean(df, "cat", "score")
+    assert got.dtypes == [("cat", "string"), ("mean_value", "double"), ("sentiment_rank", "bigint")]
+    assert {tuple(r) for r in got.collect()} == want and len(want) == 3000
+
+
 def test_row_counts(spark):
     got = analytics.row_counts({"a": spark.range(3), "b": spark.range(0)}).collect()
     assert [tuple(r) for r in got] == [("a", 3), ("b", 0)]
