@@ -58,12 +58,18 @@ def as_float(value: Column, strict: bool = False) -> Column:
     return _guarded(value, "float", strict, F.coalesce(_finite(value), special))
 
 
+def truncated(number: Column) -> Column:
+    """A double as a bigint, toward zero; NULL beyond the range."""
+    # Spark turns 2^63 itself into the greatest bigint, a value that no double has.
+    return F.nullif(number.try_cast("bigint"), F.lit(2**63 - 1))
+
+
 def as_integer(value: Column, strict: bool = False) -> Column:
     """A bigint by way of a double, so it truncates toward zero and is exact up to 2^53 only.
 
     Values beyond the bigint range, ``nan`` and ``inf`` are unreadable.
     """
-    return _guarded(value, "integer", strict, _finite(value).try_cast("bigint"))
+    return _guarded(value, "integer", strict, truncated(_finite(value)))
 
 
 def as_text(value: Column, strict: bool = False) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from steward.functions.casting import cast_as, unreadable
+from steward.functions.casting import cast_as, truncated, unreadable
 from steward.functions.normalize import empty_to_null, flag_to_boolean
 
 #: Column added by the permissive mode: one message per value that could not be read.
@@ -58,8 +58,8 @@ def coerce(df: DataFrame, types: Mapping[str, str], strict: bool = False) -> Dat
 
 def _cast(field: T.StructField, type_name: str, strict: bool) -> Column:
     value = F.col(f"`{field.name}`")
-    if type_name in ("int", "integer") and isinstance(field.dataType, T.NumericType):
-        return value.cast("double").try_cast("bigint")  # a number needs no detour through text
+    if type_name in ("int", "integer") and isinstance(field.dataType, T.NumericType) and not strict:
+        return truncated(value.cast("double"))  # a number needs no detour through text
     return cast_as(value, type_name, strict)
 
 

@@ -28,6 +28,9 @@ NUMBERS = {
     "1 2": (None, None),
     "9007199254740993": (9007199254740992, 9007199254740992.0),
     "1e30": (None, 1e30),
+    "9223372036854775808": (None, 2.0**63),
+    "-9223372036854775808": (-(2**63), -(2.0**63)),
+    "9223372036854774784": (9223372036854774784, 9223372036854774784.0),
     "inf": (None, math.inf),
     "-Infinity": (None, -math.inf),
     "abc": (None, None),
@@ -146,6 +149,14 @@ def test_coerce_rows_and_rejects(spark):
         coerce.coerce(df, {"n": "int", "b": "bool", "s": "str"}, strict=True).collect()
 
 
+def test_numbers_are_coerced_without_text(spark):
+    df = spark.createDataFrame([(12.9, 7), (float("nan"), 8), (-0.5, None)], "d double, i int")
+    rows = coerce.coerce(df, {"d": "int", "i": "integer"}).collect()
+    assert [(r.d, r.i, len(r[coerce.REJECT])) for r in rows] == [(12, 7, 0), (None, 8, 1), (0, None, 0)]
+    with pytest.raises(Exception, match="cannot read"):
+        coerce.coerce(df, {"d": "int", "i": "int"}, strict=True).collect()
+
+
 def test_coerce_through_database_types(spark):
     df = spark.createDataFrame([("1", "2.5")], "n string, x string")
     typed = coerce.coerce_through(df, {"n": "int4", "x": "float8"}, {"int4": "int", "float8": "float"})
@@ -162,7 +173,12 @@ def test_declared_types(spark):
 def test_conform(spark):
     schema = T.StructType().add("id", "long").add("flag", "boolean").add("amt", T.DecimalType(18, 2)).add("t", "string")
     df = spark.createDataFrame(
-        [("9007199254740993", "TRUE", "10.555", "t"), ("12.9", "", "5", ""), ("x", "f", "1", "f")],
+        [
+            ("9007199254740993", "TRUE", "10.555", "t"),
+            ("12.9", "", "5", ""),
+            ("x", "f", "1", "f"),
+            ("9223372036854775808", "n", "2", "g"),
+        ],
         "id string, flag string, amt string, t string",
     )
     rows = coerce.conform(df, schema)
@@ -171,6 +187,7 @@ def test_conform(spark):
         (9007199254740993, True, "10.56", "t", 0),
         (12, None, "5.00", None, 0),
         (None, False, "1.00", "f", 1),
+        (None, False, "2.00", "g", 1),
     ]
     with pytest.raises(ValueError, match="no column"):
         coerce.conform(df.withColumn("more", F.lit(1)), schema)
