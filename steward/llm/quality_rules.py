@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from steward.llm.columns import aside, bound, picked, quoted
 from steward.session import stored
 
 #: White space between words, as a regular expression class and as characters.
@@ -55,11 +56,6 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACE_CLASS), "")
 
 
-def _bound(value: Column, use) -> Column:
-    """``use(value)`` with ``value`` worked out once: a column used several times in an expression would be several times."""
-    return F.get(F.transform(F.array(value), use), 0)
-
-
 def _repeat_words(words: Column) -> Column:
     """Words inside three-word windows that occur at least twice, first occurrences included.
 
@@ -78,13 +74,13 @@ def _repeat_words(words: Column) -> Column:
 
     def counted(hashes: Column) -> Column:
         placed = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-        return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), _bound(placed, covered))
+        return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), bound(placed, covered))
 
     hashes = F.transform(
         F.sequence(F.lit(0), F.size(words) - 3),
         lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)),
     )
-    return F.coalesce(F.when(F.size(words) >= 3, _bound(hashes, counted)), F.lit(0)).cast("long")
+    return F.coalesce(F.when(F.size(words) >= 3, bound(hashes, counted)), F.lit(0)).cast("long")
 
 
 def text_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -106,9 +102,9 @@ def text_counts(docs: DataFrame, text: str = "text") -> DataFrame:
             (F.size(ls) - F.size(F.array_distinct(ls))).cast("long").alias("n_dup_lines"),
         )
 
-    names = _aside(docs.columns, ["_w", "_l"])
-    w, ls = F.col(f"`{names['_w']}`"), F.col(f"`{names['_l']}`")
-    out = docs.withColumns({names["_w"]: _bound(words_of(whole), word_counts), names["_l"]: _bound(lines, line_counts)})
+    of_words, of_lines = aside(docs.columns, "_words", "_lines")
+    w, ls = quoted(of_words), quoted(of_lines)
+    out = docs.withColumns({of_words: bound(words_of(whole), word_counts), of_lines: bound(lines, line_counts)})
     return out.withColumns(
         {
             "n_words": w["n_words"],
@@ -118,19 +114,7 @@ def text_counts(docs: DataFrame, text: str = "text") -> DataFrame:
             "n_dup_lines": ls["n_dup_lines"],
             "n_repeat_words": w["n_repeat_words"],
         }
-    ).drop(*names.values())
-
-
-def _aside(columns: list[str], wanted) -> dict[str, str]:
-    """A column name for each wanted one that no input column has."""
-    taken, out = {c.lower() for c in columns}, {}
-    for name in wanted:
-        free = name
-        while free.lower() in taken:
-            free += "_"
-        taken.add(free.lower())
-        out[name] = free
-    return out
+    ).drop(of_words, of_lines)
 
 
 def base_failed(n_words: str = "n_words", n_repeat_words: str = "n_repeat_words") -> Column:
@@ -201,17 +185,15 @@ def fences(sketch: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
 
 def judged(counted: DataFrame, limits: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
     """``counted`` with ``base_failed`` and ``kept``; a row whose group has no fence fails the base rules itself."""
-    names = _aside(counted.columns, ["_lang", "_source", *[f"_{r.name}" for r in RATIOS]])
-    renamed = limits.select(
-        F.col("lang").alias(names["_lang"]), F.col("source").alias(names["_source"]),
-        *[F.col(f"{r.name}_fence").alias(names[f"_{r.name}"]) for r in RATIOS],
-    )
-    same = counted[lang].eqNullSafe(renamed[names["_lang"]]) & counted[source].eqNullSafe(renamed[names["_source"]])
-    out = counted.join(renamed, same, "left")
+    group_lang, group_source, *edges = aside(counted.columns, "_lang", "_source", *[f"_{r.name}" for r in RATIOS])
+    renamed = picked(limits, **{group_lang: "lang", group_source: "source"},
+                     **{edge: f"{r.name}_fence" for edge, r in zip(edges, RATIOS, strict=True)})
+    same = counted[lang].eqNullSafe(renamed[group_lang]) & counted[source].eqNullSafe(renamed[group_source])
     within = F.lit(True)
-    for r in RATIOS:
-        within = within & F.coalesce(ratio_value(r) <= F.col(f"`{names[f'_{r.name}']}`"), F.lit(True))
-    return out.withColumns({"base_failed": base_failed(), "kept": ~base_failed() & within}).drop(*names.values())
+    for edge, r in zip(edges, RATIOS, strict=True):
+        within = within & F.coalesce(ratio_value(r) <= quoted(edge), F.lit(True))
+    out = counted.join(renamed, same, "left").withColumns({"base_failed": base_failed(), "kept": ~base_failed() & within})
+    return out.drop(group_lang, group_source, *edges)
 
 
 def quality_verdicts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source",
@@ -220,10 +202,8 @@ def quality_verdicts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
     The counts are stored once, without the texts, since the sketches and the verdicts both read them.
     """
-    picked = docs.select(
-        F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(source).alias("source"), F.col(text).alias("text")
-    )
-    counted = stored(text_counts(picked).drop("text"), "quality-counts")
+    narrow = picked(docs, doc_id=doc_id, lang=lang, source=source, text=text)
+    counted = stored(text_counts(narrow).drop("text"), "quality-counts")
     return judged(counted, fences(sketches(counted), min_group))
 
 
@@ -233,11 +213,10 @@ def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", source: s
 
     The counts are worked out twice, for the sketches and for the verdicts, so that no text is shuffled or copied.
     """
-    names = _aside(docs.columns, ["_row"])
     packed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(names["_row"]),
-        F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(source).alias("source"),
+        F.struct(*[quoted(c).alias(c) for c in docs.columns]).alias("row"),
+        quoted(text).alias("text"), quoted(lang).alias("lang"), quoted(source).alias("source"),
     )
     limits = fences(sketches(text_counts(packed.select("text", "lang", "source"))), min_group)
     kept = judged(text_counts(packed), limits).filter("kept")
-    return kept.select(*[F.col(names["_row"])[c].alias(c) for c in docs.columns])
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
