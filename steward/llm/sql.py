@@ -73,3 +73,43 @@ SELECT v.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ba
        NOT base_failed AND {_WITHIN} AS kept
 FROM valued v LEFT JOIN limits f ON v.lang IS NOT DISTINCT FROM f.lang AND v.source IS NOT DISTINCT FROM f.source
 """
+
+_RULED = """(SELECT {key}, verdict, rule FROM {rows}, (VALUES ('allow', 'org', '/', 'org/'),
+      ('block', 'example.org', '/es/', 'example.org/es/'), ('block', 'example.org', '/en/1', 'example.org/en/1'),
+      ('allow', 'com', '/fr/', 'com/fr/'), ('block', 'com', '/de/', 'com/de/')) AS r(verdict, rule_host, rule_path, rule)
+    WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+    QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY length(rule) DESC) = 1)"""
+_HOST = "translate(regexp_extract({0}, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PATH = "regexp_extract({0}, '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
+_LINKS = (
+    "'(?is)<link\\b[^>]*\\brel\\s*=\\s*[\"'']?canonical\\b[^>]*\\bhref\\s*=\\s*[\"'']?([^\"''\\s>]+)'",
+    "'(?is)<link\\b[^>]*\\bhref\\s*=\\s*[\"'']?([^\"''\\s>]+)[^>]*\\brel\\s*=\\s*[\"'']?canonical\\b'",
+    "'(?is)<meta\\b[^>]*\\bhttp-equiv\\s*=\\s*[\"'']?refresh\\b[^>]*\\burl\\s*=\\s*[\"'']?([^\"''\\s>]+)'",
+)
+_NODE = (
+    "regexp_replace(" + _HOST + ", ':(80|443)$', '') || regexp_replace(" + _PATH + ", '/$', '') || "
+    "coalesce('?' || nullif(list_aggregate(list_filter(string_split(regexp_extract({0}, '(?s)^[^?#]*\\?([^#]*)', 1), '&'), "
+    "lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[^=]*|ref)(=|$)')), 'string_agg', '&'), ''), '')"
+)
+
+#: Links are taken as absolute or rooted here; the tables have no others.
+URL_FILTERS = f"""
+WITH RECURSIVE parts AS (
+    SELECT page_id, url, html, coalesce({_HOST.format("url")}, '') AS host, coalesce({_PATH.format("url")}, '') AS path
+    FROM pages),
+ruled AS {_RULED.format(key="page_id", rows="parts")},
+links AS ({" UNION ALL ".join(f"SELECT url, host, regexp_extract(html, {x}, 1) AS link FROM parts" for x in _LINKS)}),
+edges AS (
+    SELECT url AS source, CASE WHEN starts_with(link, '/') THEN 'http://' || host || link ELSE link END AS target
+    FROM links WHERE link <> '' AND contains(url, '://')),
+ends AS (SELECT source AS url FROM edges UNION SELECT target FROM edges),
+end_parts AS (SELECT url, {_HOST.format("url")} AS host, {_PATH.format("url")} AS path, {_NODE.format("url")} AS node FROM ends),
+end_ruled AS (SELECT node, verdict FROM end_parts JOIN {_RULED.format(key="url", rows="end_parts")} USING (url)),
+arcs AS (
+    SELECT {_NODE.format("source")} AS a, {_NODE.format("target")} AS b FROM edges
+    UNION SELECT {_NODE.format("target")}, {_NODE.format("source")} FROM edges),
+reach AS (SELECT a, b FROM arcs UNION SELECT reach.a, arcs.b FROM reach JOIN arcs ON reach.b = arcs.a),
+aliases AS (SELECT a AS node, min(verdict) AS alias_verdict FROM reach JOIN end_ruled ON reach.b = end_ruled.node GROUP BY a)
+SELECT p.page_id, p.host, p.path, r.rule, coalesce(r.verdict, s.alias_verdict, 'allow') AS verdict
+FROM parts p LEFT JOIN ruled r USING (page_id) LEFT JOIN aliases s ON {_NODE.format("p.url")} = s.node
+"""
