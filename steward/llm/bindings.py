@@ -36,3 +36,33 @@ def op9_quality_rules(spark, sf_dir):
     return quality_verdicts(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query("op4_sharding")
+def op4_sharding(spark, sf_dir):
+    """All documents in 16 shards of 2 regions with 2 racks each; the grown tree has one more, in a region of its own."""
+    from steward.llm.sharding import even_tree, grown_tree, shard_documents
+
+    tree = even_tree(16, regions=2, racks=2)
+    return shard_documents(table(spark, sf_dir, "documents"), tree, grown_tree(tree, 16))
+
+
+#: The rules that the contract of operator 10 names.
+URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
+
+
+@query("op10_url_filters", sql.URL_FILTERS)
+def op10_url_filters(spark, sf_dir):
+    """Every page's host, path, rule and verdict."""
+    from steward.llm.url_filters import judge_urls, rule
+
+    rules = [rule(verdict, text) for verdict, text in URL_RULES]
+    return judge_urls(table(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op5_packing")
+def op5_packing(spark, sf_dir):
+    """Every document's pieces with their places in sequences of at most 1024 tokens."""
+    from steward.llm.packing import pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"))
