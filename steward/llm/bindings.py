@@ -66,3 +66,13 @@ def op5_packing(spark, sf_dir):
     from steward.llm.packing import pack_documents
 
     return pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op7_top_k", sql.TOP_K)
+def op7_top_k(spark, sf_dir):
+    """The five best other rows for each vector whose id is divisible by 50."""
+    from pyspark.sql import functions as F
+
+    from steward.llm.topk import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)

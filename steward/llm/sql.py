@@ -113,3 +113,15 @@ aliases AS (SELECT a AS node, min(verdict) AS alias_verdict FROM reach JOIN end_
 SELECT p.page_id, p.host, p.path, r.rule, coalesce(r.verdict, s.alias_verdict, 'allow') AS verdict
 FROM parts p LEFT JOIN ruled r USING (page_id) LEFT JOIN aliases s ON {_NODE.format("p.url")} = s.node
 """
+
+TOP_K = """
+WITH vecs AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda p: coalesce(p[1] * p[2], 0))), 0)::BIGINT AS score
+    FROM vecs q JOIN vecs c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
