@@ -76,3 +76,20 @@ def op7_top_k(spark, sf_dir):
     from steward.llm.topk import top_k
 
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def crc_remainder(column, n: int):
+    """CRC-32 of an id as text, modulo ``n``: how the contracts hold rows out."""
+    from pyspark.sql import functions as F
+
+    return F.crc32(column.cast("string").cast("binary")) % n
+
+
+@query("op3_lm_score")
+def op3_lm_score(spark, sf_dir):
+    """Every whole text scored by what the rows with remainder other than 1 teach."""
+    from pyspark.sql import functions as F
+
+    from steward.llm.lm_score import score_texts
+
+    return score_texts(table(spark, sf_dir, "documents"), crc_remainder(F.col("doc_id"), 5) == 1)
