@@ -1,8 +1,8 @@
 """The piece lattice of a public subword vocabulary: all ways to spell a string in its pieces.
 
-A string is cut into units, a run of word marks and what follows up to the next, across which no piece reaches; lattices are
-built per unit. Characters that the vocabulary lacks, and the word mark where it stands in the text itself, are spelled as
-the pieces of their UTF-8 bytes.
+Strings are in blanks where the vocabulary writes word marks. A text is cut into units, a run of blanks and what follows up
+to the next, across which no piece reaches; lattices are built per unit. Characters that the vocabulary lacks, such as its
+word mark where a text has it, are spelled as the pieces of their UTF-8 bytes.
 """
 
 from __future__ import annotations
@@ -34,26 +34,33 @@ class Pieces:
             elif model.is_control(i) or model.is_unknown(i):
                 self.spelled.append(b"")
             else:
-                self.ids[piece] = i
+                self.ids[piece.replace(MARK, " ")] = i
                 self.spelled.append(piece.replace(MARK, " ").encode())
         if min(self.bytes) < 0:
             raise ValueError(f"{path} has no piece for some bytes")
-        self.longest = max(map(len, self.ids))
+        #: Every beginning of a piece, with the piece's id where it is one and -1 where it is not.
+        self.beginnings: dict[str, int] = {p[:n]: -1 for p in self.ids for n in range(1, len(p))} | self.ids
         self.lowest = min(s for s in self.scores if s > -1e8)
 
     def arcs(self, unit: str) -> list[list[tuple[int, int]]]:
         """For each end position in ``unit``, the ``(start, id)`` of pieces ending there; id -1 spells one character by bytes."""
-        ids, n, longest = self.ids, len(unit), self.longest
+        beginning, n = self.beginnings.get, len(unit)
         out: list[list[tuple[int, int]]] = [[] for _ in range(n + 1)]
         for start in range(n):
-            for end in range(start + 1, min(start + longest, n) + 1):
-                piece = ids.get(unit[start:end])
-                if piece is not None:
-                    out[end].append((start, piece))
-            if unit[start] not in ids:
+            if unit[start] not in self.ids:
                 out[start + 1].append((start, -1))
+            for end in range(start + 1, n + 1):
+                piece = beginning(unit[start:end])
+                if piece is None:
+                    break
+                if piece >= 0:
+                    out[end].append((start, piece))
         return out
 
+    def byte_ids(self, character: str) -> list[int]:
+        """The pieces that spell a character the vocabulary lacks."""
+        return [self.bytes[b] for b in character.encode()]
+
 
 @functools.cache
 def pieces(path: str) -> Pieces:
@@ -80,13 +87,12 @@ def rank_weights(vocabulary: Pieces) -> list[float]:
 def log_marginal(unit: str, vocabulary: Pieces, weights: list[float]) -> float:
     """Natural log of the summed probability of all segmentations of ``unit``: forward recursion in log space."""
     forward = [0.0] * (len(unit) + 1)
-    spelled = vocabulary.bytes
     for end, arriving in enumerate(vocabulary.arcs(unit)):
         if not end:
             continue
         terms = [
             forward[start]
-            + (weights[piece] if piece >= 0 else sum(weights[spelled[b]] for b in unit[start].encode()))
+            + (weights[piece] if piece >= 0 else sum(weights[i] for i in vocabulary.byte_ids(unit[start])))
             for start, piece in arriving
         ]
         if len(terms) == 1:
@@ -97,5 +103,10 @@ def log_marginal(unit: str, vocabulary: Pieces, weights: list[float]) -> float:
     return forward[-1]
 
 
-#: A unit: word marks, then anything else. A text starts a unit whether or not it starts with a mark.
-UNITS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+#: A unit of a text: blanks, and what follows up to the next ones.
+UNITS = re.compile(" *[^ ]+| +")
+
+
+def cut_units(text: str) -> list[str]:
+    """The units of a text, which starts as if a blank stood before it."""
+    return UNITS.findall(" " + text)

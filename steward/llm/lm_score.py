@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from steward.llm.columns import picked
-from steward.llm.lattice import MARK, log_marginal, pieces, rank_weights
+from steward.llm.lattice import log_marginal, pieces, rank_weights
 from steward.llm.tokens import vocabulary_path
 from steward.session import stored
 
@@ -83,7 +83,7 @@ class Model:
 
     def word(self, word: bytes, c: int) -> float:
         vocabulary, weights = pieces(self.path), _weights(self.path)
-        spelled = math.log(self.left) + log_marginal(MARK + word.decode(), vocabulary, weights)
+        spelled = math.log(self.left) + log_marginal(" " + word.decode(), vocabulary, weights)
         if not c:
             return spelled / math.log(10)
         whole = math.log((c - DISCOUNT) / self.n)
