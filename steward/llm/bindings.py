@@ -109,3 +109,15 @@ def op6_segment(spark, sf_dir):
         F.crc32("ids").alias("ids_crc32"),
         F.crc32(F.col("text").cast("binary")).alias("decoded_crc32"),
     )
+
+
+@query("op1_quality_classifier")
+def op1_quality_classifier(spark, sf_dir):
+    """Every whole text scored by labelled neighbours; rows with remainder 0 are held out of learning."""
+    from pyspark.sql import functions as F
+
+    from steward.llm.classifier import quality_scores
+
+    learn = crc_remainder(F.col("doc_id"), 5) != 0
+    scored = quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learn)
+    return scored.withColumn("held_out", F.coalesce(crc_remainder(F.col("doc_id"), 5) == 0, F.lit(False)))
