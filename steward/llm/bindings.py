@@ -121,3 +121,20 @@ def op1_quality_classifier(spark, sf_dir):
     learn = crc_remainder(F.col("doc_id"), 5) != 0
     scored = quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learn)
     return scored.withColumn("held_out", F.coalesce(crc_remainder(F.col("doc_id"), 5) == 0, F.lit(False)))
+
+
+@query("op8_pii")
+def op8_pii(spark, sf_dir):
+    """Personal data of every whole text by pattern, and the terms that reveal it."""
+    from pyspark.sql import functions as F
+
+    from steward.llm.pii import KINDS, TERM, personal_data
+
+    found = personal_data(table(spark, sf_dir, "documents"))
+    added = F.transform("terms", lambda t: F.concat(F.lit(TERM), F.lit(":"), t["start"], F.lit(":"), t["end"]))
+    base = F.when(F.col("base_spans") != "", F.array("base_spans")).otherwise(F.array().cast("array<string>"))
+    return found.select(
+        "doc_id", *[f"n_{kind}" for kind in KINDS],
+        F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"),
+        F.array_join(F.concat(base, F.coalesce(added, F.array().cast("array<string>"))), ",").alias("spans"),
+    )
