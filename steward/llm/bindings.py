@@ -138,3 +138,11 @@ def op8_pii(spark, sf_dir):
         F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"),
         F.array_join(F.concat(base, F.coalesce(added, F.array().cast("array<string>"))), ",").alias("spans"),
     )
+
+
+@query("op2_near_duplicates", sql.NEAR_DUPLICATES)
+def op2_near_duplicates(spark, sf_dir):
+    """Every document with its class of near duplicates and its number of links."""
+    from steward.llm.near_duplicates import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")

@@ -125,3 +125,25 @@ scored AS (
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
 FROM scored QUALIFY rank <= 5
 """
+
+NEAR_DUPLICATES = """
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w FROM documents),
+grams AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n, md5(string_agg(g, chr(10) ORDER BY g)) AS same FROM grams GROUP BY doc_id),
+common AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM grams x JOIN grams y ON x.g = y.g AND x.doc_id <> y.doc_id
+    GROUP BY ALL),
+links AS (
+    SELECT a, b FROM common JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b WHERE 5 * c >= 4 * (s.n + t.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT d.doc_id, coalesce(c.class_id, d.doc_id) AS class_id, coalesce(e.same_set_id, d.doc_id) AS same_set_id,
+       coalesce(k.n_links, 0) AS n_links
+FROM documents d LEFT JOIN (SELECT a, min(b) AS class_id FROM reach GROUP BY a) c ON c.a = d.doc_id
+LEFT JOIN sizes s ON s.doc_id = d.doc_id
+LEFT JOIN (SELECT same, min(doc_id) AS same_set_id FROM sizes GROUP BY same) e ON e.same = s.same
+LEFT JOIN (SELECT a, count(*) AS n_links FROM links GROUP BY a) k ON k.a = d.doc_id
+"""
