@@ -13,6 +13,11 @@ import re
 
 MARK = "▁"
 
+#: A unit of a text: blanks, and what follows up to the next ones.
+UNITS = re.compile(" *[^ ]+| +")
+#: Finer ones: blanks, and letters or other signs. Superscript digits go with the other signs.
+FINE_UNITS = re.compile(r" *[^\W\d_¹²³]+| *(?:[^\w ]|[\d_¹²³])+| +")
+
 
 class Pieces:
     """The pieces of a vocabulary file with their ids and scores."""
@@ -38,25 +43,38 @@ class Pieces:
                 self.spelled.append(piece.replace(MARK, " ").encode())
         if min(self.bytes) < 0:
             raise ValueError(f"{path} has no piece for some bytes")
-        #: Every beginning of a piece, with the piece's id where it is one and -1 where it is not.
-        self.beginnings: dict[str, int] = {p[:n]: -1 for p in self.ids for n in range(1, len(p))} | self.ids
+        #: By character: the id and score of the piece that ends with it (-1 for none), and what pieces have after it.
+        self.tree: dict[str, list] = {}
+        for piece, i in self.ids.items():
+            here = self.tree
+            for c in piece[:-1]:
+                here = here.setdefault(c, [-1, 0.0, {}])[2]
+            here.setdefault(piece[-1], [-1, 0.0, {}])[:2] = [i, self.scores[i]]
+        #: Whether units may be cut between letters and other signs as well: no piece goes across.
+        self.finer = all(FINE_UNITS.fullmatch(p) or not p.strip(" ") for p in self.ids)
         self.lowest = min(s for s in self.scores if s > -1e8)
 
     def arcs(self, unit: str) -> list[list[tuple[int, int]]]:
         """For each end position in ``unit``, the ``(start, id)`` of pieces ending there; id -1 spells one character by bytes."""
-        beginning, n = self.beginnings.get, len(unit)
+        n = len(unit)
         out: list[list[tuple[int, int]]] = [[] for _ in range(n + 1)]
         for start in range(n):
             if unit[start] not in self.ids:
                 out[start + 1].append((start, -1))
+            here = self.tree
             for end in range(start + 1, n + 1):
-                piece = beginning(unit[start:end])
-                if piece is None:
+                node = here.get(unit[end - 1])
+                if node is None:
                     break
-                if piece >= 0:
-                    out[end].append((start, piece))
+                if node[0] >= 0:
+                    out[end].append((start, node[0]))
+                here = node[2]
         return out
 
+    def units(self, text: str) -> list[str]:
+        """The units of a text, which starts as if a blank stood before it."""
+        return (FINE_UNITS if self.finer else UNITS).findall(" " + text)
+
     def byte_ids(self, character: str) -> list[int]:
         """The pieces that spell a character the vocabulary lacks."""
         return [self.bytes[b] for b in character.encode()]
@@ -101,12 +119,3 @@ def log_marginal(unit: str, vocabulary: Pieces, weights: list[float]) -> float:
             most = max(terms)
             forward[end] = most + math.log(sum(math.exp(t - most) for t in terms))
     return forward[-1]
-
-
-#: A unit of a text: blanks, and what follows up to the next ones.
-UNITS = re.compile(" *[^ ]+| +")
-
-
-def cut_units(text: str) -> list[str]:
-    """The units of a text, which starts as if a blank stood before it."""
-    return UNITS.findall(" " + text)

@@ -15,6 +15,7 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 import heapq
 from collections.abc import Iterator
 
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from steward.llm.columns import aside, picked, quoted
-from steward.llm.lattice import Pieces, cut_units, pieces
+from steward.llm.lattice import Pieces, pieces
 from steward.llm.tokens import vocabulary_path
 
 #: Units a worker remembers, about 200 bytes each. The cache is emptied in halves, so what is frequent comes back at once.
@@ -71,30 +72,34 @@ def unit_n_best(unit: str, vocabulary: Pieces, n: int) -> list[tuple[float, Ids]
 def unit_best(unit: str, vocabulary: Pieces) -> tuple[Ids, float, float]:
     """The best segmentation of ``unit``, its score, and how much less the second best has, by a forward pass that keeps two
     scores per position."""
-    beginning, scores, n = vocabulary.beginnings.get, vocabulary.scores, len(unit)
+    tree, n = vocabulary.tree, len(unit)
     low = float("-inf")
     first, second, back = [low] * (n + 1), [low] * (n + 1), [(0, -1)] * (n + 1)
     first[0] = 0.0
     for start in range(n):
         a, b = first[start], second[start]
-        if unit[start] not in vocabulary.ids:
-            score, piece, end = _spelling(vocabulary, unit[start])[0], -1, start + 1
+        node = tree.get(unit[start])
+        if node is None or node[0] < 0:
+            end, score = start + 1, _spelling(vocabulary, unit[start])[0]
             if a + score > first[end]:
                 second[end] = max(first[end], b + score)
                 first[end], back[end] = a + score, (start, -1)
             else:
                 second[end] = max(second[end], a + score)
-        for end in range(start + 1, n + 1):
-            piece = beginning(unit[start:end])
-            if piece is None:
-                break
+        end = start + 1
+        while node is not None:
+            piece, score, further = node
             if piece >= 0:
-                score = a + scores[piece]
-                if score > first[end]:
-                    second[end] = max(first[end], b + scores[piece])
-                    first[end], back[end] = score, (start, piece)
-                elif score > second[end]:
-                    second[end] = score
+                total = a + score
+                if total > first[end]:
+                    second[end] = first[end] if first[end] > b + score else b + score
+                    first[end], back[end] = total, (start, piece)
+                elif total > second[end]:
+                    second[end] = total
+            if end == n:
+                break
+            node = further.get(unit[end])
+            end += 1
     if first[n] == second[n]:  # equal scores are ordered by ids, which the search does
         return unit_n_best(unit, vocabulary, 1)[0][1], first[n], 0.0
     ids, at = [], n
@@ -104,20 +109,47 @@ def unit_best(unit: str, vocabulary: Pieces) -> tuple[Ids, float, float]:
     return b"".join(reversed(ids)), first[n], first[n] - second[n]
 
 
+class _Units:
+    """Units found so far: their numbers, and by number their best ids, scores and losses."""
+
+    def __init__(self, room: int):
+        self.number: dict[str, int] = {}
+        self.ids: list[Ids] = []
+        self.scores, self.losses = np.zeros(room), np.zeros(room)
+
+    def add(self, unit: str, ids: Ids, score: float, loss: float) -> None:
+        i = self.number[unit] = len(self.ids)
+        self.ids.append(ids)
+        self.scores[i], self.losses[i] = score, loss
+
+
 class Segmenter:
     """N-best segmentation of texts, with a cache of units."""
 
     def __init__(self, path: str, n: int, cached: int = CACHED_UNITS):
         self.vocabulary, self.n, self.half = pieces(path), n, max(1, cached // 2)
-        self.new: dict[str, tuple[Ids, float, float]] = {}
-        self.old: dict[str, tuple[Ids, float, float]] = {}
-
-    def _looked_up(self, unit: str) -> tuple[Ids, float, float]:
-        known = self.new.get(unit) or self.old.pop(unit, None) or unit_best(unit, self.vocabulary)
-        if len(self.new) >= self.half:
-            self.old, self.new = self.new, {}
-        self.new[unit] = known
-        return known
+        self.new, self.old = _Units(self.half), _Units(self.half)
+        self.searched = functools.lru_cache(max(1, cached // 20))(lambda unit: unit_n_best(unit, self.vocabulary, n))
+
+    def _look_up(self, units: list[str]) -> list[tuple[Ids, float, float]]:
+        """Every unit's best, whatever the cache holds; what is not in its newer half is put there."""
+        found = []
+        for unit in units:
+            at = self.new.number.get(unit)
+            held = self.new
+            if at is None:
+                at, held = self.old.number.get(unit), self.old
+            known = (
+                unit_best(unit, self.vocabulary)
+                if at is None
+                else (held.ids[at], float(held.scores[at]), float(held.losses[at]))
+            )
+            if held is self.old:
+                if len(self.new.ids) == self.half:
+                    self.old, self.new = self.new, _Units(self.half)
+                self.new.add(unit, *known)
+            found.append(known)
+        return found
 
     def n_best(self, text: str) -> list[tuple[float, Ids]]:
         """The best segmentations of ``text``, as if a blank stood before it.
@@ -127,17 +159,24 @@ class Segmenter:
         """
         if not text:
             return [(0.0, b"")]
-        units = cut_units(text)
-        found = list(map(self.new.get, units))
-        if None in found:
-            found = [f if f is not None else self._looked_up(u) for f, u in zip(found, units, strict=True)]
-        best = [f[0] for f in found]
-        total = sum([f[1] for f in found])
-        losses = [f[2] for f in found]
+        units = self.vocabulary.units(text)
+        numbers = list(map(self.new.number.get, units))
+        missing = [unit for unit, number in zip(units, numbers, strict=True) if number is None] if None in numbers else []
+        if missing and len(self.new.ids) + len(missing) <= self.half:
+            self._look_up(missing)
+            numbers = list(map(self.new.number.get, units))
+            missing = []
+        if missing:  # the cache turns over within this text
+            best, scores, losses = map(list, zip(*self._look_up(units), strict=True))
+            total, losses = sum(scores), np.array(losses)
+        else:
+            at = np.array(numbers)
+            best = list(map(self.new.ids.__getitem__, numbers))
+            total, losses = float(self.new.scores[at].sum()), self.new.losses[at]
         choices: list[tuple[float, tuple[tuple[int, Ids], ...]]] = [(0.0, ())]
         if self.n > 1:
-            for place in heapq.nsmallest(self.n - 1, range(len(units)), key=losses.__getitem__):
-                options = unit_n_best(units[place], self.vocabulary, self.n)
+            for place in _least(losses, self.n - 1):
+                options = self.searched(units[place])
                 choices = [
                     (loss + options[0][0] - score, (*taken, (place, other)))
                     for loss, taken in choices
@@ -154,6 +193,15 @@ class Segmenter:
         return out
 
 
+def _least(values: np.ndarray, n: int) -> list[int]:
+    """The places of the ``n`` least values, earlier places first among equals."""
+    if len(values) > n:
+        low = np.flatnonzero(values <= np.partition(values, n - 1)[n - 1])
+    else:
+        low = np.arange(len(values))
+    return low[np.argsort(values[low], kind="stable")][:n].tolist()
+
+
 def id_array(ids: Ids) -> np.ndarray:
     return np.frombuffer(ids, dtype=">u2").astype("<u4")
 
