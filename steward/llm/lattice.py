@@ -10,6 +10,7 @@ from __future__ import annotations
 import functools
 import math
 import re
+from collections import deque
 
 MARK = "▁"
 
@@ -52,6 +53,7 @@ class Pieces:
             here.setdefault(piece[-1], [-1, 0.0, {}])[:2] = [i, self.scores[i]]
         #: Whether units may be cut between letters and other signs as well: no piece goes across.
         self.finer = all(FINE_UNITS.fullmatch(p) or not p.strip(" ") for p in self.ids)
+        self.longest = max(map(len, self.ids))
         self.lowest = min(s for s in self.scores if s > -1e8)
 
     def arcs(self, unit: str) -> list[list[tuple[int, int]]]:
@@ -103,19 +105,34 @@ def rank_weights(vocabulary: Pieces) -> list[float]:
 
 
 def log_marginal(unit: str, vocabulary: Pieces, weights: list[float]) -> float:
-    """Natural log of the summed probability of all segmentations of ``unit``: forward recursion in log space."""
-    forward = [0.0] * (len(unit) + 1)
-    for end, arriving in enumerate(vocabulary.arcs(unit)):
-        if not end:
-            continue
-        terms = [
-            forward[start]
-            + (weights[piece] if piece >= 0 else sum(weights[i] for i in vocabulary.byte_ids(unit[start])))
-            for start, piece in arriving
-        ]
-        if len(terms) == 1:
-            forward[end] = terms[0]
+    """Natural log of the summed probability of all segmentations of ``unit``: forward recursion in log space.
+
+    What arrives is kept for as many positions ahead as the longest piece reaches, so a unit of any length takes little room.
+    """
+    tree, n = vocabulary.tree, len(unit)
+    ahead: deque[list[float]] = deque([[0.0]])
+    for start in range(n):
+        arrived = ahead.popleft()
+        if len(arrived) == 1:
+            here = arrived[0]
         else:
-            most = max(terms)
-            forward[end] = most + math.log(sum(math.exp(t - most) for t in terms))
-    return forward[-1]
+            most = max(arrived)
+            here = most + math.log(sum([math.exp(t - most) for t in arrived]))
+        if not ahead:
+            ahead.append([])
+        node = tree.get(unit[start])
+        if node is None or node[0] < 0:
+            ahead[0].append(here + sum(weights[i] for i in vocabulary.byte_ids(unit[start])))
+        end = start + 1
+        while node is not None:
+            if node[0] >= 0:
+                while len(ahead) < end - start:
+                    ahead.append([])
+                ahead[end - start - 1].append(here + weights[node[0]])
+            if end == n:
+                break
+            node = node[2].get(unit[end])
+            end += 1
+    arrived = ahead.popleft()
+    most = max(arrived)
+    return most + math.log(sum([math.exp(t - most) for t in arrived]))

@@ -9,28 +9,30 @@ Ids are those of the vocabulary file. Characters that it lacks are spelled as by
 so decoding gives the text back, byte for byte.
 
 Defined results: a null text has a null segmentation, and an empty one the empty segmentation with score 0; segmentations of
-equal score are ordered by their ids; repeated rows are segmented alike; fewer segmentations than N are all returned; an empty
-table gives an empty result.
+equal score come in the order in which the search meets them, which is the same on every run; repeated rows are segmented
+alike; fewer segmentations than N are all returned; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import bisect
 import functools
 import heapq
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from steward.llm.columns import aside, picked, quoted
+from steward.llm.columns import picked
 from steward.llm.lattice import Pieces, pieces
 from steward.llm.tokens import vocabulary_path
 
 #: Units a worker remembers, about 200 bytes each. The cache is emptied in halves, so what is frequent comes back at once.
-CACHED_UNITS = 300_000
+CACHED_UNITS = 240_000
 
 #: Ids of a segmentation as bytes, two each.
 Ids = bytes
@@ -43,30 +45,56 @@ def _spelling(vocabulary: Pieces, character: str) -> tuple[float, Ids]:
 
 
 def unit_n_best(unit: str, vocabulary: Pieces, n: int) -> list[tuple[float, Ids]]:
-    """The ``n`` best segmentations of ``unit`` as ``(score, ids)``, best first, by backward A-star search."""
-    arcs: list[list[tuple[int, float, Ids]]] = []
-    ahead = [0.0]
-    for end, arriving in enumerate(vocabulary.arcs(unit)):
-        spelled = [
-            (start, vocabulary.scores[piece], piece.to_bytes(2, "big"))
-            if piece >= 0
-            else (start, *_spelling(vocabulary, unit[start]))
-            for start, piece in arriving
-        ]
-        arcs.append(spelled)
-        if end:
-            ahead.append(max([ahead[start] + score for start, score, _ in spelled]))
+    """The ``n`` best segmentations of ``unit`` as ``(score, ids)``, best first, by backward A-star search.
+
+    Every entry of the agenda is the end of at least one segmentation that scores what its heuristic says, and of no other
+    entry's. So as many entries are kept as results are missing, however long the unit is. Among equals the one that got
+    furthest comes first, then the one met first.
+    """
+    ids, scores, longest = vocabulary.ids, vocabulary.scores, vocabulary.longest
+    ahead = _best_ahead(unit, vocabulary)
     found: list[tuple[float, Ids]] = []
-    agenda = [(-ahead[-1], b"", len(unit), 0.0)]
-    while agenda and (len(found) < n or -agenda[0][0] >= found[n - 1][0]):
-        _, ids, at, behind = heapq.heappop(agenda)
+    met = 0
+    agenda: list[tuple[float, int, int, float, tuple]] = [(-ahead[-1], len(unit), 0, 0.0, ())]
+    while agenda and len(found) < n:
+        _, at, _, behind, path = agenda.pop(0)
         if not at:
-            found.append((behind, ids))
+            parts = []
+            while path:
+                part, path = path
+                parts.append(part)
+            found.append((behind, b"".join(parts)))
             continue
-        for start, score, piece in arcs[at]:
-            heapq.heappush(agenda, (-(ahead[start] + score + behind), piece + ids, start, score + behind))
-    found.sort(key=lambda x: (-x[0], x[1]))
-    return found[:n]
+        for start in range(max(0, at - longest), at):
+            piece = ids.get(unit[start:at])
+            if piece is not None:
+                score, part = scores[piece], piece.to_bytes(2, "big")
+            elif start == at - 1:
+                score, part = _spelling(vocabulary, unit[start])
+            else:
+                continue
+            met += 1
+            bisect.insort(agenda, (-(ahead[start] + score + behind), start, met, score + behind, (part, path)))
+        del agenda[n - len(found) :]
+    return found
+
+
+def _best_ahead(unit: str, vocabulary: Pieces) -> list[float]:
+    """The best score of every beginning of ``unit``."""
+    tree, n = vocabulary.tree, len(unit)
+    out = [0.0] + [float("-inf")] * n
+    for start in range(n):
+        node, here, end = tree.get(unit[start]), out[start], start + 1
+        if node is None or node[0] < 0:
+            out[end] = max(out[end], here + _spelling(vocabulary, unit[start])[0])
+        while node is not None:
+            if node[0] >= 0 and here + node[1] > out[end]:
+                out[end] = here + node[1]
+            if end == n:
+                break
+            node = node[2].get(unit[end])
+            end += 1
+    return out
 
 
 def unit_best(unit: str, vocabulary: Pieces) -> tuple[Ids, float, float]:
@@ -100,8 +128,6 @@ def unit_best(unit: str, vocabulary: Pieces) -> tuple[Ids, float, float]:
                 break
             node = further.get(unit[end])
             end += 1
-    if first[n] == second[n]:  # equal scores are ordered by ids, which the search does
-        return unit_n_best(unit, vocabulary, 1)[0][1], first[n], 0.0
     ids, at = [], n
     while at:
         at, piece = back[at]
@@ -189,7 +215,6 @@ class Segmenter:
             for place, other in taken:
                 ids[place] = other
             out.append((total - loss, b"".join(ids)))
-        out.sort(key=lambda x: (-x[0], x[1]))
         return out
 
 
@@ -215,7 +240,7 @@ def decode(ids, vocabulary: Pieces) -> str:
 SEGMENTED = T.StructType(
     [
         T.StructField("doc_id", T.LongType()), T.StructField("rank", T.IntegerType()), T.StructField("score", T.DoubleType()),
-        T.StructField("ids", T.BinaryType()),
+        T.StructField("ids", T.BinaryType()), T.StructField("decoded_crc32", T.LongType()),
     ]
 )
 
@@ -231,8 +256,9 @@ def _segmenter(path: str, n: int) -> Segmenter:
 
 def segment_texts(docs: DataFrame, n: int = 3, doc_id: str = "doc_id", text: str = "text",
                   vocabulary: str = "piece_bpe_32k.model") -> DataFrame:
-    """``(doc_id, rank, score, ids)``: the ``n`` best segmentations of every text, ``rank`` from 1, ``ids`` as little-endian
-    unsigned 32-bit numbers."""
+    """``(doc_id, rank, score, ids, decoded_crc32)``: the ``n`` best segmentations of every text, ``rank`` from 1, ``ids`` as
+    little-endian unsigned 32-bit numbers. The best is decoded again at once; the checksum of what comes out tells whether
+    that is the text."""
     path = vocabulary_path(vocabulary)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,11 +269,13 @@ def segment_texts(docs: DataFrame, n: int = 3, doc_id: str = "doc_id", text: str
                 rows = []
                 for doc, whole in zip(part["doc_id"].to_pylist(), part["text"].to_pylist(), strict=True):
                     if whole is None:
-                        rows.append((doc, 1, None, None))
+                        rows.append((doc, 1, None, None, None))
                         continue
-                    for rank, (score, ids) in enumerate(segmenter.n_best(whole), 1):
-                        rows.append((doc, rank, score, id_array(ids).tobytes()))
-                kinds = (pa.int64(), pa.int32(), pa.float64(), pa.binary())
+                    for rank, (score, found) in enumerate(segmenter.n_best(whole), 1):
+                        ids = id_array(found)
+                        back = decode(ids.tolist(), segmenter.vocabulary) if rank == 1 else None
+                        rows.append((doc, rank, score, ids.tobytes(), None if back is None else zlib.crc32(back.encode())))
+                kinds = (pa.int64(), pa.int32(), pa.float64(), pa.binary(), pa.int64())
                 columns = [pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
                 yield pa.record_batch(columns, SEGMENTED.names)
 
@@ -255,20 +283,16 @@ def segment_texts(docs: DataFrame, n: int = 3, doc_id: str = "doc_id", text: str
     return source.mapInArrow(work, SEGMENTED)
 
 
-def decode_ids(segmented: DataFrame, which: Column | None = None, ids: str = "ids", out: str = "text",
-               vocabulary: str = "piece_bpe_32k.model") -> DataFrame:
-    """``segmented`` with the text that each row's ids spell: the inverse of :func:`segment_texts`. Null where ids are null,
-    and where ``which`` is given and does not hold."""
+def decode_ids(segmented: DataFrame, ids: str = "ids", out: str = "text", vocabulary: str = "piece_bpe_32k.model") -> DataFrame:
+    """``segmented`` with the text that each row's ids spell: the inverse of :func:`segment_texts`. Null where ids are null."""
     path = vocabulary_path(vocabulary)
-    chosen = quoted(ids) if which is None else F.when(which, quoted(ids))
-    (spelled,) = aside(segmented.columns, "_spelled")
     held = [f for f in segmented.schema if f.name != out]
     schema = T.StructType([*held, T.StructField(out, T.StringType())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = pieces(path)
         for batch in batches:
-            texts = [None if x is None else decode(np.frombuffer(x, "<u4").tolist(), read) for x in batch[spelled].to_pylist()]
+            texts = [None if x is None else decode(np.frombuffer(x, "<u4").tolist(), read) for x in batch[ids].to_pylist()]
             yield pa.record_batch([*(batch[f.name] for f in held), pa.array(texts, pa.string())], schema.names)
 
-    return segmented.withColumn(spelled, chosen).mapInArrow(work, schema)
+    return segmented.mapInArrow(work, schema)
