@@ -1,0 +1,84 @@
+import itertools
+import zlib
+
+import numpy as np
+import pytest
+
+from steward.llm.lattice import pieces
+from steward.llm.segment import Segmenter, decode, decode_ids, id_array, segment_texts, unit_best, unit_n_best
+from steward.llm.tokens import vocabulary_path
+from tests.llm.rows import DOCS, documents, prose
+
+PATH = vocabulary_path("piece_bpe_32k.model")
+
+
+def every(unit):
+    """All segmentations of a unit with their scores, best first."""
+    vocabulary = pieces(PATH)
+    out = {0: [(0.0, b"")]}
+    for end in range(1, len(unit) + 1):
+        out[end] = []
+        for start, piece in vocabulary.arcs(unit)[end]:
+            ids = [piece] if piece >= 0 else vocabulary.byte_ids(unit[start])
+            score = vocabulary.scores[piece] if piece >= 0 else (vocabulary.lowest - 10) * len(ids)
+            out[end] += [(s + score, x + b"".join(i.to_bytes(2, "big") for i in ids)) for s, x in out[start]]
+    return sorted(out[len(unit)], key=lambda x: (-x[0], x[1]))
+
+
+@pytest.mark.parametrize("unit", [" the", " erhaanti", "  hello", "zz▁q", " été", "\n\n", " ²x", "<0x0A>"])
+@pytest.mark.parametrize("n", [1, 3, 7])
+def test_search_finds_the_best(unit, n):
+    vocabulary, want = pieces(PATH), every(unit)
+    got = unit_n_best(unit, vocabulary, n)
+    assert [s for s, _ in got] == [s for s, _ in want[:n]] and set(got) <= set(want) and len(set(got)) == len(got)
+    ids, score, loss = unit_best(unit, vocabulary)
+    assert (score, ids) in want and score == want[0][0] and loss == (want[0][0] - want[1][0] if len(want) > 1 else float("inf"))
+
+
+def test_very_long_units():
+    vocabulary = pieces(PATH)
+    got = unit_n_best("x" * 200_000, vocabulary, 3)
+    assert len({ids for _, ids in got}) == 3 and got[0][0] == unit_best("x" * 200_000, vocabulary)[1]
+    assert all(decode(id_array(ids).tolist(), vocabulary) == "x" * 200_000 for _, ids in got)
+
+
+@pytest.mark.parametrize("text", ["a the of", "the  er▁ ha\n", "x", "漢字 ok \U0001F600", " lead", "the the a b", "\x85\xa0", "a²b ½"])
+def test_texts_from_units(text):
+    vocabulary = pieces(PATH)
+    per_unit = [every(u)[:5] for u in vocabulary.units(text)]
+    want = sorted((-sum(s for s, _ in c) for c in itertools.product(*per_unit)))[:4]
+    got = Segmenter(PATH, 4).n_best(text)
+    assert [-s for s, _ in got] == want and len({i for _, i in got}) == len(got)
+    for score, ids in got:
+        numbers = id_array(ids).tolist()
+        assert decode(numbers, vocabulary) == text
+
+
+@pytest.mark.parametrize("cached", [4, 50, 10_000])
+def test_the_cache_changes_nothing(cached):
+    texts = [prose(i, 150) for i in range(5)]
+    assert [Segmenter(PATH, 3, cached).n_best(t) for t in texts] == [Segmenter(PATH, 3).n_best(t) for t in texts]
+    kept = Segmenter(PATH, 3, cached)
+    assert [kept.n_best(t) for t in texts] == [Segmenter(PATH, 3).n_best(t) for t in texts]
+
+
+def test_round_trip_of_a_table(spark, odd_documents):
+    found = segment_texts(odd_documents, n=3)
+    back = decode_ids(found).collect()
+    texts = [(d, t) for d, t, _, _ in DOCS]
+    assert {(r["doc_id"], r["text"]) for r in back} == set(texts)
+    firsts = [r for r in back if r["rank"] == 1]
+    assert len(firsts) == len(DOCS)
+    for r in firsts:
+        assert r["decoded_crc32"] == (None if r["text"] is None else zlib.crc32(r["text"].encode()))
+    for r in back:
+        if r["text"] is not None:
+            scores = pieces(PATH).scores
+            ids = np.frombuffer(r["ids"], "<u4").tolist()
+            assert all(pieces(PATH).spelled[i] or not ids for i in ids)
+            if all(i >= 259 for i in ids):
+                assert r["score"] == sum(scores[i] for i in ids)
+
+
+def test_empty_table(spark):
+    assert segment_texts(documents(spark, [])).count() == 0
