@@ -188,14 +188,13 @@ LINKED = T.StructType(
 )
 
 
-def _links(sets: list[np.ndarray], copies: np.ndarray, sides: np.ndarray, threshold: float) -> tuple[np.ndarray, Forest]:
-    """Linked documents of each text of a block pair, and what is connected. ``sides`` tell the blocks apart: pairs within a
-    block of a pair of different ones are left to the task of that block."""
+def _links(sets: list[np.ndarray], copies: np.ndarray, sides: np.ndarray, across: bool, threshold: float) -> tuple[np.ndarray, Forest]:
+    """Linked documents of each text of a block pair, and what is connected. ``sides`` tell the blocks apart; ``across`` says
+    that they are different ones, whose inner pairs are left to the tasks of each block with itself."""
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     _, numbered = np.unique(np.concatenate(sets), return_inverse=True)
     starts = np.concatenate([[0], np.cumsum(sizes)])
     here = np.zeros(int(numbered.max()) + 1, dtype=np.int8)
-    across = sides.min() != sides.max()
     share = round(threshold * 1_000_000)
     links, forest = np.zeros(len(sets), dtype=np.int64), Forest(len(sets))
     for i in range(len(sets) - 1):
@@ -232,7 +231,8 @@ def verified_links(texts: DataFrame, n: int = NGRAM, threshold: float = THRESHOL
                     continue
                 part = part.take(first)
                 sets = [ngram_set(t, n) for t in part["text"].to_pylist()]
-                links, forest = _links(sets, part["copies"].to_numpy(), part["own"].to_numpy(), threshold)
+                across = part["low"][0].as_py() != part["high"][0].as_py()
+                links, forest = _links(sets, part["copies"].to_numpy(), part["own"].to_numpy(), across, threshold)
                 for i in np.flatnonzero(links).tolist():
                     root = forest.root(i)
                     out.append((int(nodes[i]), int(links[i]), int(nodes[root]) if root != i else None))
@@ -242,13 +242,10 @@ def verified_links(texts: DataFrame, n: int = NGRAM, threshold: float = THRESHOL
     return ordered.mapInArrow(verify, LINKED)
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = NGRAM, threshold: float = THRESHOLD,
-                    band_rows: int = ROWS, recall: float = RECALL) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, text_key, class_id, same_set_id, n_links``.
-
-    ``class_id`` is the least id of all documents connected by links, ``same_set_id`` the least of those with the same n-gram
-    set, ``n_links`` the number of other documents at the threshold or above. ``text_key`` is :func:`text_key` of the row.
-    """
+def _classified(docs: DataFrame, doc_id: str, text: str, n: int = NGRAM, threshold: float = THRESHOLD, band_rows: int = ROWS,
+                recall: float = RECALL) -> DataFrame:
+    """``doc_id, text_key, root, class_id, same_set_id, n_links`` of every row; ``root`` names the class, and is null for rows
+    that can have no link."""
     rows = picked(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
     numbered = rows.withColumns({"text_key": text_key("doc_id", "text"), "row": F.monotonically_increasing_id()})
     signed = stored(signatures(numbered, n, band_count(threshold, band_rows, recall), band_rows), "signatures")
@@ -276,17 +273,27 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     placed = placed.withColumn("root", F.coalesce("root", "node"))
     least = placed.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     named = placed.join(least, "root").select(
-        "class", "class_id", F.col("doc_id").alias("same_set_id"),
+        "class", "root", "class_id", F.col("doc_id").alias("same_set_id"),
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
     )
     alone = signed.filter(~linkable).select(
-        "doc_id", "text_key", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("same_set_id"),
-        F.lit(0).cast("long").alias("n_links"),
+        "doc_id", "text_key", F.lit(None).cast("long").alias("root"), F.col("doc_id").alias("class_id"),
+        F.col("doc_id").alias("same_set_id"), F.lit(0).cast("long").alias("n_links"),
     )
     found = signed.filter(linkable).select("doc_id", "text_key", "class").join(named, "class").drop("class")
     return found.unionByName(alone)
 
 
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id, text_key, class_id, same_set_id, n_links``.
+
+    ``class_id`` is the least id of all documents connected by links, ``same_set_id`` the least of those with the same n-gram
+    set, ``n_links`` the number of other documents at the threshold or above. ``text_key`` is :func:`text_key` of the row.
+    Settings are ``n`` words, ``threshold``, ``band_rows`` and ``recall``.
+    """
+    return _classified(docs, doc_id, text, **settings).drop("root")
+
+
 def text_key(doc_id: str, text: str):
     """What tells the rows of a table apart: equal for rows of one id and text only."""
     return F.xxhash64(quoted(doc_id).cast("long"), quoted(text))
@@ -295,9 +302,9 @@ def text_key(doc_id: str, text: str):
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
     """``docs`` with one document of each class: the one with the least id, and of its rows one. Documents without words, and
     rows without an id, stay."""
-    found = near_duplicates(docs, doc_id, text, **settings)
-    named = stored(found.filter("doc_id IS NOT NULL").select("doc_id", "text_key", "class_id").distinct(), "classes-found")
-    kept = named.groupBy("class_id").agg(F.min(F.struct("doc_id", "text_key")).alias("k")).select("k.text_key")
+    found = _classified(docs, doc_id, text, **settings).filter("root IS NOT NULL")
+    named = stored(found.select("doc_id", "text_key", "root").distinct(), "classes-found")
+    kept = named.groupBy("root").agg(F.min(F.struct("doc_id", "text_key")).alias("k")).select("k.text_key")
     gone = named.select("text_key").join(kept, "text_key", "left_anti")
     (key,) = aside(docs.columns, "_text_key")
     keyed = docs.withColumn(key, text_key(doc_id, text))
