@@ -35,23 +35,23 @@ PER_CLASS = 2048
 LATENT = 64
 NEIGHBOURS = 25
 #: A vote weighs its cosine to this power.
-SHARPNESS = 4
+SHARPNESS = 16
 #: Documents whose cosines a task computes at once.
 BLOCK = 256
 #: Words whose terms a worker remembers.
 CACHED_WORDS = 300_000
 
 _SHAPES = (
-    (re.compile("[a-z]+"), "a"),
-    (re.compile("[A-Z]{2,}"), "AA"),
+    (re.compile("[A-Z]{2,}"), "\x00"),
+    (re.compile("[A-Z]"), "A"),
+    (re.compile(r"(?:[a-z]|[^\W\d_A-Z])+"), "a"),
     (re.compile("[0-9]+"), "0"),
-    (re.compile(r"[^\W\d_a-zA-Z]+"), "a"),
-    (re.compile("a{2,}"), "a"),
+    (re.compile("\x00"), "AA"),
 )
 
 
 def shape(word: str) -> str:
-    """A word with its runs of letters and digits each written as one sign."""
+    """A word with each run of letters or digits written as one sign, two for capitals."""
     for pattern, sign in _SHAPES:
         word = pattern.sub(sign, word)
     return word[:12]
