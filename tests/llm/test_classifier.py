@@ -1,0 +1,75 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from steward.llm.bindings import QUERIES
+from steward.llm.classifier import LATENT, SHARPNESS, TERMS, Neighbours, Terms, fit, keep_predicted, quality_scores, shape
+from tests.llm.rows import DOCS, documents, prose
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    rows = [(i, prose(1000 + i, 80), "en", "a") for i in range(60)]
+    rows += [(100 + i, " ".join(w + "###" for w in prose(2000 + i, 80).split()), "en", "a") for i in range(60)]
+    labels = [(i, 1, 0) for i in range(60)] + [(100 + i, 0, 0) for i in range(60)]
+    labels += [(None, 1, 0), (5, None, 0), (7, 1, 0), (99999, 1, 0)]
+    return documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, text int")
+
+
+def test_votes_are_those_of_all_pairs():
+    rng = np.random.default_rng(0)
+    vectors = rng.normal(size=(500, LATENT)).astype(np.float32)
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    labels = rng.random(500)
+    model = Neighbours(rng.normal(size=(TERMS, LATENT)).astype(np.float32), vectors, labels)
+    terms = rng.random((40, TERMS)).astype(np.float32)
+    for row, got in zip(terms, model.scores(terms)):
+        at = row @ model.basis
+        cosines = vectors @ (at / np.linalg.norm(at))
+        best = np.argsort(-cosines)[:25]
+        weight = np.clip(cosines[best], 0, None) ** SHARPNESS
+        assert got == pytest.approx((weight * labels[best]).sum() / weight.sum(), abs=1e-4)
+
+
+def test_shapes():
+    assert shape("Word###") == "Aa###" and shape("über12") == "a0" and shape("ABC!!") == "AA!!"
+    assert not Terms().vector(None).any() and not Terms().vector(" \n").any()
+
+
+def test_held_out_texts_are_told_apart(spark, labelled):
+    docs, labels = labelled
+    got = quality_scores(docs, labels, F.col("doc_id") % 3 != 0).collect()
+    held = [r for r in got if r["doc_id"] % 3 == 0]
+    assert len(got) == 120 and held
+    assert all((r["predicted"] == 1) == (r["doc_id"] < 100) and 0 <= r["score"] <= 1 for r in held)
+
+
+def test_sample_bound_and_repeated_labels(spark, labelled):
+    docs, labels = labelled
+    model = fit(docs, labels, "quality", per_class=10)
+    assert len(model.labels) == 20 and sorted(set(model.labels)) == [0.0, 1.0]
+
+
+def test_odd_rows_and_columns(spark, labelled, odd_documents):
+    docs, labels = labelled
+    model = fit(docs, labels, "quality")
+    kept = keep_predicted(odd_documents, model)
+    assert kept.columns == odd_documents.columns
+    ids = [r["doc_id"] for r in kept.select("doc_id").collect()]
+    assert {0, 1, 2, 5, 6, 7}.issubset(ids) and 13 not in ids and ids.count(10) == 2
+    scored = quality_scores(odd_documents, labels, F.lit(True)).collect()
+    assert len(scored) == len(DOCS) and all(r["score"] is not None for r in scored)
+
+
+def test_nothing_to_learn_from(spark, labelled):
+    docs, labels = labelled
+    none = quality_scores(docs, labels.filter("false"), F.lit(True)).collect()
+    assert {(r["score"], r["predicted"]) for r in none} == {(0.5, 1)}
+    assert quality_scores(documents(spark, []), labels, F.lit(True)).count() == 0
+
+
+def test_held_out_accuracy_on_the_tables(spark, sf):
+    found = QUERIES["op1_quality_classifier"](spark, sf)
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality")
+    held = found.filter("held_out").join(labels, "doc_id").collect()
+    assert len(held) > 50 and sum(r["predicted"] == r["quality"] for r in held) / len(held) > 0.95

@@ -1,0 +1,104 @@
+import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from steward.llm import near_duplicates as nd
+from steward.llm.near_duplicates import band_count, keep_one, near_duplicates, ngram_set, signature
+from tests.llm.rows import DOCS, bag, documents, prose
+
+
+def grams(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def brute(rows):
+    """Class, set class and links of every row, by comparing all pairs."""
+    sets = [grams(t) for _, t, *_ in rows]
+    ok = [bool(s) and r[0] is not None for s, r in zip(sets, rows)]
+    up = list(range(len(rows)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    links = [0] * len(rows)
+    for i in range(len(rows)):
+        for j in range(i):
+            if ok[i] and ok[j] and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                links[i] += 1
+                links[j] += 1
+                up[root(i)] = root(j)
+    classes, same = defaultdict(list), defaultdict(list)
+    for i, r in enumerate(rows):
+        if ok[i]:
+            classes[root(i)].append(r[0])
+            same[frozenset(sets[i])].append(r[0])
+    out = [
+        (r[0], min(classes[root(i)]) if ok[i] else r[0], min(same[frozenset(sets[i])]) if ok[i] else r[0], links[i])
+        for i, r in enumerate(rows)
+    ]
+    return sorted(out, key=lambda r: [(v is not None, v) for v in r])
+
+
+def found(df, **settings):
+    return bag(near_duplicates(df, **settings), "doc_id", "class_id", "same_set_id", "n_links")
+
+
+def family(seed, n, edits, size=120):
+    """A text, copies of it, and versions with some words changed."""
+    rng = random.Random(seed)
+    base = prose(seed, size).split()
+    out = []
+    for i in range(n):
+        words = list(base)
+        for _ in range(rng.randint(0, edits)):
+            words[rng.randrange(len(words))] = f"new{rng.randrange(10**6)}"
+        out.append(" ".join(words))
+    return out
+
+
+def test_equals_all_pairs(spark):
+    texts = [t for seed in range(12) for t in family(seed, 8, 6)] + [prose(5000 + i, 60) for i in range(40)]
+    rows = [(i, t, "en", "a") for i, t in enumerate(texts)]
+    random.Random(1).shuffle(rows)
+    assert found(documents(spark, rows)) == brute(rows)
+
+
+@pytest.mark.parametrize("texts", [3, 20])
+def test_blocks_of_any_size_give_the_same(spark, monkeypatch, texts):
+    monkeypatch.setattr(nd, "BLOCK_TEXTS", texts)
+    monkeypatch.setattr(nd, "BUCKET_BLOCK", texts)
+    rows = [(i, t, "en", "a") for i, t in enumerate([*family(1, 70, 3), *family(2, 30, 12)])]
+    assert found(documents(spark, rows)) == brute(rows)
+
+
+def test_odd_rows_and_columns(spark, odd_documents):
+    assert found(odd_documents) == brute(DOCS)
+    kept = keep_one(odd_documents)
+    assert kept.columns == odd_documents.columns
+    ids = sorted((r["doc_id"] is not None, r["doc_id"]) for r in kept.select("doc_id").collect())
+    # 1 copies 0; 3 and 4 are near 2; 10 is there twice; both texts of 15 stay, and so do rows without id or words.
+    assert [i for _, i in ids] == [None, None, 0, 2, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 15]
+
+
+def test_empty_and_wordless_tables(spark):
+    assert near_duplicates(documents(spark, [])).count() == 0 and keep_one(documents(spark, [])).count() == 0
+    wordless = documents(spark, [(1, None, "en", "a"), (2, "", "en", "a")])
+    assert found(wordless) == [(1, 1, 1, 0), (2, 2, 2, 0)]
+
+
+def test_recall_of_bands():
+    bands = band_count(0.8, nd.ROWS, nd.RECALL)
+    assert 1 - (1 - 0.8**nd.ROWS) ** bands >= nd.RECALL > 1 - (1 - 0.8**nd.ROWS) ** (bands - 1)
+
+
+def test_signatures_agree_as_sets_do():
+    a, b = prose(1, 900).split(), prose(2, 900).split()
+    x, y = ngram_set(" ".join(a[:800] + b[:100])), ngram_set(" ".join(a))
+    share = len(np.intersect1d(x, y)) / len(np.union1d(x, y))
+    assert abs((signature(x, 4000) == signature(y, 4000)).mean() - share) < 0.03
+    assert len(ngram_set(" ".join(a))) == len(grams(" ".join(a)))
