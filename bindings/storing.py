@@ -5,12 +5,14 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bindings.registry import query, table
 from bindings.typing import LINE_TYPES, TEXTS_SQL, texts
-from steward.operators.coerce import REJECT, coerce
+from steward.operators.coerce import REJECT, accepted, coerce
 from steward.operators.profile import align
 from steward.session import scratch_path
+from steward.plans.load import load_fresh
 from steward.sources import files, schemas, sinks, tables
 
 
@@ -35,7 +37,7 @@ def _contents(spark, name, path):
 def s1(spark, sf):
     path = scratch_path(spark, "documents.csv")
     sinks.write_csv(table(spark, sf, "documents"), path)
-    return files.read_csv(spark, path)
+    return accepted(files.read_csv(spark, path))
 
 
 @query(
@@ -47,7 +49,7 @@ def s1b(spark, sf):
     kind = F.col("event_type")
     given = F.when(kind == "view", "").when(kind != "click", kind)
     sinks.write_csv(table(spark, sf, "events").select("user_id", given.alias("kind")), path)
-    return files.read_csv(spark, path, newline_free=True)
+    return accepted(files.read_csv(spark, path, newline_free=True))
 
 
 @query(
@@ -81,7 +83,140 @@ def s3(spark, sf):
     )
     path = scratch_path(spark, "conversations.json")
     talk.select(pair.alias("value")).write.text(path)
-    return files.read_json(spark, path, schema=talk.schema, lines=True)
+    return accepted(files.read_json(spark, path, schema=talk.schema, lines=True))
+
+
+#: Orders as lines of text: of seven, one is short, one has a value too many and one an unreadable number.
+RAGGED_SQL = """
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_orderkey % 7 AS kind FROM orders
+"""
+
+
+def _ragged(spark, sf):
+    orders = table(spark, sf, "orders")
+    kind = F.col("o_orderkey") % 7
+    line = (
+        F.when(kind == 1, F.col("o_orderkey").cast("string"))
+        .when(kind == 2, F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderstatus", F.lit("EXTRA")))
+        .when(kind == 3, F.concat_ws(",", "o_orderkey", F.lit("bad"), "o_orderstatus"))
+        .otherwise(F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderstatus"))
+    )
+    path = scratch_path(spark, "ragged.csv")
+    # One header for each part, as writers of delimited files leave it.
+    header = spark.range(1).select(F.lit("o_orderkey,o_custkey,o_orderstatus").alias("value"))
+    header.unionAll(orders.select(line.alias("value"))).coalesce(1).write.text(path)
+    return path
+
+
+LINES = "o_orderkey long, o_custkey long, o_orderstatus string"
+
+
+@query(
+    "S1c_read_ragged_csv",
+    f"""
+    SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CASE WHEN kind IN (1, 2) THEN 1 ELSE 0 END AS notes FROM ({RAGGED_SQL})
+    """,
+)
+def s1c(spark, sf):
+    lines = files.read_csv(spark, _ragged(spark, sf), newline_free=True)
+    return lines.select("o_orderkey", F.size(REJECT).alias("notes"))
+
+
+@query(
+    "S2b_typed_load_of_ragged_csv",
+    f"SELECT o_orderkey, o_custkey, o_orderstatus FROM ({RAGGED_SQL}) WHERE kind NOT IN (1, 2, 3)",
+)
+def s2b(spark, sf):
+    schema = T.StructType.fromDDL(LINES)
+    name, place = _declared(spark, schema)
+    sinks.load_csv(spark, _ragged(spark, sf), name, newline_free=True)
+    return _contents(spark, name, place)
+
+
+@query(
+    "S2c_rejects_of_ragged_csv",
+    f"""
+    SELECT o_orderkey, CASE kind
+        WHEN 1 THEN 'line does not fit the table: ' || o_orderkey
+        WHEN 2 THEN 'line does not fit the table: ' || concat_ws(',', o_orderkey, o_custkey, o_orderstatus, 'EXTRA')
+        ELSE 'o_custkey: not a valid bigint' END AS reason
+    FROM ({RAGGED_SQL}) WHERE kind IN (1, 2, 3)
+    """,
+)
+def s2c(spark, sf):
+    schema = T.StructType.fromDDL(LINES)
+    name, _ = _declared(spark, schema)
+    report = sinks.load_csv(spark, _ragged(spark, sf), name, newline_free=True)
+    spark.sql(f"DROP TABLE {name}")
+    return report.rejects.select("o_orderkey", F.explode(REJECT).alias("reason"))
+
+
+@query("S3b_read_json_document", "SELECT c_custkey, c_name, c_acctbal FROM customer")
+def s3b(spark, sf):
+    # Documents of at most a thousand records each, one to a file.
+    customer = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
+    path = scratch_path(spark, "customer.json")
+    text = F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct(*customer.columns))), ",\n"), F.lit("]"))
+    documents = customer.groupBy(F.expr("c_custkey DIV 1000").alias("document")).agg(text.alias("value"))
+    documents.write.partitionBy("document").text(path)
+    return accepted(files.read_json(spark, f"{path}/*", customer.schema))
+
+
+@query(
+    "S3c_read_broken_json",
+    """
+    SELECT CASE WHEN e.event_id % 5 = 1 THEN NULL ELSE e.event_id END AS event_id,
+           CASE WHEN e.event_id % 5 IN (1, 2) THEN NULL ELSE e.user_id END AS user_id,
+           CASE WHEN e.event_id % 5 IN (1, 2) THEN 1 ELSE 0 END AS notes
+    FROM events e
+    """,
+)
+def s3c(spark, sf):
+    # Of five records, one is cut off and one holds a text where a number belongs.
+    kind = F.col("event_id") % 5
+    whole = F.to_json(F.struct("event_id", "user_id"))
+    line = F.when(kind == 1, '{"event_id": ').when(kind == 2, F.to_json(F.struct("event_id", F.lit("bad").alias("user_id"))))
+    path = scratch_path(spark, "broken.json")
+    table(spark, sf, "events").select(line.otherwise(whole).alias("value")).write.text(path)
+    records = files.read_json(spark, path, T.StructType.fromDDL("event_id long, user_id long"), lines=True)
+    return records.select("event_id", "user_id", F.size(REJECT).alias("notes"))
+
+
+def _loaded(spark, sf, times):
+    """The supplier file loaded into a table that holds a third of it already."""
+    supplier = table(spark, sf, "supplier")
+    path = scratch_path(spark, "supplier.csv")
+    sinks.write_csv(supplier, path)
+    name, place = _declared(spark, supplier.schema)
+    sinks.append_rows(supplier.where("s_suppkey % 3 = 0"), name)
+    reports = [load_fresh(spark, path, ".csv", name, newline_free=True) for _ in range(times)]
+    return reports, _contents(spark, name, place)
+
+
+@query("S9d_load_fresh", "SELECT * FROM supplier")
+def s9d(spark, sf):
+    return _loaded(spark, sf, 1)[1]
+
+
+@query(
+    "S9e_load_fresh_twice",
+    "SELECT count(*) AS rows, count(*) FILTER (s_suppkey % 3 <> 0) AS first_load, 0 AS second_load FROM supplier".replace(" 0 AS", " CAST(0 AS BIGINT) AS"),
+)
+def s9e(spark, sf):
+    reports, rows = _loaded(spark, sf, 2)
+    first, second = (F.lit(r.append.appended).cast("bigint") for r in reports)
+    return rows.agg(F.count(F.lit(1)).alias("rows")).select("rows", first.alias("first_load"), second.alias("second_load"))
+
+
+@query(
+    "S9f_load_fresh_rejects",
+    f"SELECT o_orderkey, kind FROM ({RAGGED_SQL}) WHERE kind IN (1, 2, 3)",
+)
+def s9f(spark, sf):
+    name, _ = _declared(spark, T.StructType.fromDDL(LINES))
+    report = load_fresh(spark, _ragged(spark, sf), ".csv", name, newline_free=True)
+    spark.sql(f"DROP TABLE {name}")
+    return report.unreadable.select("o_orderkey", (F.col("o_orderkey") % 7).alias("kind"))
 
 
 @query("S4_S5_extract_table", "SELECT * FROM customer")
@@ -122,7 +257,7 @@ def s7(spark, sf):
     supplier = table(spark, sf, "supplier").selectExpr("s_suppkey AS key", "s_name AS name")
     path = scratch_path(spark, "parties.csv")
     sinks.write_csv(align([supplier, customer]), path)
-    return files.read_csv(spark, path)
+    return accepted(files.read_csv(spark, path))
 
 
 @query("S8_write_json", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
@@ -130,7 +265,7 @@ def s8(spark, sf):
     events = table(spark, sf, "events")
     path = scratch_path(spark, "events.json")
     sinks.write_json(events, path)
-    return files.read_json(spark, path, schema=events.schema, lines=True)
+    return accepted(files.read_json(spark, path, schema=events.schema, lines=True))
 
 
 GOOD_LINES_SQL = f"""

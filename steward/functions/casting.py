@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # White space around a literal, the characters of decimal literals, and the words for special values and booleans.
 BLANKS = " \t\n\r\f\x0b"
@@ -77,14 +78,29 @@ def as_text(value: Column, strict: bool = False) -> Column:
     return value.cast("string")
 
 
-def as_boolean(value: Column, strict: bool = False, mode: str = "token") -> Column:
+def truthy(value: Column, held: T.DataType) -> Column:
+    """True for texts and collections that are not empty, numbers other than 0 and true itself; false for absent values."""
+    if isinstance(held, T.BooleanType):
+        holds = value
+    elif isinstance(held, T.NumericType):
+        holds = value != 0
+    elif isinstance(held, (T.ArrayType, T.MapType)):
+        holds = F.size(value) > 0
+    elif isinstance(held, (T.StringType, T.BinaryType)):
+        holds = F.length(value) > 0
+    else:
+        holds = value.isNotNull()
+    return F.coalesce(holds, F.lit(False))
+
+
+def as_boolean(value: Column, strict: bool = False, mode: str = "token", held: T.DataType | None = None) -> Column:
     """C4: a boolean.
 
-    ``token`` reads t/true/y/yes/1 and f/false/n/no/0 in any case. ``truthy`` is true for every non-empty text, so
-    ``'f'`` is true, and false for empty and absent ones.
+    ``token`` reads t/true/y/yes/1 and f/false/n/no/0 in any case. ``truthy`` depends on the type that the column ``held``,
+    a text where none is given: ``'f'`` is then true, and so is the text ``'0'``, but not the number.
     """
     if mode == "truthy":
-        return F.coalesce(F.length(value.cast("string")) > 0, F.lit(False))
+        return truthy(value if held else value.cast("string"), held or T.StringType())
     if mode != "token":
         raise ValueError(f"unknown boolean mode {mode!r}; use 'token' or 'truthy'")
     word = F.lower(F.btrim(value.cast("string"), F.lit(BLANKS)))

@@ -58,6 +58,12 @@ def coerce(df: DataFrame, types: Mapping[str, str], strict: bool = False) -> Dat
 
 def _cast(field: T.StructField, type_name: str, strict: bool) -> Column:
     value = F.col(f"`{field.name}`")
+    if type_name in ("tuple", "list") and isinstance(field.dataType, T.ArrayType):
+        return value
+    if type_name == "dict" and isinstance(field.dataType, (T.MapType, T.StructType)):
+        return value
+    if type_name in ("int", "integer", "float") and isinstance(field.dataType, T.BooleanType):
+        return value.cast("int").cast("double" if type_name == "float" else "bigint")
     if type_name in ("int", "integer") and isinstance(field.dataType, T.NumericType) and not strict:
         return truncated(value.cast("double"))  # a number needs no detour through text
     return cast_as(value, type_name, strict)
@@ -66,9 +72,11 @@ def _cast(field: T.StructField, type_name: str, strict: bool) -> Column:
 def _with_notes(df: DataFrame, results: Mapping[str, Column], kinds: Mapping[str, str]) -> DataFrame:
     """The results under their names, and a note for each value that was given but could not be read."""
     given = [c for c in results if c in df.columns]
+    earlier = [F.col(REJECT)] if REJECT in df.columns and REJECT not in results else []
     # Two projections, so that a note looks at the finished value and does not work it out again.
     both = df.select(
         *[F.col(f"`{c}`").alias(f"_given{i}") for i, c in enumerate(given)],
+        *[notes.alias("_earlier") for notes in earlier],
         *[result.alias(f"_read{i}") for i, result in enumerate(results.values())],
     )
     place = {c: i for i, c in enumerate(results)}
@@ -79,6 +87,8 @@ def _with_notes(df: DataFrame, results: Mapping[str, Column], kinds: Mapping[str
         # Most rows are fine and get the constant empty array.
         any_bad = reduce(lambda a, b: a | b, failed.values())
         reject = F.when(any_bad, F.array_compact(F.array(*notes))).otherwise(reject)
+    if earlier:
+        reject = F.concat(F.col("_earlier"), reject)
     return both.select(*[F.col(f"_read{i}").alias(c) for c, i in place.items()], reject.alias(REJECT))
 
 
@@ -94,12 +104,12 @@ def coerce_through(
 
 
 def conform(df: DataFrame, schema: T.StructType, empty_as_null: bool = True) -> DataFrame:
-    """File rows in the column order and types of a stored table, with the ``_reject`` column.
+    """File rows in the column order and types of a stored table, with the ``_reject`` column; notes they have are kept.
 
     Empty texts become NULL, boolean columns also read ``t``/``TRUE``/``f``/``FALSE``, integers and floats follow the
     casting rules of the library, and any other type is read by Spark. A column the file lacks is NULL.
     """
-    extra = [c for c in df.columns if c not in schema.fieldNames()]
+    extra = [c for c in df.columns if c not in schema.fieldNames() and c != REJECT]
     if extra:
         raise ValueError(f"the table has no column(s) {', '.join(extra)}")
     if empty_as_null:
@@ -107,7 +117,7 @@ def conform(df: DataFrame, schema: T.StructType, empty_as_null: bool = True) ->
         df = df.select(
             *[empty_to_null(F.col(f"`{c}`")).alias(c) if text else F.col(f"`{c}`") for c, text in zip(df.columns, texts)]
         )
-    results = {f.name: _conformed(df, f) for f in schema.fields}
+    results = {f.name: _conformed(df, f) for f in schema.fields if f.name != REJECT}
     return _with_notes(df, results, {f.name: f.dataType.simpleString() for f in schema.fields})
 
 
@@ -126,6 +136,8 @@ def _conformed(df: DataFrame, field: T.StructField) -> Column:
             return F.coalesce(F.when(whole, given.try_cast(wanted)), cast_as(given, "int").try_cast(wanted))
         if isinstance(wanted, (T.DoubleType, T.FloatType)):
             return cast_as(given, "float").cast(wanted)
+        if isinstance(wanted, (T.ArrayType, T.MapType, T.StructType)):
+            return F.from_json(given, wanted)
     return given.try_cast(wanted)
 
 

@@ -34,13 +34,21 @@ def session(app_name: str = "steward", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
+def is_local(master: str) -> bool:
+    """Whether the driver is the only executor, so that its folders are everybody's."""
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder that every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    A machine-local folder is made only when the cluster names none, which is the case in tests.
+    A machine-local folder is made only where the one machine is all there is; on a cluster, where each executor would write
+    to its own disk and the result be incomplete, a missing setting is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not is_local(spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="steward-")
         spark.sparkContext.setCheckpointDir(root)
     return root
@@ -59,3 +67,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_scratch(df: DataFrame) -> None:
+    """Remove the scratch files that ``df`` reads; it, and what is derived from it, cannot be read after that."""
+    spark = df.sparkSession
+    root = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    inside = files.makeQualified(root).toString().rstrip("/") + "/"
+    for name in {file.rpartition("/")[0] for file in df.inputFiles()}:
+        folder = files.makeQualified(spark._jvm.org.apache.hadoop.fs.Path(name))
+        if folder.toString().startswith(inside):
+            files.delete(folder, True)

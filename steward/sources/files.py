@@ -6,12 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from steward.operators.coerce import REJECT
+from steward.operators.coerce import REJECT, conform
 
 CORRUPT = "_corrupt_record"
 FILE_FORMATS = (".csv", ".json")
 DATABASES = ("postgres", "postgresql")
-TIMESTAMPS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
 
 
 def check_format(extension: str) -> str:
@@ -40,21 +39,51 @@ def _csv(spark: SparkSession, newline_free: bool, **options):
     )
 
 
+def _noted(lines: DataFrame, names: list[str], what: str) -> DataFrame:
+    """The named columns and ``_reject``, with a note for records that the reader could not make fit.
+
+    The note also looks at a column of the record: a query of notes alone is not one that the reader allows.
+    """
+    first = F.length(F.col(f"`{names[0]}`"))
+    unfit = F.col(CORRUPT).isNotNull() | F.coalesce(first < -1, F.lit(False))
+    note = F.when(unfit, F.concat(F.lit(f"{what}: "), F.col(CORRUPT)))
+    return lines.select(*[F.col(f"`{c}`") for c in names], F.array_compact(F.array(note)).alias(REJECT))
+
+
+def _text_lines(spark: SparkSession, path: str | list[str], names: list[str], newline_free: bool, by_name: bool) -> DataFrame:
+    """Lines as text columns with their notes. All columns are parsed, whichever are asked for, so that a line has the same
+    note in every query."""
+    full = T.StructType([*[T.StructField(c, T.StringType()) for c in names], T.StructField(CORRUPT, T.StringType())])
+    reader = _csv(
+        spark, newline_free, enforceSchema=not by_name, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, columnPruning=False
+    )
+    return _noted(reader.schema(full).csv(path), names, "line does not fit the header" if by_name else "line does not fit the table")
+
+
 def read_csv(spark: SparkSession, path: str | list[str], newline_free: bool = False) -> DataFrame:
-    """Delimited files with a header; every value is a string, an empty one is NULL.
+    """Delimited files with a header (S1): every value is a string, an empty one is NULL, and ``_reject`` says which lines have
+    fewer or more values than the header. Files whose headers differ from the first one's are an error.
 
     Say ``newline_free`` when no quoted value holds a line break: only then can Spark split a large file.
     """
-    return repair_header(_csv(spark, newline_free).csv(path))
+    names = repair_header(_csv(spark, newline_free).csv(path)).columns
+    return _text_lines(spark, path, names, newline_free, by_name=True)
 
 
 def read_json(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None, lines: bool = False) -> DataFrame:
     """JSON records: files that each hold one array of objects, or with ``lines`` one object per line (S3).
 
-    Keys that a record lacks are NULL. Only JSON Lines files can be split; with a ``schema`` no inference pass runs.
+    Keys that a record lacks are NULL, and ``_reject`` says which records are broken or hold values of another type. Values
+    are read as text and typed by expressions, so that a record has the same notes in every query. Only JSON Lines files can
+    be split; with a ``schema`` no inference pass runs.
     """
-    reader = spark.read.options(multiLine=not lines)
-    return (reader.schema(schema) if schema else reader).json(path)
+    reader = spark.read.options(multiLine=not lines, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+    if schema is None:
+        inferred = reader.json(path).schema
+        schema = T.StructType([f for f in inferred.fields if f.name != CORRUPT])
+    names = schema.fieldNames()
+    full = T.StructType([*[T.StructField(c, T.StringType()) for c in names], T.StructField(CORRUPT, T.StringType())])
+    return conform(_noted(reader.schema(full).json(path), names, "record cannot be read"), schema, empty_as_null=False)
 
 
 def read_records(spark: SparkSession, path: str, extension: str, **options) -> DataFrame:
@@ -70,12 +99,4 @@ def read_typed_csv(
     Columns are matched by position. A line that is too short, too long or holds an unreadable value keeps what
     could be read and says so in ``_reject``.
     """
-    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    lines = (
-        _csv(spark, newline_free, enforceSchema=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, **TIMESTAMPS)
-        .schema(full)
-        .csv(path)
-    )
-    note = F.when(F.col(CORRUPT).isNotNull(), F.concat(F.lit("line does not fit the table: "), F.col(CORRUPT)))
-    names = [F.col(f"`{f.name}`") for f in schema.fields]
-    return lines.select(*names, F.array_compact(F.array(note)).alias(REJECT))
+    return conform(_text_lines(spark, path, schema.fieldNames(), newline_free, by_name=False), schema)

@@ -87,7 +87,7 @@ def append_rows(
     The typed rows are stored once in the shared scratch folder, so what they are made from is worked out a single
     time, and the rejects stay what they were when the table changes. The key check then reads the key columns only,
     and without violations, which is the usual case, the rows are appended without a join. Without a key, ``stage=False``
-    saves the stored copy where the rows come from plain files; rejects are then worked out from the files again.
+    saves the stored copy where the rows are cheap to work out; rejects are then worked out again.
     """
     if on_violation not in ("quarantine", "fail"):
         raise ValueError("on_violation is 'quarantine' or 'fail'")
@@ -129,4 +129,4 @@ def load_csv(
 ) -> AppendReport:
     """Load delimited files into a declared table (S2). Loading the same file twice appends it twice."""
     lines = read_typed_csv(spark, path, spark.table(table).schema, newline_free)
-    return append_rows(lines, table, key, on_violation, mode, stage=bool(key))
+    return append_rows(lines, table, key, on_violation, mode)

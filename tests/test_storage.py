@@ -1,5 +1,6 @@
 """Files, tables and appends."""
 
+import importlib
 import json
 from collections import Counter
 from datetime import datetime
@@ -9,10 +10,12 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from steward.operators.coerce import REJECT
+from steward.operators.coerce import REJECT, accepted, rejected
 from steward.plans.load import load_fresh
 from steward.sources import files, schemas, sinks, tables
 
+session_module = importlib.import_module("steward.session")
+
 CSV = (
     "﻿id,name,amt,ts,flag\n"
     '1,"a, b",10.555,2024-01-01T00:00:00.123000,t\n'
@@ -61,12 +64,85 @@ def bag(df):
 
 def test_csv_is_all_text(spark, csv_path):
     df = files.read_csv(spark, csv_path)
-    assert df.columns == ["id", "name", "amt", "ts", "flag"]
-    assert set(dict(df.dtypes).values()) == {"string"}
+    assert df.columns == ["id", "name", "amt", "ts", "flag", REJECT]
+    assert {kind for name, kind in df.dtypes if name != REJECT} == {"string"}
     rows = {r.id: r for r in df.collect()}
     assert len(rows) == 6
     assert rows["1"].name == "a, b" and rows["2"].name is None and rows["3"].name is None
     assert rows["4"].name is None and rows["6"].name == "two\nlines"
+    assert {i for i, r in rows.items() if r[REJECT]} == {"4", "5"}
+
+
+def test_notes_do_not_depend_on_the_columns_read(spark, tmp_path):
+    path = tmp_path / "bad.csv"
+    path.write_text("id,name,n\n1,a,1\n2\n3,c,3,EXTRA\nx,d,4\n5,e,5\n")
+    for df in (
+        files.read_typed_csv(spark, str(path), T.StructType.fromDDL("id int, name string, n int")),
+        files.read_csv(spark, str(path), newline_free=True).where("id <> 'x'"),
+    ):
+        good, bad = accepted(df), rejected(df)
+        expected = 3 if "int" in dict(df.dtypes).values() else 2
+        for part, n in ((good, 2), (bad, expected)):
+            assert part.count() == n and len(part.collect()) == n
+            for column in part.columns:
+                assert len(part.select(column).collect()) == n
+
+
+def test_records_keep_their_notes_whatever_is_read(spark, tmp_path):
+    (tmp_path / "r.json").write_text('{"id": 1, "n": "y"}\n{"id": "bad", "n": "y"}\n{"id": 3\n{"n": "z", "l": [1, 2]}\n')
+    schema = T.StructType.fromDDL("id long, n string, l array<int>")
+    df = files.read_json(spark, str(tmp_path / "r.json"), schema, lines=True)
+    for part, n in ((accepted(df), 2), (rejected(df), 2)):
+        assert part.count() == n
+        for column in part.columns:
+            assert len(part.select(column).collect()) == n
+    assert accepted(df).where("id IS NULL").first() == (None, "z", [1, 2])
+
+
+def test_files_with_other_headers_are_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,name\n1,x\n")
+    (tmp_path / "b.csv").write_text("name,id\ny,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_csv(spark, str(tmp_path)).collect()
+
+
+def test_ragged_lines_are_not_loaded(spark, tmp_path, new_table):
+    (tmp_path / "a.csv").write_text("id,v\n1,x\n2\n3,z,EXTRA\n4,w\n")
+    name = new_table(KEYED)
+    report = load_fresh(spark, str(tmp_path / "a.csv"), ".csv", name)
+    assert report.append.appended == 2 and report.unreadable.count() == 2
+    assert {r.id for r in report.unreadable.collect()} == {2, 3}
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    assert session_module.is_local("local[8]") and session_module.is_local("local")
+    assert not any(map(session_module.is_local, ("local-cluster[2,1,1024]", "yarn", "spark://x:7077")))
+    held = session_module.stored(spark.range(3), "kept")
+    assert held.count() == 3
+    session_module.remove_scratch(held)
+    with pytest.raises(Exception, match="(?i)not exist|not found"):
+        held.count()
+
+
+class _Cluster:
+    """What :func:`scratch_root` asks of a session, as a cluster answers."""
+
+    def __init__(self, folder):
+        self.conf = self
+        self.sparkContext = self
+        self.master, self.folder = "yarn", folder
+
+    def get(self, name, default):
+        return self.folder if name == "spark.checkpoint.dir" else default
+
+    def getCheckpointDir(self):
+        return None
+
+
+def test_scratch_root_of_a_cluster():
+    assert session_module.scratch_root(_Cluster("hdfs://x/tmp")) == "hdfs://x/tmp"
+    with pytest.raises(RuntimeError):
+        session_module.scratch_root(_Cluster(None))
 
 
 def test_typed_csv_flags_lines_that_do_not_fit(spark, csv_path):
@@ -100,9 +176,9 @@ def test_json_array_and_lines(spark, tmp_path):
     (tmp_path / "array.json").write_text(json.dumps(records, indent=1))
     (tmp_path / "lines.json").write_text("\n".join(map(json.dumps, records)))
     want = Counter([(1, "x", None), (2, None, True)])
-    assert bag(files.read_json(spark, str(tmp_path / "array.json"))) == want
-    assert bag(files.read_json(spark, str(tmp_path / "lines.json"), lines=True)) == want
-    assert bag(files.read_records(spark, str(tmp_path / "array.json"), ".json")) == want
+    assert bag(accepted(files.read_json(spark, str(tmp_path / "array.json")))) == want
+    assert bag(accepted(files.read_json(spark, str(tmp_path / "lines.json"), lines=True))) == want
+    assert bag(accepted(files.read_records(spark, str(tmp_path / "array.json"), ".json"))) == want
 
 
 def test_guards(spark, tmp_path):
@@ -122,12 +198,12 @@ def test_write_and_read_back(spark, tmp_path):
     df = spark.createDataFrame(rows, "i int, s string, t timestamp_ntz, l array<int>")
     sinks.write_csv(df, str(tmp_path / "out.csv"))
     got = {r.i: r for r in files.read_csv(spark, str(tmp_path / "out.csv")).collect()}
-    assert got["1"][1:] == (' padded "quoted", ', "2024-01-01T00:00:00.000001", "[1,2]")
-    assert got["2"][1:] == ("two\nlines", None, None)
+    assert got["1"][1:-1] == (' padded "quoted", ', "2024-01-01T00:00:00.000001", "[1,2]")
+    assert got["2"][1:-1] == ("two\nlines", None, None)
     sinks.write_records(df, str(tmp_path / "out.json"), ".json")
     with pytest.raises(ValueError):
         sinks.write_records(df, str(tmp_path / "out.xml"), ".xml")
-    assert bag(files.read_json(spark, str(tmp_path / "out.json"), df.schema, lines=True).drop("l")) == bag(df.drop("l"))
+    assert bag(accepted(files.read_json(spark, str(tmp_path / "out.json"), df.schema, lines=True)).drop("l")) == bag(df.drop("l"))
 
 
 def test_header_repair(spark):
