@@ -61,8 +61,9 @@ def q2b(spark, sf):
     """,
 )
 def q3(spark, sf):
+    orders = table(spark, sf, "orders").select("o_custkey", F.col("o_totalprice").cast("decimal(18,2)").alias("amount"))
     return analytics.top_groups_by_volume(
-        table(spark, sf, "orders"),
+        orders,
         table(spark, sf, "customer"),
         table(spark, sf, "nation"),
         tx_account="o_custkey",
@@ -70,7 +71,31 @@ def q3(spark, sf):
         account_owner="c_nationkey",
         owner_id="n_nationkey",
         group="n_name",
-        amount="o_totalprice",
+        amount="amount",
+    )
+
+
+@query(
+    "Q3b_top_groups_by_fine_volume",
+    """
+    SELECT c_mktsegment, sum(CAST(l_extendedprice * l_discount AS DECIMAL(18,4))) AS total_vol
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+    GROUP BY c_mktsegment ORDER BY total_vol DESC, c_mktsegment LIMIT 3
+    """,
+)
+def q3b(spark, sf):
+    exact = (F.col("l_extendedprice") * F.col("l_discount")).cast("decimal(18,4)").alias("amount")
+    return analytics.top_groups_by_volume(
+        table(spark, sf, "lineitem").select("l_orderkey", exact),
+        table(spark, sf, "orders"),
+        table(spark, sf, "customer"),
+        tx_account="l_orderkey",
+        account_id="o_orderkey",
+        account_owner="o_custkey",
+        owner_id="c_custkey",
+        group="c_mktsegment",
+        amount="amount",
+        top=3,
     )
 
 
@@ -82,10 +107,39 @@ def q3(spark, sf):
     """,
 )
 def q4(spark, sf):
-    means = analytics.mean_by_group(table(spark, sf, "events"), "event_type", "value")
+    means = analytics.mean_by_group(table(spark, sf, "events"), "event_type", "value", scale=2)
     return means.orderBy(F.col("mean_value").desc_nulls_last())
 
 
+@query(
+    "Q4b_mean_of_fine_values",
+    """
+    SELECT l_returnflag, CAST(sum(CAST(l_discount * l_tax AS DECIMAL(18,4))) AS DOUBLE) / count(*) AS mean_value
+    FROM lineitem GROUP BY l_returnflag
+    """,
+)
+def q4b(spark, sf):
+    product = (F.col("l_discount") * F.col("l_tax")).cast("decimal(18,4)").alias("value")
+    return analytics.mean_by_group(table(spark, sf, "lineitem").select("l_returnflag", product), "l_returnflag", "value")
+
+
+@query(
+    "Q5b_rapid_fire_with_null_keys",
+    """
+    SELECT event_id, kind, ts, tx_count FROM (
+        SELECT event_id, kind, ts, count(*) OVER (
+            PARTITION BY kind ORDER BY ts
+            RANGE BETWEEN INTERVAL 1 HOURS PRECEDING AND CURRENT ROW) AS tx_count
+        FROM (SELECT event_id, nullif(event_type, 'view') AS kind, date_trunc('minute', ts) AS ts FROM events))
+    WHERE tx_count > 3
+    """,
+)
+def q5b(spark, sf):
+    kind = F.nullif(F.col("event_type"), F.lit("view")).alias("kind")
+    minute = F.date_trunc("minute", "ts").cast("timestamp_ntz").alias("ts")
+    return analytics.rapid_fire_in_frame(table(spark, sf, "events").select("event_id", kind, minute), "kind", "ts", 3600, 3)
+
+
 @query(
     "Q5_rapid_fire_in_frame",
     """
@@ -125,7 +179,7 @@ def q6(spark, sf):
     """,
 )
 def q7(spark, sf):
-    return analytics.rank_by_mean(table(spark, sf, "events"), "event_type", "value")
+    return analytics.rank_by_mean(table(spark, sf, "events"), "event_type", "value", scale=2)
 
 
 @query(
@@ -137,4 +191,4 @@ def q7(spark, sf):
     """,
 )
 def q7b(spark, sf):
-    return analytics.rank_by_mean(table(spark, sf, "events"), "user_id", "value")
+    return analytics.rank_by_mean(table(spark, sf, "events"), "user_id", "value", scale=2)

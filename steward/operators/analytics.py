@@ -11,12 +11,23 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from steward.session import stored
 
-MONEY = "decimal(38,2)"
-#: Groups that one window may rank: one short row each.
-RANKED_IN_ONE_TASK = 1_000_000
+#: Units of :func:`rapid_fire_by_bucket`.
+UNITS = ("microsecond", "millisecond", "second", "minute", "hour", "day", "week", "month", "quarter", "year")
+
+
+def _summable(df: DataFrame, value: str, scale: int | None) -> Column:
+    """``value`` as a number whose sum does not depend on the order of the rows, where there is one: decimals and integers as
+    they are, others as decimals with ``scale`` digits. Without a scale, others are summed as doubles."""
+    column, held = F.col(f"`{value}`"), df.schema[value].dataType
+    if isinstance(held, T.DecimalType):
+        return column
+    if isinstance(held, T.IntegralType):
+        return column.cast("decimal(20,0)")
+    return column.cast("double") if scale is None else column.cast(f"decimal(28,{scale})")
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -33,6 +44,8 @@ def rapid_fire_by_bucket(tx: DataFrame, key: str, ts: str, unit: str = "minute",
     A burst that straddles a boundary is split between two buckets and may be missed; see
     :func:`rapid_fire_in_frame` for the sliding form.
     """
+    if unit.lower() not in UNITS:
+        raise ValueError(f"unknown unit {unit!r}; use one of {', '.join(UNITS)}")
     bucket = F.date_trunc(unit, F.col(ts)).cast(tx.schema[ts].dataType).alias("bucket")
     return (
         tx.groupBy(F.col(key), bucket)
@@ -52,18 +65,20 @@ def top_groups_by_volume(
     owner_id: str,
     group: str,
     amount: str,
+    scale: int | None = None,
     top: int = 5,
 ) -> DataFrame:
     """Groups of owners ranked by the outgoing volume of their accounts (Q3).
 
     The volume is summed before each join: sums distribute over the join, so the fact rows shrink to one row per
     account, then one per owner, and a hot account never meets the join as raw rows. Equal volumes are ordered by
-    the group name.
+    the group name. Decimal amounts are summed with all their digits, others as :func:`mean_by_group` does.
     """
+    summed = _summable(tx, amount, scale)
     per_account = (
         tx.where(F.col(tx_account).isNotNull())
         .groupBy(F.col(tx_account).alias("_account"))
-        .agg(F.sum(F.col(amount).cast("decimal(18,2)")).alias("_vol"))
+        .agg(F.sum(summed).alias("_vol"))
     )
     per_owner = (
         per_account.join(
@@ -75,34 +90,31 @@ def top_groups_by_volume(
     return (
         per_owner.join(owners.select(F.col(owner_id).alias("_owner"), F.col(group)), "_owner")
         .groupBy(group)
-        .agg(F.sum("_vol").cast(MONEY).alias("total_vol"))
+        .agg(F.sum("_vol").alias("total_vol"))
         .orderBy(F.col("total_vol").desc_nulls_last(), F.col(group).asc_nulls_last())
         .limit(top)
     )
 
 
-def mean_by_group(df: DataFrame, group: str, value: str, scale: int = 2) -> DataFrame:
+def mean_by_group(df: DataFrame, group: str, value: str, scale: int | None = None) -> DataFrame:
     """Mean of ``value`` per ``group`` (Q4).
 
-    The sum is taken in decimals with ``scale`` digits, so the mean does not depend on the order of the rows, and
-    is divided as a double, so it is not cut to the scale of the input. Sort the result for display.
+    Decimals and integers are summed with all their digits, so the mean does not depend on the order of the rows; the sum is
+    divided as a double, so the mean is not cut to the scale of the input. Doubles are summed as they are, unless ``scale``
+    says how many digits they have: they are then summed as decimals, too. Sort the result for display.
     """
-    exact = F.col(value).cast(f"decimal(18,{scale})")
+    exact = _summable(df, value, scale)
     return df.groupBy(group).agg((F.sum(exact).cast("double") / F.count(exact)).alias("mean_value"))
 
 
-def rank_by_mean(df: DataFrame, group: str, value: str, scale: int = 2) -> DataFrame:
+def rank_by_mean(df: DataFrame, group: str, value: str, scale: int | None = None) -> DataFrame:
     """Groups ranked by descending mean; equal means share a rank (Q7).
 
-    The means, one row per group, are stored in the shared scratch folder and counted, which is an action. Up to
-    ``RANKED_IN_ONE_TASK`` groups are ranked by one window. More are counted per distinct mean, so a mean that very
-    many groups share is one row, and the distinct means are ranked in slices between quantiles; the groups then
-    look their rank up.
+    The means, one row per group, are stored in the shared scratch folder. They are counted per distinct mean, so a mean that
+    very many groups share is one row, and the distinct means are ranked in slices between quantiles, whose estimation is an
+    action; the groups then look their rank up.
     """
     means = stored(mean_by_group(df, group, value, scale), "means")
-    if means.count() <= RANKED_IN_ONE_TASK:
-        rank = F.rank().over(Window.orderBy(F.col("mean_value").desc_nulls_last()))
-        return means.withColumn("sentiment_rank", rank.cast("bigint"))
     # A mean is finite, so this places groups without any value last.
     sortable = F.coalesce("mean_value", F.lit(float("-inf"))).alias("_mean")
     ranks = stored(_ranks(means.select(sortable)), "ranks")
@@ -146,79 +158,53 @@ def rapid_fire_in_frame(
     """Rows that end a run of more than ``more_than`` rows of their key within ``frame_seconds`` (Q5).
 
     ``tx_count`` is the number of rows of the key in ``[ts - frame, ts]``, peers included: the count of
-    ``RANGE BETWEEN frame PRECEDING AND CURRENT ROW``. Rows without key or time belong to no run and are left out.
-
-    A range frame is re-evaluated for each row and would hold all rows of a key in one task. Here each row opens at
-    its time and closes one frame later, and the count is the running sum of openings and closings. The time line
-    of a key is cut into slices, each a window partition of its own; slices are two frames long by default, and then
-    a row that is still open at the end of its slice opens the next one, all in a single shuffle. A key that fires
-    extremely often can be cut finer: with slices shorter than the frame, what is open at the start of a slice is the
-    running total of the preceding slices, which are aggregated in a second pass. The result is the same.
+    ``RANGE BETWEEN frame PRECEDING AND CURRENT ROW``. NULL is a key like any other; rows without time are left out.
+
+    A range frame is re-evaluated for each row and would hold all rows of a key in one task. Here the rows of a key and
+    instant are counted first, which combines before the shuffle; the count opens at its instant and closes one frame
+    later, and what a frame holds is the running sum of openings and closings. The time line of a key is cut into slices,
+    each a window partition of its own, and what is open at the start of a slice is the running total of the slices before,
+    one short row each. Only the instants above the limit meet the rows again. By default a frame is sixteen slices;
+    ``slice_seconds`` cuts keys that fire extremely often finer still. The result is the same.
     """
     keys = [key] if isinstance(key, str) else list(key)
     frame = round(frame_seconds * 1_000_000)
-    width = round(slice_seconds * 1_000_000) if slice_seconds else 2 * frame
+    width = round(slice_seconds * 1_000_000) if slice_seconds else max(1, frame // 16)
     if frame <= 0 or width <= 0:
         raise ValueError("frame_seconds and slice_seconds must be positive")
 
     slots = [f"_k{i}" for i in range(len(keys))]
-    present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, ts]])
-    timed = tx.where(present).select(
-        *[F.col(k).alias(slot) for k, slot in zip(keys, slots)],
-        _micros(F.col(ts)).alias("_opens"),
-        F.struct(*[F.col(f"`{c}`") for c in tx.columns]).alias("_row"),
+    at_once = [F.col(f"`{k}`").alias(slot) for k, slot in zip(keys, slots)]
+    timed = tx.where(F.col(f"`{ts}`").isNotNull()).select(
+        *at_once, _micros(F.col(f"`{ts}`")).alias("_opens"), F.struct(*[F.col(f"`{c}`") for c in tx.columns]).alias("_row")
+    )
+    instants = timed.groupBy(*slots, "_opens").agg(F.count(F.lit(1)).alias("_n"))
+    steps = instants.select(*slots, "_opens", F.posexplode(F.array(F.col("_n"), -F.col("_n"))).alias("_kind", "_step"))
+    at = F.col("_opens") + F.col("_kind") * F.lit(frame)
+    # At one time openings come before closings, since a frame includes both its ends.
+    marks = steps.select(
+        *slots, "_opens", "_kind", "_step", _slice_of(at, width).alias("_slice"), (at * 2 + F.col("_kind")).alias("_order")
     )
-    marks = _marks(timed, slots, frame, width)
     running = (
         Window.partitionBy(*slots, "_slice").orderBy("_order").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    counted = marks.withColumn("_run", F.sum("_step").over(running)).where(F.col("_row").isNotNull())
-    if width < frame:
-        counted = counted.join(_open_at_start(timed, slots, frame, width), [*slots, "_slice"])
-        counted = counted.withColumn("_run", F.col("_run") + F.col("_open"))
-    return counted.where(F.col("_run") > more_than).select("_row.*", F.col("_run").alias("tx_count"))
+    net = marks.groupBy(*slots, "_slice").agg(F.sum("_step").alias("_net"))
+    earlier = Window.partitionBy(*slots).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    open_at_start = net.select(*slots, "_slice", F.coalesce(F.sum("_net").over(earlier), F.lit(0)).alias("_open"))
+    counted = marks.withColumn("_run", F.sum("_step").over(running)).where("_kind = 0").alias("m")
+    same_slice = [F.col(f"m.{c}").eqNullSafe(F.col(f"o.{c}")) for c in [*slots, "_slice"]]
+    hits = counted.join(open_at_start.alias("o"), same_slice).select(
+        *[F.col(f"m.{c}").alias(c) for c in [*slots, "_opens"]], (F.col("_run") + F.col("_open")).alias("_run")
+    )
+    hits = hits.where(F.col("_run") > more_than).alias("h")
+    same_instant = [F.col(f"t.{c}").eqNullSafe(F.col(f"h.{c}")) for c in [*slots, "_opens"]]
+    return timed.alias("t").join(hits, same_instant).select("_row.*", F.col("_run").alias("tx_count"))
 
 
 def _slice_of(at: Column, width: int) -> Column:
     return at - F.pmod(at, F.lit(width))
 
 
-def _marks(timed: DataFrame, slots: list[str], frame: int, width: int) -> DataFrame:
-    """Openings (with the row) and closings, and, where slices hold a frame, what a slice finds open at its start.
-
-    At one time, what was open counts first, then openings, then closings, since a frame includes both its ends.
-    """
-    opens, closes = F.col("_opens"), F.col("_opens") + F.lit(frame)
-    carried, opened, closed = 0, 1, 2
-    kinds = F.array(F.lit(opened), F.lit(closed))
-    if width >= frame:
-        crosses = _slice_of(opens, width) != _slice_of(closes, width)
-        kinds = F.when(crosses, F.array(F.lit(opened), F.lit(closed), F.lit(carried))).otherwise(kinds)
-    kind = F.col("_kind")
-    at = F.when(kind == opened, opens).when(kind == closed, closes).otherwise(_slice_of(closes, width))
-    placed = timed.select("*", F.explode(kinds).alias("_kind")).withColumn("_at", at)
-    return placed.select(
-        *slots,
-        _slice_of(F.col("_at"), width).alias("_slice"),
-        (F.col("_at") * 3 + kind).alias("_order"),
-        F.when(kind == closed, -1).otherwise(1).alias("_step"),
-        F.when(kind == opened, F.col("_row")).alias("_row"),
-    )
-
-
-def _open_at_start(timed: DataFrame, slots: list[str], frame: int, width: int) -> DataFrame:
-    """How many rows of the key each slice finds open at its start: the total of what happened before it."""
-    steps = timed.select(*slots, "_opens", F.explode(F.array(F.lit(1), F.lit(-1))).alias("_step"))
-    at = F.when(F.col("_step") > 0, F.col("_opens")).otherwise(F.col("_opens") + F.lit(frame))
-    net = (
-        steps.select(*slots, _slice_of(at, width).alias("_slice"), "_step")
-        .groupBy(*slots, "_slice")
-        .agg(F.sum("_step").alias("_net"))
-    )
-    before = Window.partitionBy(*slots).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    return net.select(*slots, "_slice", F.coalesce(F.sum("_net").over(before), F.lit(0)).alias("_open"))
-
-
 def double_spend(
     tx: DataFrame,
     same: Sequence[str],
@@ -233,24 +219,28 @@ def double_spend(
     ordered by time, then id. Adds ``previous_id`` and ``gap_micros``.
 
     A preceding row that counts lies at most ``within_seconds`` back. The time line is therefore cut into slices of
-    ``slice_seconds`` (64 times the limit by default), rows near the end of a slice are also shown to the next one,
+    ``slice_seconds`` (eight times the limit by default), rows near the end of a slice are also shown to the next one,
     and a group of any size is spread over its slices.
     """
     limit = round(within_seconds * 1_000_000)
-    width = round(slice_seconds * 1_000_000) if slice_seconds else 64 * max(limit, 1)
+    width = round(slice_seconds * 1_000_000) if slice_seconds else 8 * max(limit, 1)
     if limit < 0 or width < limit:
         raise ValueError("the slice must be at least as long as the limit")
+    # The row goes along as one value, so no helper column can have the name of one of its columns.
+    slots = [f"_k{i}" for i in range(len(same))]
+    timed = tx.where(F.col(f"`{ts}`").isNotNull()).select(
+        *[F.col(f"`{c}`").alias(slot) for c, slot in zip(same, slots)],
+        _micros(F.col(f"`{ts}`")).alias("_at"), F.col(f"`{tx_id}`").alias("_id"),
+        F.struct(*[F.col(f"`{c}`") for c in tx.columns]).alias("_row"),
+    )
     crosses = _slice_of(F.col("_at") + F.lit(limit), width) > _slice_of(F.col("_at"), width)
-    shown = (
-        tx.where(F.col(ts).isNotNull())
-        .withColumn("_at", _micros(F.col(ts)))
-        .withColumn("_next", F.explode(F.when(crosses, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
-        .withColumn("_slice", _slice_of(F.col("_at"), width) + F.col("_next") * F.lit(width))
-    )
-    order = Window.partitionBy(*same, "_slice").orderBy("_at", tx_id)
+    shown = timed.withColumn(
+        "_next", F.explode(F.when(crosses, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    ).withColumn("_slice", _slice_of(F.col("_at"), width) + F.col("_next") * F.lit(width))
+    order = Window.partitionBy(*slots, "_slice").orderBy("_at", "_id")
     return (
-        shown.withColumn("previous_id", F.lag(tx_id).over(order))
-        .withColumn("gap_micros", F.col("_at") - F.lag("_at").over(order))
-        .where((F.col("_next") == 0) & (F.col("gap_micros") <= limit))
-        .select(*tx.columns, "previous_id", "gap_micros")
+        shown.withColumn("_previous", F.lag("_id").over(order))
+        .withColumn("_gap", F.col("_at") - F.lag("_at").over(order))
+        .where((F.col("_next") == 0) & (F.col("_gap") <= limit))
+        .select("_row.*", F.col("_previous").alias("previous_id"), F.col("_gap").alias("gap_micros"))
     )
