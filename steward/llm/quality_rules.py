@@ -102,19 +102,20 @@ def text_counts(docs: DataFrame, text: str = "text") -> DataFrame:
             (F.size(ls) - F.size(F.array_distinct(ls))).cast("long").alias("n_dup_lines"),
         )
 
-    of_words, of_lines = aside(docs.columns, "_words", "_lines")
+    counts = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
+    held = [quoted(c) for c in docs.columns if c not in counts]
+    of_words, of_lines, of_symbols = aside(docs.columns, "_words", "_lines", "_symbols")
+    found = F.struct(
+        bound(words_of(whole), word_counts).alias(of_words),
+        bound(lines, line_counts).alias(of_lines),
+        F.regexp_count(whole, F.lit(SYMBOLS)).cast("long").alias(of_symbols),
+    )
+    # Each text is counted where a row is generated of it: as columns, the counts would be worked out wherever one is used.
     w, ls = quoted(of_words), quoted(of_lines)
-    out = docs.withColumns({of_words: bound(words_of(whole), word_counts), of_lines: bound(lines, line_counts)})
-    return out.withColumns(
-        {
-            "n_words": w["n_words"],
-            "word_chars": w["word_chars"],
-            "n_symbols": F.regexp_count(whole, F.lit(SYMBOLS)).cast("long"),
-            "n_lines": ls["n_lines"],
-            "n_dup_lines": ls["n_dup_lines"],
-            "n_repeat_words": w["n_repeat_words"],
-        }
-    ).drop(of_words, of_lines)
+    return docs.select(*held, F.inline(F.array(found))).select(
+        *held, w["n_words"].alias("n_words"), w["word_chars"].alias("word_chars"), quoted(of_symbols).alias("n_symbols"),
+        ls["n_lines"].alias("n_lines"), ls["n_dup_lines"].alias("n_dup_lines"), w["n_repeat_words"].alias("n_repeat_words"),
+    )
 
 
 def base_failed(n_words: str = "n_words", n_repeat_words: str = "n_repeat_words") -> Column:
