@@ -6,11 +6,14 @@ each part an account of the compact scenario. The oracle draws the same numbers
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from bindings.registry import query, table
 from steward.operators import analytics
 from steward.plans import generate, scenarios
+from steward.session import scratch_path, stored
 from steward.plans.generate import (
     ACCOUNT_CODES,
     ACCOUNT_TYPES,
@@ -209,6 +212,33 @@ def g8(spark, sf):
     return chosen.reports["row_counts"](tables)
 
 
+@query(
+    "G8b_scenario_run",
+    f"""
+    SELECT 'Users count:' AS label, count(*) AS n FROM customer
+    UNION ALL SELECT 'Accounts count:', 2 * count(*) FROM customer
+    UNION ALL SELECT 'Transactions count:', (SELECT count(*) FROM orders) + 5 * count(*) + 2 * count(*) FROM supplier
+    """,
+)
+def g8b(spark, sf):
+    # The whole way: generated, written as files, loaded into tables with their keys checked, and reported.
+    suppliers = table(spark, sf, "supplier").count()
+    namespace = f"scratch_{uuid.uuid4().hex}"
+    run = scenarios.run_scenario(
+        spark,
+        "fintech_v1",
+        scratch_path(spark, "scenario"),
+        namespace,
+        rows=table(spark, sf, "orders").count(),
+        users=_users(spark, sf),
+        bursts=suppliers,
+        pairs=suppliers,
+    )
+    report = stored(run.reports["row_counts"], "report")
+    spark.sql(f"DROP DATABASE {namespace} CASCADE")
+    return report
+
+
 @query(
     "Q6b_double_spend_in_generated",
     f"""

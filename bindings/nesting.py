@@ -96,3 +96,22 @@ def f4(spark, sf):
     )
     parts = table(spark, sf, "part").select("p_partkey", record.alias("record"))
     return parts.select("p_partkey", nested.pretty_json(F.col("record"), parts.schema["record"].dataType).alias("record"))
+
+
+@query(
+    "F4b_pretty_json_of_floats",
+    """
+    SELECT p_partkey, '{' || chr(10) || '    "large": ' || CAST(p_size * 1e9 AS VARCHAR) || ',' || chr(10)
+           || '    "none": ' || CASE p_partkey % 3 WHEN 0 THEN 'NaN' WHEN 1 THEN 'Infinity' ELSE '-Infinity' END || ',' || chr(10)
+           || '    "small": ' || CAST(p_size / 1e6 AS VARCHAR) || chr(10) || '}' AS record
+    FROM part
+    """,
+)
+def f4b(spark, sf):
+    kind = F.col("p_partkey") % 3
+    none = F.when(kind == 0, float("nan")).when(kind == 1, float("inf")).otherwise(float("-inf"))
+    record = F.struct(
+        (F.col("p_size") / F.lit(1e6)).alias("small"), (F.col("p_size") * F.lit(1e9)).alias("large"), none.alias("none")
+    )
+    parts = table(spark, sf, "part").select("p_partkey", record.alias("record"))
+    return parts.select("p_partkey", nested.pretty_json(F.col("record"), parts.schema["record"].dataType).alias("record"))

@@ -140,3 +140,26 @@ def d5(spark, sf):
 @query("D5b_max_depth", "SELECT max(CAST(CASE doc_id % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 3 ELSE 1 END AS INT)) AS depth FROM documents")
 def d5b(spark, sf):
     return profile.max_depth(_records(spark, sf), "record")
+
+
+@query("D5c_max_depth_of_maps", "SELECT CAST(2 AS INT) AS depth FROM (SELECT count(*) AS n FROM events) WHERE n > 0")
+def d5c(spark, sf):
+    inner = F.when(F.col("event_type") == "view", F.create_map(F.lit("user"), F.col("user_id")))
+    record = F.create_map(F.lit("a"), F.coalesce(inner, F.create_map().cast("map<string,bigint>")))
+    return profile.max_depth(table(spark, sf, "events").select(record.alias("record")), "record")
+
+
+@query(
+    "D1b_profile_of_maps",
+    """
+    SELECT 'record' AS column_name, count(*) AS total, count(*) AS filled,
+           count(DISTINCT (event_type, user_id)) AS distinct_values FROM events
+    """,
+)
+def d1b(spark, sf):
+    # The entries come in one order or the other.
+    kind, user = F.array(F.lit("kind"), F.col("event_type")), F.array(F.lit("user"), F.col("user_id").cast("string"))
+    pairs = F.when(F.col("event_id") % 2 == 0, F.array(kind, user)).otherwise(F.array(user, kind))
+    entries = F.transform(pairs, lambda p: F.struct(p[0].alias("key"), p[1].alias("value")))
+    records = table(spark, sf, "events").select(F.map_from_entries(entries).alias("record"))
+    return profile.column_profile(records).select("column_name", "total", "filled", "distinct_values")

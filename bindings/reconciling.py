@@ -116,3 +116,31 @@ def s10b(spark, sf):
 def s10c(spark, sf):
     lines = table(spark, sf, "lineitem").select(*KEY, "l_partkey")
     return keys.split_violations(lines, keys.key_violations(lines, KEY), KEY)[1]
+
+
+# Nested rows: a zero of either sign in a list, and two map entries in either order.
+def _nested(spark, sf):
+    events = table(spark, sf, "events")
+    zero = F.when(F.col("event_id") % 2 == 0, F.lit(0.0)).otherwise(F.lit(-0.0))
+
+    def rows(df, first, second):
+        entries = F.map_from_arrays(F.array(F.lit(first), F.lit(second)), F.array(F.lit(1), F.lit(1)))
+        return df.select("user_id", F.array(zero).alias("zeros"), entries.alias("entries"))
+
+    return rows(events, "a", "b"), rows(events.where("event_type <> 'view'"), "b", "a")
+
+
+NESTED_SQL = """
+    SELECT user_id, count(*) - count(*) FILTER (event_type <> 'view') AS n FROM events
+    GROUP BY user_id HAVING count(*) > count(*) FILTER (event_type <> 'view')
+"""
+
+
+@query("E1d_fresh_nested_rows", NESTED_SQL)
+def e1d(spark, sf):
+    return reconcile.fresh_rows(*_nested(spark, sf)).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("E1e_fresh_nested_rows_by_digest", NESTED_SQL)
+def e1e(spark, sf):
+    return reconcile.fresh_rows_by_digest(*_nested(spark, sf)).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))

@@ -220,3 +220,54 @@ def c10(spark, sf):
 )
 def c11(spark, sf):
     return coerce.coerce(texts(spark, sf), LINE_TYPES).drop(coerce.REJECT)
+
+
+@query(
+    "C4b_truth_of_typed_values",
+    """
+    SELECT event_id, user_id % 3 <> 0 AS number, value > 50 AS flag, event_type <> 'view' AS word FROM events
+    """,
+)
+def c4b(spark, sf):
+    events = table(spark, sf, "events").select(
+        "event_id",
+        (F.col("user_id") % 3).alias("number"),
+        (F.col("value") > 50).alias("flag"),
+        F.when(F.col("event_type") == "view", "").otherwise("false").alias("word"),
+    )
+    kinds = {f.name: f.dataType for f in events.schema}
+    truths = [casting.as_boolean(F.col(c), mode="truthy", held=kinds[c]).alias(c) for c in ("number", "flag", "word")]
+    return events.select("event_id", *truths)
+
+
+@query(
+    "C5b_collections_stay",
+    "SELECT event_id, CAST(user_id AS VARCHAR) || '|' || event_type AS items, event_type AS entry FROM events",
+)
+def c5b(spark, sf):
+    events = table(spark, sf, "events").select(
+        "event_id",
+        F.array(F.col("user_id").cast("string"), "event_type").alias("items"),
+        F.create_map(F.lit("kind"), F.col("event_type")).alias("entries"),
+    )
+    typed = coerce.coerce(events, {"event_id": "int", "items": "list", "entries": "dict"})
+    return typed.select("event_id", F.array_join("items", "|").alias("items"), F.col("entries")["kind"].alias("entry"))
+
+
+@query(
+    "C12_coerce_by_learned_types",
+    """
+    SELECT event_id, ts, value, CASE WHEN value > 50 THEN true ELSE false END AS high, event_type AS first,
+           CAST(user_id AS BIGINT) AS user_entry, 0 AS notes FROM events
+    """,
+)
+def c12(spark, sf):
+    events = table(spark, sf, "events").select(
+        "event_id", "ts", "value", (F.col("value") > 50).alias("high"), F.array("event_type").alias("items"),
+        F.create_map(F.lit("user"), F.col("user_id")).alias("entries"),
+    )
+    typed = coerce.coerce(events, coerce.declared_types(events))
+    return typed.select(
+        "event_id", "ts", "value", "high", F.col("items")[0].alias("first"), F.col("entries")["user"].alias("user_entry"),
+        F.size("_reject").alias("notes"),
+    )

@@ -52,13 +52,15 @@ def distinct_lists(lists: Column) -> Column:
     return F.transform_values(lists, lambda _, items: F.array_distinct(items))
 
 
-def schema_depth(dtype: T.DataType) -> int:
-    """D5 for a declared type: nested levels of structs and maps; lists are not entered."""
-    if isinstance(dtype, T.StructType):
-        return max((schema_depth(f.dataType) + 1 for f in dtype.fields), default=0)
+def data_depth(value: Column, dtype: T.DataType) -> Column:
+    """D5 for data: nested levels of structs and maps that are there and not empty; lists are not entered."""
     if isinstance(dtype, T.MapType):
-        return schema_depth(dtype.valueType) + 1
-    return 0
+        inner = F.array_max(F.transform(F.map_values(value), lambda v: data_depth(v, dtype.valueType)))
+        return F.when(F.coalesce(F.size(value), F.lit(0)) > 0, inner + 1).otherwise(F.lit(0))
+    if isinstance(dtype, T.StructType) and dtype.fields:
+        inner = [data_depth(value.getField(f.name), f.dataType) for f in dtype.fields]
+        return F.when(value.isNotNull(), F.greatest(F.lit(0), *inner) + 1).otherwise(F.lit(0))
+    return F.lit(0)
 
 
 def json_depth(text: Column) -> Column:
@@ -87,6 +89,24 @@ def _json_leaf(value: Column) -> Column:
     return F.substr(wrapped, F.lit(2), F.length(wrapped) - 2)
 
 
+def _decimal_exponent(value: Column) -> Column:
+    """A double as the language writes it: plain digits from 0.0001 up to 16 places, an exponent of two digits beyond."""
+    text = value.cast("string")
+    mantissa = F.substring_index(text, "E", 1)
+    power = F.substring_index(text, "E", -1).try_cast("int")
+    sign = F.when(F.startswith(text, F.lit("-")), "-").otherwise("")
+    # Digits without point, sign and closing zeros; the point belongs after the first one, moved by the power.
+    digits = F.regexp_replace(F.regexp_replace(mantissa, "[-.]", ""), "0+$", "")
+    size = F.length(digits)
+    whole = F.when(size > power + 1, F.concat(F.substr(digits, F.lit(1), power + 1), F.lit("."), F.substr(digits, power + 2)))
+    whole = whole.otherwise(F.concat(F.rpad(digits, power + 1, F.lit("0")), F.lit(".0")))
+    exponent = F.concat(F.when(power < 0, "e-").otherwise("e+"), F.format_string("%02d", F.abs(power)))
+    longer = F.concat(F.lit("."), F.substr(digits, F.lit(2)))
+    scientific = F.concat(F.substr(digits, F.lit(1), F.lit(1)), F.when(size > 1, longer).otherwise(""), exponent)
+    moved = F.when((power >= 7) & (power < 16), whole).when(power == -4, F.concat(F.lit("0.000"), digits)).otherwise(scientific)
+    return F.when(F.contains(text, F.lit("E")), F.concat(sign, moved)).otherwise(text)
+
+
 def _time(value: Column) -> Column:
     whole = F.date_format(value, "yyyy-MM-dd HH:mm:ss")
     micros = F.date_format(value, "SSSSSS")
@@ -128,9 +148,9 @@ def pretty_json(value: Column, dtype: T.DataType, level: int = 0) -> Column:
         text = _time(value)
     elif isinstance(dtype, T.DateType):
         text = F.concat(F.lit('"'), value.cast("string"), F.lit('"'))
-    elif isinstance(dtype, (T.StringType, T.BooleanType, T.IntegralType, T.FractionalType)) and not isinstance(
-        dtype, T.DecimalType
-    ):
+    elif isinstance(dtype, (T.DoubleType, T.FloatType)):
+        text = _decimal_exponent(value)
+    elif isinstance(dtype, (T.StringType, T.BooleanType, T.IntegralType)):
         text = _json_leaf(value)
     else:
         return F.lit("null")

@@ -40,11 +40,40 @@ def time_text(ts: Column, zone: bool = True) -> Column:
     return F.date_format(ts, CANONICAL_TIME if zone else CANONICAL_TIME_NO_ZONE)
 
 
-def comparable_text(value: Column, dtype: T.DataType) -> Column:
-    """A text that is equal exactly for equal values of the type, NULL for NULL.
+def _floats(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.StructType):
+        return any(_floats(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, T.ArrayType):
+        return _floats(dtype.elementType)
+    return isinstance(dtype, (T.MapType, T.DoubleType, T.FloatType))
 
-    The entries of maps are taken in the order they are stored in.
-    """
+
+def _canonical(value: Column, dtype: T.DataType) -> Column:
+    """Equal values made the same: 0.0 for -0.0, and the entries of maps in the order of their keys."""
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return value + F.lit(0.0).cast(dtype)
+    if not _floats(dtype):
+        return value
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(value, lambda v: _canonical(v, dtype.elementType))
+    if isinstance(dtype, T.MapType):
+
+        def entry(e: Column) -> Column:
+            key, content = _canonical(e["key"], dtype.keyType), _canonical(e["value"], dtype.valueType)
+            return F.struct(key.alias("key"), content.alias("value"))
+
+        entries = F.transform(F.map_entries(value), entry)
+
+        def by_key(a: Column, b: Column) -> Column:
+            return F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0)
+
+        return F.array_sort(entries, by_key)
+    fields = [_canonical(value.getField(f.name), f.dataType).alias(f.name) for f in dtype.fields]
+    return F.when(value.isNotNull(), F.struct(*fields))
+
+
+def comparable_text(value: Column, dtype: T.DataType) -> Column:
+    """A text that is equal exactly for equal values of the type, NULL for NULL. Maps are equal in any order of entries."""
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         return (value + F.lit(0.0).cast(dtype)).cast("string")  # -0.0 equals 0.0
     if isinstance(dtype, T.BinaryType):
@@ -53,5 +82,6 @@ def comparable_text(value: Column, dtype: T.DataType) -> Column:
         return F.unix_micros(value.cast("timestamp")).cast("string")  # much cheaper than the calendar form
     if isinstance(dtype, (T.ArrayType, T.StructType, T.MapType)):
         micros = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-        return F.to_json(value, {"timestampFormat": micros, "timestampNTZFormat": micros, "ignoreNullFields": "false"})
+        formats = {"timestampFormat": micros, "timestampNTZFormat": micros, "ignoreNullFields": "false"}
+        return F.to_json(_canonical(value, dtype), formats)
     return value.cast("string")

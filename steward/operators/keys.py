@@ -8,11 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: At most this many of the most repeated keys are matched without a shuffle of their rows.
-HOT_KEYS = 1_000
-#: Longest text of all columns of a hot key together; longer keys are matched by the shuffle.
-HOT_KEY_BYTES = 1_000
-
+from steward.operators.names import unused
+from steward.session import stored as stored_once
 
 def _cols(key: Sequence[str]) -> list[Column]:
     return [F.col(f"`{k}`") for k in key]
@@ -25,45 +22,37 @@ def _has_null(key: Sequence[str]) -> Column:
 def key_violations(df: DataFrame, key: Sequence[str], stored: DataFrame | None = None) -> DataFrame:
     """Keys that may not be loaded: NULL in a key column, repeated in ``df``, or already in ``stored``.
 
-    Gives the key columns and ``n``, the number of rows of ``df`` that carry the key. The counts combine before they
-    shuffle, so a key with very many rows costs no more than one with two. The stored table is reduced to the keys of
-    ``df`` by a semi join, which Spark turns into a broadcast when those are few, so a small batch does not shuffle
-    a large table.
+    Gives the key columns and ``n``, the number of rows of ``df`` that carry the key (``n_`` where a key column has that name).
+    The counts combine before they shuffle, so a key with very many rows costs no more than one with two. The stored table is
+    reduced to the keys of ``df`` by a semi join, which Spark turns into a broadcast when those are few, so a small batch does
+    not shuffle a large table.
     """
     names, cols = list(key), _cols(key)
-    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
-    bad = (F.col("n") > 1) | _has_null(key)
+    n, present = unused(key, "n", "_taken")
+    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias(n))
+    bad = (F.col(n) > 1) | _has_null(key)
     if stored is not None:
         taken = stored.select(*cols).join(counted.select(*cols), names, "left_semi").distinct()
-        counted = counted.join(taken.withColumn("_taken", F.lit(True)), names, "left")
-        bad = bad | F.col("_taken").isNotNull()
-    return counted.where(bad).select(*cols, "n")
-
-
-def _hot(violations: DataFrame, key: Sequence[str]) -> DataFrame:
-    """The most repeated violations. At most ``HOT_KEYS`` rows of ``HOT_KEY_BYTES``, whatever the data."""
-    width = reduce(lambda a, b: a + b, [F.octet_length(c.cast("string")) for c in _cols(key)])
-    return (
-        violations.where(~_has_null(key) & (width <= HOT_KEY_BYTES))
-        .orderBy(F.col("n").desc(), *_cols(key))
-        .limit(HOT_KEYS)
-        .select(*_cols(key))
-    )
+        counted = counted.join(taken.withColumn(present, F.lit(True)), names, "left")
+        bad = bad | F.col(present).isNotNull()
+    return counted.where(bad).select(*cols, n)
 
 
 def split_violations(df: DataFrame, violations: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """``df`` as (good rows, bad rows), bad being NULL in the key or having a key in ``violations``.
 
-    The most repeated violations are matched against a small broadcast copy, without a shuffle, so a key that holds
-    a large share of the rows is not gathered in one task. All others are matched by a shuffle on the key; none of
-    them can hold more than 1/``HOT_KEYS`` of the rows. ``violations`` is read several times: store it first.
+    One join flags the rows, which are stored once in the shared scratch folder, and both results read that. A key of
+    ``violations`` is one row there, so where a key holds a large share of ``df``, adaptive execution splits its rows over
+    tasks; rows with a NULL in the key are told by expression and dealt out evenly.
     """
-    names = list(key)
+    marked, *slots = unused([*df.columns, *violations.columns], "_bad", *[f"_key{i}" for i in range(len(key))])
+    listed = violations.where(~_has_null(key)).select(
+        *[c.alias(slot) for c, slot in zip(_cols(key), slots)], F.lit(True).alias(marked)
+    )
     keyed = df.where(~_has_null(key))
-    hot = F.broadcast(_hot(violations, key))
-    rest = keyed.join(hot, names, "left_anti")
-    others = violations.where(~_has_null(key)).select(*_cols(key))
-    good = rest.join(others, names, "left_anti")
-    bad = [df.where(_has_null(key)), keyed.join(hot, names, "left_semi"), rest.join(others, names, "left_semi")]
+    same = [keyed[f"`{k}`"] == listed[slot] for k, slot in zip(key, slots)]
     order = [F.col(f"`{c}`") for c in df.columns]
-    return good.select(*order), reduce(DataFrame.unionAll, [part.select(*order) for part in bad])
+    flagged = keyed.join(listed, same, "left").select(*order, F.coalesce(marked, F.lit(False)).alias(marked))
+    nulls = df.where(_has_null(key)).select(*order, F.lit(True).alias(marked))
+    flagged = stored_once(flagged.unionAll(nulls), "flagged-rows")
+    return flagged.where(~F.col(marked)).select(*order), flagged.where(F.col(marked)).select(*order)

@@ -10,13 +10,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from steward.functions.nested import json_depth, schema_depth
+from steward.functions.nested import data_depth, json_depth
 from steward.functions.normalize import comparable_text
 
 #: Bookkeeping columns that are never part of a key.
 NOT_PROFILED = ("created_at", "updated_at")
 #: Texts longer than this are compared by their SHA-256 digest, so documents are not shuffled to be counted.
 LONG_TEXT = 64
+#: Spark's largest distinct-count sketch has two to this power registers.
+MOST_REGISTERS = 21
 
 
 def _comparable(field: T.StructField) -> Column:
@@ -86,7 +88,9 @@ def column_profile(
 def _contenders(df: DataFrame, fields: list[T.StructField], levels: int, error: float) -> list[str]:
     """Columns whose uniqueness, known to ``error``, can still be among the top ``levels``. Reads the data once."""
     # A sketch of 2^k registers has a standard error of about 1.04 / 2^(k/2).
-    registers = min(max(ceil(2 * log2(1.04 * 6 / error)), 4), 21)
+    registers = max(ceil(2 * log2(1.04 * 6 / error)), 4)
+    if registers > MOST_REGISTERS:
+        raise ValueError(f"an error of {error} needs larger sketches than there are; use one of 0.0044 or more, or none")
     aggs = []
     for i, f in enumerate(fields):
         value = _comparable(f)
@@ -160,9 +164,13 @@ def align(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def max_depth(df: DataFrame, column: str | None = None) -> DataFrame:
-    """Greatest nesting depth (D5), as one row: of a JSON text column, or of the records themselves."""
+    """Greatest nesting depth in the data (D5), as one row: of a column of JSON text, maps or structs, or of the records
+    themselves. Without rows it is 0."""
     if column is None:
-        return df.sparkSession.range(1).select(F.lit(schema_depth(df.schema)).alias("depth"))
-    if isinstance(df.schema[column].dataType, T.StringType):
-        return df.agg(F.max(json_depth(F.col(column))).alias("depth"))
-    return df.sparkSession.range(1).select(F.lit(schema_depth(df.schema[column].dataType)).alias("depth"))
+        fields = [data_depth(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]
+        depth = F.greatest(F.lit(0), *fields) + 1
+    elif isinstance(df.schema[column].dataType, T.StringType):
+        depth = json_depth(F.col(f"`{column}`"))
+    else:
+        depth = data_depth(F.col(f"`{column}`"), df.schema[column].dataType)
+    return df.agg(F.coalesce(F.max(depth), F.lit(0)).alias("depth"))

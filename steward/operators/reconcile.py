@@ -6,13 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from steward.functions.normalize import comparable_text
-from steward.operators.keys import split_violations
+from steward.operators.names import unused
 from steward.session import stored
 
 #: A row repeated more often than this is spread over tasks before it is written out again and again.
 COPIES_PER_TASK = 1_000_000
-#: Up to this many digests of 32 bytes are broadcast.
-FEW_DIGESTS = 1_000_000
 
 
 def _check_shape(incoming: DataFrame, stored: DataFrame) -> None:
@@ -37,23 +35,42 @@ def paired_counts(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     return left.unionAll(right).groupBy(*names).agg(F.sum("_i").alias("_incoming"), F.sum("_s").alias("_stored"))
 
 
+def _row_hash(df: DataFrame) -> Column:
+    """64 bits that are equal for equal rows."""
+    return F.xxhash64(*[comparable_text(F.col(f"`{c}`"), df.schema[c].dataType) for c in sorted(df.columns)])
+
+
+def _met(incoming: DataFrame, stored: DataFrame) -> DataFrame:
+    """Stored rows that can equal an incoming one: a semi join on a hash of the row.
+
+    When the incoming rows are few, their hashes are broadcast, by Spark's own threshold, and of a large table only what
+    they meet is shuffled and counted.
+    """
+    _check_shape(incoming, stored)
+    (name,) = unused(stored.columns, "_hash")
+    hashes = incoming.select(_row_hash(incoming).alias(name)).distinct()
+    return stored.withColumn(name, _row_hash(stored)).join(hashes, name, "left_semi").drop(name)
+
+
 def repeat_rows(df: DataFrame, times: str, per_task: int = COPIES_PER_TASK) -> DataFrame:
     """Each row as often as its column ``times`` says, without that column.
 
     Rows with up to ``per_task`` copies are repeated where they are. The others are first cut into batches, which
     are shuffled apart, so no task writes out all copies of a row.
     """
-    names = [F.col(f"`{c}`") for c in df.columns if c != times]
-    n = F.col(times)
-    few = df.where((n > 0) & (n <= per_task)).select(*names, F.explode(F.sequence(F.lit(1), n)).alias("_copy"))
+    kept = [c for c in df.columns if c != times]
+    names = [F.col(f"`{c}`") for c in kept]
+    copy, left, batch = unused(df.columns, "_copy", "_left", "_batch")
+    n = F.col(f"`{times}`")
+    few = df.where((n > 0) & (n <= per_task)).select(*names, F.explode(F.sequence(F.lit(1), n)).alias(copy))
     batches = (
         df.where(n > per_task)
-        .select(*names, n.alias("_n"), F.explode(F.sequence(F.lit(0), F.expr(f"(`{times}` - 1) div {per_task}"))).alias("_b"))
+        .select(*names, n.alias(left), F.explode(F.sequence(F.lit(0), F.expr(f"(`{times}` - 1) div {per_task}"))).alias(batch))
     )
-    spread = batches.repartition(*names, F.col("_b"))
-    size = F.least(F.lit(per_task).cast("bigint"), F.col("_n") - F.col("_b") * per_task)
-    many = spread.select(*names, F.explode(F.sequence(F.lit(1).cast("bigint"), size)).alias("_copy"))
-    return few.unionAll(many).drop("_copy")
+    spread = batches.repartition(*names, F.col(batch))
+    size = F.least(F.lit(per_task).cast("bigint"), F.col(left) - F.col(batch) * per_task)
+    many = spread.select(*names, F.explode(F.sequence(F.lit(1).cast("bigint"), size)).alias(copy))
+    return few.unionAll(many).select(*names)
 
 
 def _bag(incoming: DataFrame, stored: DataFrame, times: Column) -> DataFrame:
@@ -63,7 +80,7 @@ def _bag(incoming: DataFrame, stored: DataFrame, times: Column) -> DataFrame:
 
 def fresh_rows(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     """Incoming rows that have no equal row in the table; each match uses up one stored copy."""
-    return _bag(incoming, stored, F.col("_incoming") - F.col("_stored"))
+    return _bag(incoming, _met(incoming, stored), F.col("_incoming") - F.col("_stored"))
 
 
 def _digest(df: DataFrame) -> Column:
@@ -71,8 +88,6 @@ def _digest(df: DataFrame) -> Column:
     parts = []
     for name in sorted(df.columns):
         dtype = df.schema[name].dataType
-        if "map<" in dtype.simpleString():
-            raise ValueError(f"column {name}: maps have no digest, since their order is open; use fresh_rows")
         text = comparable_text(F.col(f"`{name}`"), dtype)
         # The length in front keeps neighbouring values apart; an absent value has none.
         parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
@@ -84,24 +99,22 @@ def fresh_rows_by_digest(incoming: DataFrame, stored_rows: DataFrame) -> DataFra
 
     Only 32-byte digests of the rows are shuffled to find what is fresh; the incoming rows are then read again and
     just the fresh ones are shuffled whole. The fresh digests are stored in the shared scratch folder, which is an
-    action. Columns must not hold maps. For the table-only rows (E3) swap the arguments.
+    action. For the table-only rows (E3) swap the arguments.
     """
     _check_shape(incoming, stored_rows)
-    marked = incoming.select(*[F.col(f"`{c}`") for c in stored_rows.columns], _digest(incoming).alias("_digest"))
-    counted = paired_counts(marked.select("_digest"), stored_rows.select(_digest(stored_rows).alias("_digest")))
-    fresh = counted.where("_incoming > _stored").select("_digest", (F.col("_incoming") - F.col("_stored")).alias("n"))
+    digest, times = unused(stored_rows.columns, "_digest", "_n")
+    marked = incoming.select(*[F.col(f"`{c}`") for c in stored_rows.columns], _digest(incoming).alias(digest))
+    counted = paired_counts(marked.select(digest), stored_rows.select(_digest(stored_rows).alias(digest)))
+    fresh = counted.where("_incoming > _stored").select(digest, (F.col("_incoming") - F.col("_stored")).alias(times))
     fresh = stored(fresh, "fresh-digests")
-    if fresh.count() <= FEW_DIGESTS:
-        rows = marked.join(F.broadcast(fresh.select("_digest")), "_digest", "left_semi")
-    else:
-        _, rows = split_violations(marked, fresh, ["_digest"])
-    once = rows.distinct()
-    return repeat_rows(once.join(fresh, "_digest").drop("_digest"), "n")
+    # Of the copies of a fresh row one stands for all, with their number.
+    once = marked.join(fresh.select(digest), digest, "left_semi").dropDuplicates([digest])
+    return repeat_rows(once.join(fresh, digest).drop(digest), times)
 
 
 def matched_rows(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     """Incoming rows that have an equal row in the table."""
-    return _bag(incoming, stored, F.least("_incoming", "_stored"))
+    return _bag(incoming, _met(incoming, stored), F.least("_incoming", "_stored"))
 
 
 def stored_only_rows(incoming: DataFrame, stored: DataFrame) -> DataFrame:

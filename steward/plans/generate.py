@@ -255,7 +255,7 @@ def review_table(rows: DataFrame, seed: int = 0, words: Sequence[str] = WORDS) -
     return rows.select(
         draws.uuid_text(_salt(seed, "review"), n).alias("review_id"),
         draws.choice(CATEGORIES, _salt(seed, "category"), n).alias("category"),
-        F.concat(F.upper(F.substring(sentence, 1, 1)), F.substring(sentence, 2, 10_000), F.lit(".")).alias("text"),
+        F.concat(F.upper(F.substring(sentence, 1, 1)), F.substr(sentence, F.lit(2)), F.lit(".")).alias("text"),
         score.cast("decimal(5,2)").alias("sentiment_score"),
         draws.choice(SENTIMENTS, _salt(seed, "sentiment"), n).alias("sentiment_label"),
     )

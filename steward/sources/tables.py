@@ -46,27 +46,6 @@ class Database:
     port: int = 5432
     kind: str = "postgres"
 
-    @classmethod
-    def from_config(cls, config: Mapping[str, Any], kind: str = "POSTGRES") -> Database:
-        """From nested settings: ``DATABASE`` > kind > ``*USER``, ``*PASSWORD``, ``*PORT``, ``*HOST``, ``*DB``."""
-        check_database(kind)
-        if kind not in config["DATABASE"]:
-            raise ValueError(f"no settings for database {kind}")
-        found: dict[str, Any] = {}
-        for name, value in config["DATABASE"][kind].items():
-            for part in ("USER", "PASSWORD", "PORT", "HOST", "DB"):
-                if part in name:
-                    found[part] = value
-                    break
-        return cls(
-            hosts=found["HOST"],
-            databases=found["DB"],
-            user=found["USER"],
-            password=found["PASSWORD"],
-            port=int(found.get("PORT", 5432)),
-            kind=kind.lower(),
-        )
-
     def options(self, host: str = "STAGING", database: str = "TEST") -> dict[str, str]:
         """Options for Spark's JDBC reader and writer."""
         check_database(self.kind)

@@ -192,3 +192,14 @@ def test_conform(spark):
     with pytest.raises(ValueError, match="no column"):
         coerce.conform(df.withColumn("more", F.lit(1)), schema)
     assert coerce.conform(df.select("id"), schema).first().flag is None
+
+
+def test_typed_values_are_cast_by_their_type(spark):
+    df = spark.sql("SELECT true AS b, 0 AS n, 0.0D AS d, 'f' AS t, array(1) AS l, map('k', 1) AS m, '' AS e")
+    typed = coerce.coerce(df, {"b": "int", "n": "int", "d": "float", "t": "str", "l": "list", "m": "dict", "e": "str"}).first()
+    assert (typed.b, typed.n, typed.d, typed.l, typed.m, typed[coerce.REJECT]) == (1, 0, 0.0, [1], {"k": 1}, [])
+    kinds = {f.name: f.dataType for f in df.schema}
+    truths = df.select(*[casting.as_boolean(F.col(c), mode="truthy", held=kinds[c]).alias(c) for c in df.columns]).first().asDict()
+    assert truths == {"b": True, "n": False, "d": False, "t": True, "l": True, "m": True, "e": False}
+    learned = coerce.coerce(df, coerce.declared_types(df))
+    assert learned.first()[coerce.REJECT] == [] and dict(learned.dtypes)["b"] == "boolean"

@@ -72,3 +72,12 @@ def test_pretty_json_is_the_language_dump(spark):
     plain = dict(zip(df.columns, row))
     plain["a"] = dict(zip(["y", "x", "e"], row[1]))
     assert got == json.dumps(plain, indent=4, sort_keys=True, default=default, ensure_ascii=False)
+
+
+def test_floats_are_written_as_the_language_writes_them(spark):
+    values = [0.0, -0.0, 1.0, 1.5, 1e7, 1e10, -1.25e15, 1e16, 1.5e300, 1e-3, 1e-4, -1.25e-4, 1e-5, 2.5e-7, 123456789.125]
+    values += [float("nan"), float("inf"), float("-inf"), None]
+    df = spark.createDataFrame([(i, [v]) for i, v in enumerate(values)], "i int, v array<double>")
+    kind = df.schema["v"].dataType
+    got = {r.i: r.t for r in df.select("i", nested.pretty_json(F.col("v"), kind).alias("t")).collect()}
+    assert [got[i] for i in range(len(values))] == [json.dumps([v], indent=4) for v in values]

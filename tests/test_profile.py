@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from steward.functions.nested import json_depth, schema_depth
+from steward.functions.nested import data_depth, json_depth
 from steward.operators import profile
 
 
@@ -93,8 +93,24 @@ def test_json_depth(spark):
     assert profile.max_depth(df, "t").first().depth == 3
 
 
-def test_schema_depth(spark):
-    df = spark.sql("SELECT 1 AS a, named_struct('b', named_struct('c', 1)) AS s, map('k', map('l', 1)) AS m, array(named_struct('x', 1)) AS l")
-    assert {f.name: schema_depth(f.dataType) for f in df.schema.fields} == {"a": 0, "s": 2, "m": 2, "l": 0}
+def test_depth_of_data(spark):
+    df = spark.sql(
+        "SELECT 1 AS a, named_struct('b', named_struct('c', 1)) AS s, map('k', map('l', 1)) AS m, array(named_struct('x', 1)) AS l,"
+        " map('k', map()) AS e, cast(map() AS map<string,map<string,int>>) AS n, cast(NULL AS struct<b:struct<c:int>>) AS z"
+    )
+    depths = df.select(*[data_depth(F.col(f.name), f.dataType).alias(f.name) for f in df.schema.fields]).first().asDict()
+    assert depths == {"a": 0, "s": 2, "m": 2, "l": 0, "e": 1, "n": 0, "z": 0}
     assert profile.max_depth(df).first().depth == 3
-    assert profile.max_depth(df, "s").first().depth == 2
+    assert profile.max_depth(df, "s").first().depth == 2 and profile.max_depth(df, "e").first().depth == 1
+    assert profile.max_depth(df.limit(0), "m").first().depth == 0
+
+
+def test_maps_are_equal_in_any_order(spark):
+    df = spark.sql("SELECT map('a', 0.0D, 'b', 2.0D) AS m UNION ALL SELECT map('b', 2.0D, 'a', -0.0D)")
+    assert profile.column_profile(df).first().distinct_values == 1
+
+
+def test_a_precision_beyond_the_sketches_is_refused(spark):
+    with pytest.raises(ValueError):
+        profile.candidate_keys(spark.range(10), prefilter_error=0.001)
+    assert profile.candidate_keys(spark.range(10), prefilter_error=0.0044).count() == 1

@@ -296,26 +296,14 @@ def test_sql(spark, tmp_path):
         tables.run_statement_files(spark, [tmp_path / "absent.sql"])
 
 
-CONFIG = {
-    "DATABASE": {
-        "POSTGRES": {
-            "PG_USER": "me",
-            "PG_PASSWORD": "secret",
-            "PG_PORT": "5433",
-            "PG_HOST": {"STAGING": "stage.example", "PRODUCTION": "prod.example"},
-            "PG_DB": {"TEST": "t", "DEV": "d", "PROD": "p"},
-        }
-    }
-}
-
-
 def test_database_options():
-    db = tables.Database.from_config(CONFIG)
+    hosts, databases = {"STAGING": "stage.example", "PRODUCTION": "prod.example"}, {"TEST": "t", "DEV": "d", "PROD": "p"}
+    db = tables.Database(hosts, databases, "me", "secret", 5433)
     assert db.options()["url"] == "jdbc:postgresql://stage.example:5433/t"
     assert db.options("PRODUCTION", "PROD")["url"] == "jdbc:postgresql://prod.example:5433/p"
     assert db.options()["user"] == "me" and "secret" not in repr(db)
     with pytest.raises(ValueError):
-        tables.Database.from_config(CONFIG, "MYSQL")
+        tables.Database(hosts, databases, "me", "secret", kind="mysql").options()
 
 
 def test_split_read_needs_bounds(spark):
