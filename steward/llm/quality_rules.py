@@ -185,7 +185,10 @@ def fences(sketch: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
 
 
 def judged(counted: DataFrame, limits: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
-    """``counted`` with ``base_failed`` and ``kept``; a row whose group has no fence fails the base rules itself."""
+    """``counted`` with ``base_failed`` and ``kept``; a row whose group has no fence fails the base rules itself.
+
+    ``limits`` should be stored: Spark then knows how small it is before it plans the join, and shuffles no text for it.
+    """
     group_lang, group_source, *edges = aside(counted.columns, "_lang", "_source", *[f"_{r.name}" for r in RATIOS])
     renamed = picked(limits, **{group_lang: "lang", group_source: "source"},
                      **{edge: f"{r.name}_fence" for edge, r in zip(edges, RATIOS, strict=True)})
@@ -205,7 +208,7 @@ def quality_verdicts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     """
     narrow = picked(docs, doc_id=doc_id, lang=lang, source=source, text=text)
     counted = stored(text_counts(narrow).drop("text"), "quality-counts")
-    return judged(counted, fences(sketches(counted), min_group))
+    return judged(counted, stored(fences(sketches(counted), min_group), "quality-fences"))
 
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source",
@@ -218,6 +221,6 @@ def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", source: s
         F.struct(*[quoted(c).alias(c) for c in docs.columns]).alias("row"),
         quoted(text).alias("text"), quoted(lang).alias("lang"), quoted(source).alias("source"),
     )
-    limits = fences(sketches(text_counts(packed.select("text", "lang", "source"))), min_group)
+    limits = stored(fences(sketches(text_counts(packed.select("text", "lang", "source"))), min_group), "quality-fences")
     kept = judged(text_counts(packed), limits).filter("kept")
     return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
