@@ -15,6 +15,7 @@ from steward.llm.near_duplicates import keep_one
 from steward.llm.packing import pack_documents
 from steward.llm.pii import sanitised
 from steward.llm.quality_rules import keep_good
+from steward.llm.workers import share_package
 from steward.session import scratch_path
 
 
@@ -25,6 +26,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that labelled neighbours vote good."""
+    share_package(spark)
     root = sf_dir.rstrip("/")
     learned = fit(spark.read.parquet(f"{root}/documents.parquet"), spark.read.parquet(f"{root}/labels.parquet"), "quality")
     return keep_predicted(docs, learned)
@@ -32,16 +34,19 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates."""
+    share_package(spark)
     return keep_one(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data masked and ``n_chars`` counted anew."""
+    share_package(spark)
     return sanitised(docs).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their places in sequences."""
+    share_package(spark)
     return pack_documents(docs)
 
 
