@@ -39,7 +39,7 @@ SHARPNESS = 16
 #: Documents whose cosines a task computes at once.
 BLOCK = 256
 #: Words whose terms a worker remembers.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 
 _SHAPES = (
     (re.compile("[A-Z]{2,}"), "\x00"),

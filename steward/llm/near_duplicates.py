@@ -46,7 +46,7 @@ BLOCK_TEXTS = 256
 BLOCK_NGRAMS = 200_000
 #: Signatures compared at once in a bucket.
 BUCKET_BLOCK = 512
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 SEED = 20_240_501
 
 
