@@ -12,6 +12,8 @@ import math
 import re
 from collections import deque
 
+import numpy as np
+
 MARK = "▁"
 
 #: A unit of a text: blanks, and what follows up to the next ones.
@@ -77,6 +79,21 @@ class Pieces:
         """The units of a text, which starts as if a blank stood before it."""
         return (FINE_UNITS if self.finer else UNITS).findall(" " + text)
 
+    @functools.cached_property
+    def _flat(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All pieces' bytes in a row, where each starts, and how long it is."""
+        lengths = np.array([len(b) for b in self.spelled], dtype=np.int64)
+        return np.frombuffer(b"".join(self.spelled), np.uint8), np.cumsum(lengths) - lengths, lengths
+
+    def text_bytes(self, ids: np.ndarray) -> bytes:
+        """What a sequence of ids spells."""
+        flat, starts, lengths = self._flat
+        sizes = lengths[ids]
+        ends = np.cumsum(sizes)
+        if not len(ends):
+            return b""
+        return flat[np.repeat(starts[ids] - ends + sizes, sizes) + np.arange(ends[-1])].tobytes()
+
     def byte_ids(self, character: str) -> list[int]:
         """The pieces that spell a character the vocabulary lacks."""
         return [self.bytes[b] for b in character.encode()]

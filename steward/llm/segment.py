@@ -32,7 +32,7 @@ from steward.llm.lattice import Pieces, pieces
 from steward.llm.tokens import vocabulary_path
 
 #: Units a worker remembers, about 200 bytes each. The cache is emptied in halves, so what is frequent comes back at once.
-CACHED_UNITS = 240_000
+CACHED_UNITS = 600_000
 
 #: Ids of a segmentation as bytes, two each.
 Ids = bytes
@@ -231,9 +231,9 @@ def id_array(ids: Ids) -> np.ndarray:
     return np.frombuffer(ids, dtype=">u2").astype("<u4")
 
 
-def decode(ids, vocabulary: Pieces) -> str:
+def decode(ids: np.ndarray, vocabulary: Pieces) -> str:
     """The text of a segmentation: its pieces' bytes, without the blank put before the text."""
-    whole = b"".join(map(vocabulary.spelled.__getitem__, ids))
+    whole = vocabulary.text_bytes(ids)
     return whole[1:].decode() if whole[:1] == b" " else whole.decode()
 
 
@@ -273,7 +273,7 @@ def segment_texts(docs: DataFrame, n: int = 3, doc_id: str = "doc_id", text: str
                         continue
                     for rank, (score, found) in enumerate(segmenter.n_best(whole), 1):
                         ids = id_array(found)
-                        back = decode(ids.tolist(), segmenter.vocabulary) if rank == 1 else None
+                        back = decode(ids, segmenter.vocabulary) if rank == 1 else None
                         rows.append((doc, rank, score, ids.tobytes(), None if back is None else zlib.crc32(back.encode())))
                 kinds = (pa.int64(), pa.int32(), pa.float64(), pa.binary(), pa.int64())
                 columns = [pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
@@ -292,7 +292,7 @@ def decode_ids(segmented: DataFrame, ids: str = "ids", out: str = "text", vocabu
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = pieces(path)
         for batch in batches:
-            texts = [None if x is None else decode(np.frombuffer(x, "<u4").tolist(), read) for x in batch[ids].to_pylist()]
+            texts = [None if x is None else decode(np.frombuffer(x, "<u4"), read) for x in batch[ids].to_pylist()]
             yield pa.record_batch([*(batch[f.name] for f in held), pa.array(texts, pa.string())], schema.names)
 
     return segmented.mapInArrow(work, schema)
