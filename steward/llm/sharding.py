@@ -82,10 +82,7 @@ def shard_of(key: Column, tree: Node) -> Column:
     chosen = F.array_min(F.array(*draws))["child"]
     if all(c.shard is not None for c in open_children):
         return F.get(F.array(*[F.lit(c.shard) for c in open_children]), chosen)
-    descended = F.when(F.lit(False), F.lit(0))
-    for i, c in enumerate(open_children):
-        descended = descended.when(chosen == i, shard_of(key, c))
-    return descended
+    return F.coalesce(*[F.when(chosen == i, shard_of(key, c)) for i, c in enumerate(open_children)])
 
 
 def text_size(text: Column) -> Column:
