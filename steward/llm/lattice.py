@@ -1,8 +1,9 @@
 """The piece lattice of a public subword vocabulary: all ways to spell a string in its pieces.
 
-Strings are in blanks where the vocabulary writes word marks. A text is cut into units, a run of blanks and what follows up
-to the next, across which no piece reaches; lattices are built per unit. Characters that the vocabulary lacks, such as its
-word mark where a text has it, are spelled as the pieces of their UTF-8 bytes.
+Strings are in blanks where the vocabulary writes word marks. A text is cut into units, across which no piece reaches, and
+lattices are built per unit: a run of blanks with what follows up to the next one or, where the vocabulary mixes no letters
+with other signs in a piece, up to the next change between them. Characters that the vocabulary lacks, such as its word mark
+where a text has it, are spelled as the pieces of their UTF-8 bytes.
 """
 
 from __future__ import annotations
