@@ -4,8 +4,10 @@ E-mail addresses, IP addresses, card and phone numbers are found by pattern; eac
 that stand near a mention are then judged by the corpus: with ``n_e`` documents that mention the entity, ``n_t`` that hold the
 term, and ``n_et`` that have it near a mention, out of ``N``, the disclosure of the entity by the term is its pointwise mutual
 information as a share of the entity's information, ``1 + log(n_et / n_t) / log(N / n_e)``. It is 1 for a term that is seen with
-the entity only, and about 0 for a common one. Terms at or above the threshold, with enough different contexts to tell, are
-spans as well, to be generalised or removed.
+the entity only, and about 0 for a common one. Every pair of an entity and a word near it is judged, also of an entity that
+is mentioned once. For small samples, ``n_et / n_t`` is drawn towards ``n_e / N`` as by one more context: a term seen in one
+context only leaves a bit of doubt, which is little of a rare entity's information and much of a common one's. Terms at or
+above the threshold are spans as well, to be generalised or removed.
 
 Document counts are taken only of terms that could pass, told to the tasks as a bit map of fixed size; all documents are
 counted. Mentions, terms and contexts stay in tables.
@@ -25,7 +27,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
@@ -39,8 +41,6 @@ TERM = "term"
 
 #: Words to either side of a mention that are its context.
 WINDOW = 5
-#: Different contexts in which a term must stand near an entity to be judged.
-CONTEXTS = 3
 #: Disclosure from which a term is a span.
 DISCLOSED = 0.9
 #: Bits of the map of terms to count; more terms than fit only make more words be counted.
@@ -224,21 +224,26 @@ def document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return counted.join(terms, "term", "left_semi")
 
 
-def revealing_terms(docs: DataFrame, found: DataFrame, at_least: int = CONTEXTS, disclosed: float = DISCLOSED) -> DataFrame:
+def disclosure(n: int, n_e: str = "n_e", n_t: str = "n_t", n_et: str = "n_et", contexts: str = "contexts") -> Column:
+    """The share of an entity's information that a term gives; null for an entity of every document. The rate ``n_et / n_t``
+    is weighed by the different contexts it was seen in against one seen at the entity's own rate."""
+    own = F.col(n_e) / F.lit(float(n))
+    rate = (F.col(n_et) / F.col(n_t) * F.col(contexts) + own) / (F.col(contexts) + 1)
+    return F.when(F.col(n_e) < n, 1 - F.log(rate) / F.log(own))
+
+
+def revealing_terms(docs: DataFrame, found: DataFrame, disclosed: float = DISCLOSED) -> DataFrame:
     """``(entity, term, disclosure)`` of the terms that give entities away. ``found`` is what :func:`mentions` gives of
     ``docs``."""
     near = found.select("row_key", F.inline("near"))
-    per_context = near.groupBy("entity", "term", "context").agg(F.count("*").alias("n"))
-    often = per_context.groupBy("entity", "term").agg(F.count("*").alias("contexts")).filter(F.col("contexts") >= at_least)
-    often = stored(often.select("entity", "term"), "pii-candidates")
+    per_context = near.select("entity", "term", "context").distinct()
+    pairs = stored(per_context.groupBy("entity", "term").agg(F.count("*").alias("contexts")), "pii-candidates")
     n = found.count()
-    in_documents = near.select("row_key", "entity", "term").join(often, ["entity", "term"], "left_semi")
-    n_et = in_documents.distinct().groupBy("entity", "term").agg(F.count("*").alias("n_et"))
+    n_et = near.select("row_key", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_et"))
     n_e = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
-    n_t = document_counts(docs, often.select("term").distinct())
-    disclosure = F.when(F.col("n_e") < n, 1 + F.log(F.col("n_et") / F.col("n_t")) / F.log(F.lit(float(n)) / F.col("n_e")))
-    judged = n_et.join(n_e, "entity").join(n_t, "term").select("entity", "term", disclosure.alias("disclosure"))
-    return judged.filter(F.col("disclosure") >= disclosed)
+    n_t = document_counts(docs, pairs.select("term").distinct())
+    judged = pairs.join(n_et, ["entity", "term"]).join(n_e, "entity").join(n_t, "term")
+    return judged.select("entity", "term", disclosure(n).alias("disclosure")).filter(F.col("disclosure") >= disclosed)
 
 
 def term_spans(found: DataFrame, revealing: DataFrame) -> DataFrame:

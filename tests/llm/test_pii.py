@@ -78,6 +78,15 @@ def test_copies_are_one_context(spark):
     assert personal_data(documents(spark, rows)).filter("terms IS NOT NULL").count() == 0
 
 
+def test_an_entity_of_one_document_is_judged(spark):
+    rows = [(0, "Please write to Zorbane at jo@corp.example.com about the plan " + prose(0, 40), "en", "a")]
+    rows += [(i, "Please write at once about the plan to " + prose(i, 40), "en", "a") for i in range(1, 3000)]
+    found = personal_data(documents(spark, rows)).filter("terms IS NOT NULL").collect()
+    assert [r["doc_id"] for r in found] == [0]
+    spans = {rows[0][1][s["start"] : s["end"]] for s in found[0]["terms"]}
+    assert "Zorbane" in spans and not spans & {"Please", "write", "to", "at", "about", "the", "plan"}
+
+
 def test_odd_rows_and_columns(spark, odd_documents):
     found = personal_data(odd_documents).collect()
     assert sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["base_spans"]) for r in found) == sorted(
