@@ -1,19 +1,20 @@
 """Personal data: patterns, and terms that reveal it (operator 8).
 
 E-mail addresses, IP addresses, card and phone numbers are found by pattern; each distinct value is a protected entity. Words
-that stand near a mention are then judged by the corpus: with ``n_e`` documents that mention the entity, ``n_t`` that hold the
-term, and ``n_et`` that have it near a mention, out of ``N``, the disclosure of the entity by the term is its pointwise mutual
-information as a share of the entity's information, ``1 + log(n_et / n_t) / log(N / n_e)``. It is 1 for a term that is seen with
-the entity only, and about 0 for a common one. Every pair of an entity and a word near it is judged, also of an entity that
-is mentioned once. For small samples, ``n_et / n_t`` is drawn towards ``n_e / N`` as by one more context: a term seen in one
-context only leaves a bit of doubt, which is little of a rare entity's information and much of a common one's. Terms at or
-above the threshold are spans as well, to be generalised or removed.
-
-Document counts are taken only of terms that could pass, told to the tasks as a bit map of fixed size; all documents are
-counted. Mentions, terms and contexts stay in tables.
+that stand near a mention of an entity somewhere are then judged by the corpus: with ``n_e`` documents that mention the entity,
+``n_t`` that hold the term, and ``n_et`` that do both, the term anywhere in the text, out of ``N``, the disclosure of the entity
+by the term is its pointwise mutual information as a share of the entity's information, ``1 + log(n_et / n_t) / log(N / n_e)``.
+It is 1 for a term that is seen with the entity only, and about 0 for a common one. Every such pair is judged, also of an entity
+that is mentioned once. For small samples, ``n_et / n_t`` is drawn towards ``n_e / N`` as by one more context: a term seen in one
+context only leaves a bit of doubt, which is little of a rare entity's information and much of a common one's. Where terms at or
+above the threshold stand outside the patterns' spans, in any document, they are spans as well, to be generalised or removed.
+
+Texts are read three times: for mentions, for ``n_t`` of the words near them, and for the places of the words whose ``n_t``
+lets them pass. Words are told to the tasks as a bit map of fixed size, and joins drop what it lets through by chance. Mentions,
+terms and places stay in tables.
 
 Defined results: a null text counts as empty and has no spans; repeated rows have the same spans and count once each; contexts
-that are equal, as in copies, count once; a null id is kept; an empty table gives an empty result.
+of a term (the words around its first place in a text) that are equal, as in copies, count once; a null id is kept; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ from steward.session import stored
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 
-#: Words to either side of a mention that are its context.
+#: Words to either side of a mention that are near it, and of a term that are its context.
 WINDOW = 5
 #: Disclosure from which a term is a span.
 DISCLOSED = 0.9
@@ -115,26 +116,35 @@ def _hash(*parts: str) -> int:
     return xxhash.xxh64_intdigest("\x00".join(parts)) - (1 << 63)
 
 
-def contexts(text: str, spans: list[Span], window: int) -> list[tuple[int, str, int, int, int]]:
-    """``(entity, term, start, end, context)`` for the words around each mention; words that touch a span are left out."""
-    if not spans:
-        return []
+def free_words(text: str, spans: list[Span]) -> list[tuple[int, int, str]]:
+    """``(start, end, word)`` of the words that touch no span, in order and in small letters."""
     taken = sorted((start, end) for _, start, end in spans)
     starts = [s for s, _ in taken]
-    reach = list(np.maximum.accumulate([e for _, e in taken]))
+    reach = list(np.maximum.accumulate([e for _, e in taken])) if taken else []
     words = []
     for m in _WORD.finditer(text):
         before = bisect.bisect_left(starts, m.end()) - 1
         if before < 0 or reach[before] <= m.start():
             words.append((m.start(), m.end(), m[0].lower()))
+    return words
+
+
+def _entity(text: str, span: Span) -> int:
+    kind, start, end = span
+    return _hash(kind, text[start:end].lower())
+
+
+def near_words(text: str, spans: list[Span], window: int) -> set[tuple[int, str]]:
+    """``(entity, term)`` for the words around each mention."""
+    if not spans:
+        return set()
+    words = free_words(text, spans)
     at = [w[0] for w in words]
-    out = []
-    for kind, start, end in spans:
-        entity = _hash(kind, text[start:end].lower())
-        left, right = bisect.bisect_left(at, start), bisect.bisect_left(at, end)
-        near = words[max(0, left - window) : left] + words[right : right + window]
-        context = _hash(*[w for _, _, w in near])
-        out += [(entity, w, a, b, context) for a, b, w in near]
+    out = set()
+    for span in spans:
+        entity = _entity(text, span)
+        left, right = bisect.bisect_left(at, span[1]), bisect.bisect_left(at, span[2])
+        out.update((entity, w) for _, _, w in words[max(0, left - window) : left] + words[right : right + window])
     return out
 
 
@@ -145,8 +155,7 @@ MENTIONS = T.StructType(
         T.StructField("base_spans", T.StringType()),
         T.StructField("entities", T.ArrayType(T.LongType())),
         T.StructField("near", T.ArrayType(T.StructType(
-            [T.StructField("entity", T.LongType()), T.StructField("term", T.StringType()), T.StructField("start", T.IntegerType()),
-             T.StructField("end", T.IntegerType()), T.StructField("context", T.LongType())]
+            [T.StructField("entity", T.LongType()), T.StructField("term", T.StringType())]
         ))),
     ]
 )
@@ -162,9 +171,8 @@ def mentions(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             for doc, key, text in zip(*(batch[c].to_pylist() for c in ("doc_id", "row_key", "text")), strict=True):
                 spans = base_spans(text or "")
                 n = Counter(kind for kind, _, _ in spans)
-                near = [dict(zip(("entity", "term", "start", "end", "context"), x, strict=True))
-                        for x in contexts(text or "", spans, window)]
-                entities = sorted({_hash(kind, text[a:b].lower()) for kind, a, b in spans}) if spans else []
+                near = [{"entity": e, "term": w} for e, w in sorted(near_words(text or "", spans, window))]
+                entities = sorted({_entity(text, span) for span in spans})
                 out.append((doc, key, *(n[k] for k in KINDS), listed(spans), entities, near))
             if out:
                 columns = zip(*out, strict=True)
@@ -174,6 +182,17 @@ def mentions(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return keyed.mapInArrow(find, MENTIONS)
 
 
+#: A document's terms: the context of the first place of each, and all places.
+PLACES = T.StructType(
+    [
+        T.StructField("row_key", T.LongType()), T.StructField("term", T.StringType()), T.StructField("context", T.LongType()),
+        T.StructField("places", T.ArrayType(T.StructType(
+            [T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]
+        ))),
+    ]
+)
+
+
 def _bit_map(terms: DataFrame) -> np.ndarray:
     """A map with the bit of each term set: ``MAP_BITS / 64`` numbers at most come to the driver."""
     bit = F.pmod(F.xxhash64("term"), F.lit(MAP_BITS))
@@ -208,7 +227,7 @@ def document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
         for batch in batches:
             for text in batch["text"].to_pylist():
-                for word in set(_WORD.findall((text or "").lower())):
+                for word in {w.lower() for w in set(_WORD.findall(text or ""))}:
                     take = wanted.get(word)
                     if take is None:
                         if len(wanted) > COUNTED_AT_ONCE:
@@ -224,31 +243,85 @@ def document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return counted.join(terms, "term", "left_semi")
 
 
-def disclosure(n: int, n_e: str = "n_e", n_t: str = "n_t", n_et: str = "n_et", contexts: str = "contexts") -> Column:
+def term_places(docs: DataFrame, terms: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``(row_key, term, context, places)``: where rows of ``docs(doc_id, text)`` hold ``terms``, outside the spans of patterns."""
+    bits = _bit_map(terms)
+    sent = docs.sparkSession.sparkContext.broadcast(bits)
+    schema = to_arrow_schema(PLACES)
+    if not bits.any():
+        return docs.sparkSession.createDataFrame([], PLACES)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted: dict[str, bool] = {}
+
+        def take(word: str) -> bool:
+            known = wanted.get(word)
+            if known is None:
+                if len(wanted) > COUNTED_AT_ONCE:
+                    wanted.clear()
+                known = wanted[word] = _in_map(word.lower(), sent.value)
+            return known
+
+        for batch in batches:
+            out = []
+            for key, text in zip(batch["row_key"].to_pylist(), batch["text"].to_pylist(), strict=True):
+                if not text or not any(map(take, set(_WORD.findall(text)))):
+                    continue
+                words = free_words(text, base_spans(text))
+                found: dict[str, list[int]] = {}
+                for i, (_, _, word) in enumerate(words):
+                    if take(word):
+                        found.setdefault(word, []).append(i)
+                for word, at in found.items():
+                    around = words[max(0, at[0] - window) : at[0] + window + 1]
+                    context = _hash(*[w for _, _, w in around])
+                    out.append((key, word, context, [{"start": words[i][0], "end": words[i][1]} for i in at]))
+            if out:
+                columns = zip(*out, strict=True)
+                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema)
+
+    keyed = docs.select("text", F.xxhash64("doc_id", "text").alias("row_key"))
+    return keyed.mapInArrow(find, PLACES).join(terms, "term", "left_semi")
+
+
+def disclosure(n: int, n_e: Column, n_t: Column, n_et: Column, contexts: Column) -> Column:
     """The share of an entity's information that a term gives; null for an entity of every document. The rate ``n_et / n_t``
     is weighed by the different contexts it was seen in against one seen at the entity's own rate."""
-    own = F.col(n_e) / F.lit(float(n))
-    rate = (F.col(n_et) / F.col(n_t) * F.col(contexts) + own) / (F.col(contexts) + 1)
-    return F.when(F.col(n_e) < n, 1 - F.log(rate) / F.log(own))
+    own = n_e / F.lit(float(n))
+    rate = (n_et / n_t * contexts + own) / (contexts + 1)
+    return F.when(n_e < n, 1 - F.log(rate) / F.log(own))
 
 
-def revealing_terms(docs: DataFrame, found: DataFrame, disclosed: float = DISCLOSED) -> DataFrame:
-    """``(entity, term, disclosure)`` of the terms that give entities away. ``found`` is what :func:`mentions` gives of
-    ``docs``."""
-    near = found.select("row_key", F.inline("near"))
-    per_context = near.select("entity", "term", "context").distinct()
-    pairs = stored(per_context.groupBy("entity", "term").agg(F.count("*").alias("contexts")), "pii-candidates")
+def revealing_terms(docs: DataFrame, found: DataFrame, disclosed: float = DISCLOSED) -> tuple[DataFrame, DataFrame]:
+    """``(entity, term, disclosure)`` of the terms that give entities away, and the places of all terms that could. ``found`` is
+    what :func:`mentions` gives of ``docs``."""
+    pairs = stored(found.select(F.inline("near")).distinct(), "pii-candidates")
     n = found.count()
-    n_et = near.select("row_key", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_et"))
-    n_e = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
+    mentioned = found.select("row_key", F.explode("entities").alias("entity"))
+    n_e = mentioned.groupBy("entity").agg(F.count("*").alias("n_e"))
     n_t = document_counts(docs, pairs.select("term").distinct())
-    judged = pairs.join(n_et, ["entity", "term"]).join(n_e, "entity").join(n_t, "term")
-    return judged.select("entity", "term", disclosure(n).alias("disclosure")).filter(F.col("disclosure") >= disclosed)
-
-
-def term_spans(found: DataFrame, revealing: DataFrame) -> DataFrame:
-    """``(row_key, terms)``: for rows with revealing terms, their ``(start, end)`` in order."""
-    hits = found.select("row_key", F.inline("near")).join(revealing.select("entity", "term"), ["entity", "term"], "left_semi")
+    # A pair cannot disclose more than if all documents of the rarer of both held both, each in a context of its own.
+    most = F.least("n_e", "n_t")
+    highest = disclosure(n, F.col("n_e"), F.col("n_t"), most, most)
+    able = pairs.join(n_e, "entity").join(n_t, "term").filter(highest >= disclosed - 1e-9)
+    able = stored(able.select("entity", "term", "n_e", "n_t"), "pii-able")
+    places = stored(term_places(docs, able.select("term").distinct()), "pii-places")
+    both = (
+        places.select("row_key", "term", "context").join(able.select("entity", "term"), "term")
+        .join(mentioned.distinct(), ["row_key", "entity"], "left_semi")
+    )
+    seen = (
+        both.groupBy("entity", "term", "context").agg(F.count("*").alias("n"))
+        .groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("contexts"))
+    )
+    given = disclosure(n, F.col("n_e"), F.col("n_t"), F.col("n_et"), F.col("contexts"))
+    judged = able.join(seen, ["entity", "term"]).select("entity", "term", given.alias("disclosure"))
+    return judged.filter(F.col("disclosure") >= disclosed), places
+
+
+def term_spans(revealing: DataFrame, places: DataFrame) -> DataFrame:
+    """``(row_key, terms)``: for rows with revealing terms, all their ``(start, end)`` in order."""
+    hits = places.join(revealing.select("term").distinct(), "term", "left_semi").select("row_key", F.inline("places"))
     return hits.groupBy("row_key").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("terms"))
 
 
@@ -257,7 +330,7 @@ def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     the corpus adds, null for none."""
     rows = picked(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
     found = stored(mentions(rows), "pii-mentions")
-    added = term_spans(found, revealing_terms(rows, found))
+    added = term_spans(*revealing_terms(rows, found))
     return found.drop("entities", "near").join(added, "row_key", "left").drop("row_key")
 
 
@@ -285,7 +358,7 @@ def sanitised(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", actio
         raise ValueError(f"unknown action {action}")
     rows = picked(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
     found = stored(mentions(rows), "pii-mentions")
-    added = stored(term_spans(found, revealing_terms(rows, found)), "pii-terms")
+    added = stored(term_spans(*revealing_terms(rows, found)), "pii-terms")
 
     @pandas_udf("string")
     def mask(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:

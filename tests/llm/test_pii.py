@@ -87,6 +87,21 @@ def test_an_entity_of_one_document_is_judged(spark):
     assert "Zorbane" in spans and not spans & {"Please", "write", "to", "at", "about", "the", "plan"}
 
 
+def test_revealing_terms_are_spans_wherever_they_stand(spark):
+    far = prose(700, 30) + " zorbane\n" + prose(701, 30)
+    rows = [(r["doc_id"], r["text"] + far, "en", "a") for r in people(spark).filter("doc_id < 8").collect()]
+    # Two more texts hold the name without the address, and one the address with the name far from it.
+    rows += [(8, prose(800, 30) + " Zorbane, again", "en", "a"), (9, f"Zorbane {prose(801, 40)} boss@corp.example.com", "en", "a")]
+    rows += [(100 + i, f"the plan about to {prose(900 + i, 60)}", "en", "a") for i in range(3000)]
+    texts = {r[0]: r[1] for r in rows}
+    found = {r["doc_id"]: r["terms"] for r in personal_data(documents(spark, rows)).filter("terms IS NOT NULL").collect()}
+    for i in range(10):
+        want = [m.span() for m in re.finditer("[Zz]orbane", texts[i])]
+        assert len(want) == (2 if i < 8 else 1) and set(want) <= {(s["start"], s["end"]) for s in found[i]}
+    clean = {r["doc_id"]: r["text"] for r in sanitised(documents(spark, rows)).filter("doc_id < 10").collect()}
+    assert not any("zorbane" in t.lower() for t in clean.values())
+
+
 def test_odd_rows_and_columns(spark, odd_documents):
     found = personal_data(odd_documents).collect()
     assert sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["base_spans"]) for r in found) == sorted(
