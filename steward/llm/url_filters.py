@@ -105,18 +105,19 @@ def resolved(link: Column, base: Column) -> Column:
 
 
 def alias_edges(pages: DataFrame, url: str = "url", html: str = "html", redirects: DataFrame | None = None) -> DataFrame:
-    """``(source, target)`` URLs: canonical links and refresh targets of the pages, and the rows of ``redirects``."""
+    """``(source, target)`` URLs: all canonical links and refresh targets of the pages, and the rows of ``redirects``."""
     rows = picked(pages, url=url, html=html)
-    links = F.array(*[F.coalesce(F.regexp_extract("html", p, 1), F.lit("")) for p in (CANONICAL, REFRESH)])
-    found = rows.select("url", F.explode(F.filter(links, lambda x: x != "")).alias("link"))
+    links = F.concat(*[F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(p), 1) for p in (CANONICAL, REFRESH)])
+    found = rows.select("url", F.explode(F.array_distinct(F.filter(links, lambda x: x != ""))).alias("link"))
     edges = found.select(F.col("url").alias("source"), resolved(F.col("link"), F.col("url")).alias("target"))
     if redirects is not None:
         edges = edges.unionByName(redirects.select("source", "target"))
     return edges.filter("source IS NOT NULL AND target IS NOT NULL")
 
 
-def alias_verdicts(edges: DataFrame, rules: list[Rule]) -> DataFrame:
-    """``(node, alias_verdict)`` for URLs of components in which some URL fits a rule."""
+def alias_verdicts(edges: DataFrame, rules: list[Rule], urls: DataFrame | None = None) -> DataFrame:
+    """``(node, alias_verdict)`` for URLs of components in which some URL fits a rule: one that an edge names, or one of
+    ``urls(url)`` that is the same node."""
     ends = edges.select(
         F.inline(
             F.array(
@@ -125,6 +126,8 @@ def alias_verdicts(edges: DataFrame, rules: list[Rule]) -> DataFrame:
             )
         )
     )
+    if urls is not None:
+        ends = ends.unionByName(urls.select("url"))
     ruled = (
         ends.select(url_node(F.col("url")).alias("node"), decided(host_of(F.col("url")), path_of(F.col("url")), rules).alias("d"))
         .filter("node IS NOT NULL AND d IS NOT NULL")
@@ -144,7 +147,7 @@ def alias_verdicts(edges: DataFrame, rules: list[Rule]) -> DataFrame:
 def judge_urls(pages: DataFrame, rules: list[Rule], page_id: str = "page_id", url: str = "url", html: str = "html",
                redirects: DataFrame | None = None) -> DataFrame:
     """One row per page: ``page_id, url, host, path, rule, verdict``."""
-    aliases = alias_verdicts(alias_edges(pages, url, html, redirects), rules)
+    aliases = alias_verdicts(alias_edges(pages, url, html, redirects), rules, picked(pages, url=url))
     rows = picked(pages, page_id=page_id, url=url).select(
         "page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")
     )

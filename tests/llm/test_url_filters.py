@@ -91,3 +91,16 @@ def test_empty_and_bad_rules(spark, pages):
         rule("block", "no-slash")
     with pytest.raises(ValueError):
         judge_urls(pages, [*RULES, RULES[0]])
+
+
+def test_all_links_and_all_urls_of_a_node_count(spark):
+    rows = [
+        (0, "http://h.example.org/es/", ""),  # blocked, and the same node as the next one's target, which fits no block
+        (1, "http://b.example.net/x", link("http://h.example.org/es")),
+        (2, "http://c.example.net/y", link("http://other.example.net/") + link("http://a.example.com/de/1")),
+        (3, "http://d.example.net/z", refresh("http://third.example.net/") + refresh("http://a.example.com/de/2")),
+        (4, "http://e.example.net/z", None),
+    ]
+    rules = [rule("block", "example.org/es/"), rule("block", "com/de/")]
+    got = judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string"), rules)
+    assert {r["page_id"]: r["verdict"] for r in got.collect()} == {0: "block", 1: "block", 2: "block", 3: "block", 4: "allow"}
