@@ -301,7 +301,7 @@ def text_key(doc_id: str, text: str):
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
     """``docs`` with one document of each class: the one with the least id, and of its rows one. Documents without words, and
-    rows without an id, stay."""
+    rows without an id, stay, but of rows of one id (or none) and the same text, only one."""
     found = _classified(docs, doc_id, text, **settings).filter("root IS NOT NULL")
     named = stored(found.select("doc_id", "text_key", "root").distinct(), "classes-found")
     kept = named.groupBy("root").agg(F.min(F.struct("doc_id", "text_key")).alias("k")).select("k.text_key")

@@ -85,6 +85,13 @@ def test_odd_rows_and_columns(spark, odd_documents):
     assert [i for _, i in ids] == [None, None, 0, 2, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 15]
 
 
+def test_equal_rows_without_id_become_one(spark):
+    text = prose(40, 60)
+    rows = [(None, text, "en", "a"), (None, text, "en", "a"), (None, text + " more", "en", "a"), (None, None, "en", "a"), (None, None, "en", "a")]
+    rows += [(1, "", "en", "a"), (1, "", "en", "a"), (2, "", "en", "a")]
+    assert bag(keep_one(documents(spark, rows)), "doc_id", "text") == [(None, None), (None, text), (None, text + " more"), (1, ""), (2, "")]
+
+
 def test_empty_and_wordless_tables(spark):
     assert near_duplicates(documents(spark, [])).count() == 0 and keep_one(documents(spark, [])).count() == 0
     wordless = documents(spark, [(1, None, "en", "a"), (2, "", "en", "a")])
