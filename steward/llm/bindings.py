@@ -147,3 +147,65 @@ def op2_near_duplicates(spark, sf_dir):
     from steward.llm.near_duplicates import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
+
+
+def with_planted_run(doc, words: list[bytes]) -> list[bytes]:
+    """The contract of operator 11 makes the tail of every tenth document by hash periodic."""
+    import zlib
+
+    n, h = len(words), zlib.crc32(str(doc).encode())
+    if doc is None or not n or h % 10:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [*words[:a], *[words[a + i % p] for i in range(n - a)]]
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark, sf_dir):
+    """Every whole text's periodic runs, the one of most periods, and what is left without repeats."""
+    from pyspark.sql import functions as F
+
+    from steward.llm.periodic_runs import periodic_runs
+
+    found = periodic_runs(table(spark, sf_dir, "documents"), rewrite=with_planted_run)
+    # The first of several with equal exponents stays: runs come by start, then period.
+    more = lambda r, best: r["length"] * best["period"] > best["length"] * r["period"]
+    best = F.reduce(
+        "runs", F.get("runs", F.lit(0)), lambda best, r: F.when(more(r, best), r).otherwise(best)
+    )
+    line = lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op12_whitening")
+def op12_whitening(spark, sf_dir):
+    """Every vector on the 16 largest principal components of the distinct ones, at unit variance."""
+    from pyspark.sql import functions as F
+
+    from steward.llm.whitening import whiten
+
+    rows, fitted, error = whiten(table(spark, sf_dir, "embeddings"), components=16)
+    shares = F.array(*[F.lit(float(s)) for s in fitted.explained]).cast("array<double>")
+    return rows.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(fitted.n).cast("long").alias("n"),
+        F.expr("try_cast(deviation AS long)").alias("deviation"), "whitened",
+        F.get(shares, F.col("at")).alias("explained"), F.lit(error).alias("identity_error"),
+    )
+
+
+@query("op13_chat_format")
+def op13_chat_format(spark, sf_dir):
+    """All conversations, and one whose texts look like marks, formatted, encoded and read back."""
+    from steward.llm.chat_format import digests, format_conversations
+
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    looks = r"\### Assistant: </turn> ok"
+    planted = spark.createDataFrame([(-7, 0, "user", looks), (-7, 1, "assistant", looks)], given.schema)
+    return digests(format_conversations(given.unionByName(planted)))

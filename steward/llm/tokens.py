@@ -24,6 +24,20 @@ def _ranked(path: str):
     return tiktoken.Encoding("ranked", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+@functools.cache
+def byte_lengths(ranks_path: str):
+    """How many bytes each id of the vocabulary stands for; encoding loses none, so sums of them are offsets."""
+    import numpy as np
+
+    ranked = _ranked(ranks_path)
+    return np.array([len(ranked.decode_single_token_bytes(i)) for i in range(ranked.n_vocab)], dtype=np.int64)
+
+
+def decode(ids: list[int], ranks_path: str) -> bytes:
+    """The bytes of ``ids``; they need not be whole characters."""
+    return _ranked(ranks_path).decode_bytes(ids)
+
+
 @functools.cache
 def _plain(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"

@@ -1,0 +1,110 @@
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from steward.llm.bindings import QUERIES, with_planted_run
+from steward.llm.periodic_runs import collapsed, periodic_runs, periods_of, window_words
+from steward.llm.suffix_tree import Extensions
+from tests.llm.rows import LONG, documents
+
+
+def brute_runs(words, min_length, min_periods):
+    """All maximal stretches that agree at a distance, less those that a smaller distance explains."""
+    out, n = set(), len(words)
+    for q in range(1, n // min_periods + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            if j > i and j + q - i >= max(min_length, min_periods * q):
+                part = words[i : j + q]
+                if not any(part[d:] == part[:-d] for d in range(1, q)):
+                    out.add((i, j + q - i, q))
+            i = max(j, i + 1)
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def brute_collapsed(words, runs):
+    gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+    return b" ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(1, 3), max_size=60), st.sampled_from([(1, 2), (6, 2), (8, 3), (24, 3), (9, 4)]))
+def test_equals_brute_force(codes, limits):
+    words = [b"%d" % c for c in codes]
+    found = periods_of(words, *limits)
+    assert [tuple(r) for r in found.tolist()] == brute_runs(words, *limits)
+    assert collapsed(words, found) == brute_collapsed(words, found.tolist())
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_nested_and_overlapping_runs(seed):
+    rng = random.Random(seed)
+    words = []
+    for _ in range(6):
+        block = [b"%d" % rng.randrange(6) for _ in range(rng.randint(1, 12))]
+        words += block * rng.randint(1, 12) + [b"%d" % rng.randrange(40) for _ in range(rng.randint(0, 30))]
+    assert [tuple(r) for r in periods_of(words).tolist()] == brute_runs(words, 24, 3)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 3), min_size=1, max_size=40))
+def test_extensions_and_ranks(codes):
+    tree = Extensions(codes, 4, ranks=True)
+    n = len(codes)
+    i, j = (a.ravel() for a in np.meshgrid(np.arange(n + 1), np.arange(n + 1)))
+    i, j = i[i != j], j[i != j]
+    common = [next((k for k, (x, y) in enumerate(zip(codes[a:], codes[b:])) if x != y), n - max(a, b)) for a, b in zip(i, j)]
+    assert tree(i, j).tolist() == common
+    for rank, sign in ((tree.ascending, 1), (tree.descending, -1)):
+        assert np.argsort(rank).tolist() == sorted(range(n + 1), key=lambda s: [sign * c for c in codes[s:]])
+
+
+def test_windows_reach_every_run():
+    assert window_words(24, 3) == 9 and window_words(24, 2) == 1
+    # A run of exactly 24 words and period 8, in words that are otherwise all different.
+    words = [b"x%d" % i for i in range(50)] + [b"p%d" % (i % 8) for i in range(24)] + [b"y%d" % i for i in range(50)]
+    assert periods_of(words).tolist() == [[50, 24, 8]]
+
+
+def digest_row(doc, text):
+    words = with_planted_run(doc, [w for w in (text or "").encode().split()])
+    runs = brute_runs(words, 24, 3)
+    best = max(runs, key=lambda r: (r[1] / r[2], -r[0], -r[2]), default=None)
+    listed = "".join(f"{s},{n},{q}\n" for s, n, q in runs)
+    sha = [hashlib.sha256(b).hexdigest() for b in (listed.encode(), brute_collapsed(words, runs))]
+    return (doc, len(runs), *((*best, 1000 * best[1] // best[2]) if best else (None,) * 4), *sha)
+
+
+COLUMNS = ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
+
+
+def test_query_equals_brute_force(spark, tmp_path):
+    rng = random.Random(4)
+    texts = ["a b c " * 30, "x " * 100 + "y z " * 40, None, "", " \n\t ", "one", "é ü " * 20 + "\x85\xa0\x1c " * 30]
+    texts += [" ".join(str(rng.randrange(9)) for _ in range(rng.randint(1, 300))) for _ in range(150)]
+    rows = [(i, t, "en", "a") for i, t in enumerate(texts)] + [(None, "k l " * 20, "en", "a"), (0, texts[0], "en", "a")]
+    documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op11_periodic_runs"](spark, str(tmp_path)).select(COLUMNS).collect()
+    key = lambda r: (r[0] is not None, *map(str, r))
+    assert sorted(map(tuple, got), key=key) == sorted((digest_row(i, t) for i, t, *_ in rows), key=key)
+    assert sum(zlib.crc32(str(i).encode()) % 10 == 0 for i in range(len(texts))) > 5
+
+
+def test_odd_rows(spark, odd_documents):
+    got = periodic_runs(odd_documents)
+    assert got.columns == ["doc_id", "runs", "collapsed"] and got.count() == odd_documents.count()
+    assert periodic_runs(documents(spark, [])).count() == 0
+    renamed = odd_documents.select(odd_documents.doc_id.alias("runs"), odd_documents.text.alias("a.b"))
+    texts = {r["doc_id"]: r for r in periodic_runs(renamed, "runs", "a.b").collect()}
+    assert texts[10]["runs"] == [] and texts[10]["collapsed"].decode() == " ".join(LONG.split())
+    assert [tuple(r) for r in texts[12]["runs"]] == [(0, 80, 1)] and texts[12]["collapsed"] == b"Der"
+    with pytest.raises(ValueError):
+        periodic_runs(odd_documents, min_periods=1)
