@@ -1,20 +1,28 @@
 """Personal data: patterns, and terms that reveal it (operator 8).
 
-E-mail addresses, IP addresses, card and phone numbers are found by pattern; each distinct value is a protected entity. Words
-that stand near a mention of an entity somewhere are then judged by the corpus: with ``n_e`` documents that mention the entity,
-``n_t`` that hold the term, and ``n_et`` that do both, the term anywhere in the text, out of ``N``, the disclosure of the entity
-by the term is its pointwise mutual information as a share of the entity's information, ``1 + log(n_et / n_t) / log(N / n_e)``.
-It is 1 for a term that is seen with the entity only, and about 0 for a common one. Every such pair is judged, also of an entity
-that is mentioned once. For small samples, ``n_et / n_t`` is drawn towards ``n_e / N`` as by one more context: a term seen in one
-context only leaves a bit of doubt, which is little of a rare entity's information and much of a common one's. Where terms at or
-above the threshold stand outside the patterns' spans, in any document, they are spans as well, to be generalised or removed.
+E-mail addresses, IP addresses, card and phone numbers are found by pattern; each distinct value is a protected entity, and so
+is the domain of an address, which pools what its addresses have in common. Words that stand near a mention of an entity
+somewhere are judged by the corpus. With ``n_e`` documents that mention the entity, ``n_t`` that hold the term, and ``n_et``
+that do both, the term anywhere in the text, out of ``N``, and with the number of different contexts in which the term stands
+near the entity, a term reveals the entity if both hold:
+
+* Information. The disclosure, ``1 + log(n_et / n_t) / log(N / n_e)``, is the pointwise mutual information as a share of the entity's
+  information: 1 for a term that is seen with the entity only, about 0 for a common one. ``n_et / n_t`` is drawn towards
+  ``n_e / N`` as by one more context. It must reach the threshold.
+* Evidence. The lower confidence bound (Wilson's, one-sided 95 %) of ``n_et / n_t``, the contexts being the sample, exceeds one half: the
+  term points at the entity more often than not, and not by chance. What was seen once is no evidence, in a table of any size;
+  without counterexamples three contexts are.
+
+Where such terms stand outside the patterns' spans, in any document, they are spans as well, to be generalised or removed.
 
 Texts are read three times: for mentions, for ``n_t`` of the words near them, and for the places of the words whose ``n_t``
-lets them pass. Words are told to the tasks as a bit map of fixed size, and joins drop what it lets through by chance. Mentions,
-terms and places stay in tables.
+lets them pass. Pairs that could not have the evidence if every document of the rarer of both held both are dropped before each
+of the last two. Words are told to the tasks as a bit map of fixed size, and joins drop what it lets through by chance. Mentions,
+terms and places stay in tables. Rows are known by two 64-bit hashes of id and text.
 
 Defined results: a null text counts as empty and has no spans; repeated rows have the same spans and count once each; contexts
-of a term (the words around its first place in a text) that are equal, as in copies, count once; a null id is kept; an empty table gives an empty result.
+(the words around a mention) that are equal, as in copies, count once; a null id is kept; very long texts are read whole; an
+empty table gives an empty result; other columns are carried along by :func:`sanitised` whatever their names.
 """
 
 from __future__ import annotations
@@ -40,8 +48,10 @@ from steward.session import stored
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 
-#: Words to either side of a mention that are near it, and of a term that are its context.
+#: Words to either side of a mention that are near it and its context.
 WINDOW = 5
+#: The normal quantile of the evidence, and the rate that it must show.
+CONFIDENCE, LIKELY = 1.645, 0.5
 #: Disclosure from which a term is a span.
 DISCLOSED = 0.9
 #: Bits of the map of terms to count; more terms than fit only make more words be counted.
@@ -129,38 +139,46 @@ def free_words(text: str, spans: list[Span]) -> list[tuple[int, int, str]]:
     return words
 
 
-def _entity(text: str, span: Span) -> int:
+def _entities(text: str, span: Span) -> list[int]:
+    """A mention's value and, of an address, its domain."""
     kind, start, end = span
-    return _hash(kind, text[start:end].lower())
+    value = text[start:end].lower()
+    return [_hash(kind, value), *([_hash("domain", value.rpartition("@")[2])] if kind == "email" else [])]
 
 
-def near_words(text: str, spans: list[Span], window: int) -> set[tuple[int, str]]:
-    """``(entity, term)`` for the words around each mention."""
+def near_words(text: str, spans: list[Span], window: int) -> set[tuple[int, int, str]]:
+    """``(entity, context, term)`` for the words around each mention."""
     if not spans:
         return set()
     words = free_words(text, spans)
     at = [w[0] for w in words]
     out = set()
     for span in spans:
-        entity = _entity(text, span)
         left, right = bisect.bisect_left(at, span[1]), bisect.bisect_left(at, span[2])
-        out.update((entity, w) for _, _, w in words[max(0, left - window) : left] + words[right : right + window])
+        around = [w for _, _, w in words[max(0, left - window) : left] + words[right : right + window]]
+        context = _hash(*around)
+        out.update((entity, context, w) for entity in _entities(text, span) for w in around)
     return out
 
 
 MENTIONS = T.StructType(
     [
-        T.StructField("doc_id", T.LongType()), T.StructField("row_key", T.LongType()),
+        T.StructField("doc_id", T.LongType()), T.StructField("row_key", T.StringType()),
         *[T.StructField(f"n_{kind}", T.LongType()) for kind in KINDS],
         T.StructField("base_spans", T.StringType()),
         T.StructField("entities", T.ArrayType(T.LongType())),
         T.StructField("near", T.ArrayType(T.StructType(
-            [T.StructField("entity", T.LongType()), T.StructField("term", T.StringType())]
+            [T.StructField("entity", T.LongType()), T.StructField("context", T.LongType()), T.StructField("term", T.StringType())]
         ))),
     ]
 )
 
 
+def row_key(doc_id: Column, text: Column) -> Column:
+    """128 bits of a row's id and text, as text: rows that share it are equal."""
+    return F.concat_ws(":", F.hex(F.xxhash64(doc_id, text)), F.hex(F.xxhash64(F.lit("second"), text, doc_id)))
+
+
 def mentions(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: counts and spans of the patterns, entities, and the words near them."""
     schema = to_arrow_schema(MENTIONS)
@@ -171,21 +189,21 @@ def mentions(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             for doc, key, text in zip(*(batch[c].to_pylist() for c in ("doc_id", "row_key", "text")), strict=True):
                 spans = base_spans(text or "")
                 n = Counter(kind for kind, _, _ in spans)
-                near = [{"entity": e, "term": w} for e, w in sorted(near_words(text or "", spans, window))]
-                entities = sorted({_entity(text, span) for span in spans})
+                near = [{"entity": e, "context": c, "term": w} for e, c, w in sorted(near_words(text or "", spans, window))]
+                entities = sorted({e for span in spans for e in _entities(text, span)})
                 out.append((doc, key, *(n[k] for k in KINDS), listed(spans), entities, near))
             if out:
                 columns = zip(*out, strict=True)
                 yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema)
 
-    keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row_key"))
+    keyed = docs.select("doc_id", "text", row_key(F.col("doc_id"), F.col("text")).alias("row_key"))
     return keyed.mapInArrow(find, MENTIONS)
 
 
-#: A document's terms: the context of the first place of each, and all places.
+#: A document's terms and all places of each.
 PLACES = T.StructType(
     [
-        T.StructField("row_key", T.LongType()), T.StructField("term", T.StringType()), T.StructField("context", T.LongType()),
+        T.StructField("row_key", T.StringType()), T.StructField("term", T.StringType()),
         T.StructField("places", T.ArrayType(T.StructType(
             [T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]
         ))),
@@ -243,8 +261,8 @@ def document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return counted.join(terms, "term", "left_semi")
 
 
-def term_places(docs: DataFrame, terms: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``(row_key, term, context, places)``: where rows of ``docs(doc_id, text)`` hold ``terms``, outside the spans of patterns."""
+def term_places(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """``(row_key, term, places)``: where rows of ``docs(doc_id, text)`` hold ``terms``, outside the spans of patterns."""
     bits = _bit_map(terms)
     sent = docs.sparkSession.sparkContext.broadcast(bits)
     schema = to_arrow_schema(PLACES)
@@ -273,14 +291,12 @@ def term_places(docs: DataFrame, terms: DataFrame, window: int = WINDOW) -> Data
                     if take(word):
                         found.setdefault(word, []).append(i)
                 for word, at in found.items():
-                    around = words[max(0, at[0] - window) : at[0] + window + 1]
-                    context = _hash(*[w for _, _, w in around])
-                    out.append((key, word, context, [{"start": words[i][0], "end": words[i][1]} for i in at]))
+                    out.append((key, word, [{"start": words[i][0], "end": words[i][1]} for i in at]))
             if out:
                 columns = zip(*out, strict=True)
                 yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema)
 
-    keyed = docs.select("text", F.xxhash64("doc_id", "text").alias("row_key"))
+    keyed = docs.select("text", row_key(F.col("doc_id"), F.col("text")).alias("row_key"))
     return keyed.mapInArrow(find, PLACES).join(terms, "term", "left_semi")
 
 
@@ -292,31 +308,48 @@ def disclosure(n: int, n_e: Column, n_t: Column, n_et: Column, contexts: Column)
     return F.when(n_e < n, 1 - F.log(rate) / F.log(own))
 
 
+def evidence(n_t: Column, n_et: Column, contexts: Column) -> Column:
+    """The lower confidence bound of ``n_et / n_t``, where the hits are as many as ``contexts`` and the misses in proportion."""
+    rate = n_et / n_t
+    sample, z2 = contexts / rate, CONFIDENCE**2
+    spread = F.sqrt(rate * (1 - rate) / sample + z2 / (4 * sample * sample))
+    return (rate + z2 / (2 * sample) - CONFIDENCE * spread) / (1 + z2 / sample)
+
+
+def reveals(n: int, n_e: Column, n_t: Column, n_et: Column, contexts: Column, disclosed: float) -> Column:
+    """Whether a term with these counts gives the entity away."""
+    return (disclosure(n, n_e, n_t, n_et, contexts) >= disclosed) & (evidence(n_t, n_et, contexts) > LIKELY)
+
+
+def candidate_pairs(found: DataFrame) -> DataFrame:
+    """``(entity, term, contexts, n_e)`` of the pairs that have the evidence if all documents of the term mention the entity.
+    ``found`` is what :func:`mentions` gives."""
+    near = found.select(F.inline("near")).distinct()
+    pairs = near.groupBy("entity", "term").agg(F.count("*").alias("contexts"))
+    n_e = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
+    enough = evidence(F.lit(1.0), F.lit(1.0), F.col("contexts")) > LIKELY
+    return pairs.filter(enough).join(n_e, "entity")
+
+
 def revealing_terms(docs: DataFrame, found: DataFrame, disclosed: float = DISCLOSED) -> tuple[DataFrame, DataFrame]:
     """``(entity, term, disclosure)`` of the terms that give entities away, and the places of all terms that could. ``found`` is
     what :func:`mentions` gives of ``docs``."""
-    pairs = stored(found.select(F.inline("near")).distinct(), "pii-candidates")
+    pairs = stored(candidate_pairs(found), "pii-candidates")
     n = found.count()
-    mentioned = found.select("row_key", F.explode("entities").alias("entity"))
-    n_e = mentioned.groupBy("entity").agg(F.count("*").alias("n_e"))
     n_t = document_counts(docs, pairs.select("term").distinct())
-    # A pair cannot disclose more than if all documents of the rarer of both held both, each in a context of its own.
-    most = F.least("n_e", "n_t")
-    highest = disclosure(n, F.col("n_e"), F.col("n_t"), most, most)
-    able = pairs.join(n_e, "entity").join(n_t, "term").filter(highest >= disclosed - 1e-9)
-    able = stored(able.select("entity", "term", "n_e", "n_t"), "pii-able")
+    # A pair cannot disclose more than if all documents of the rarer of both held both; the rest is slack for rounding.
+    most = F.least("n_e", "n_t").cast("double")
+    able = (disclosure(n, F.col("n_e"), F.col("n_t"), most, F.col("contexts")) >= disclosed - 1e-9) & (
+        evidence(F.col("n_t"), most, F.col("contexts")) > LIKELY - 1e-9
+    )
+    able = stored(pairs.join(n_t, "term").filter(able), "pii-able")
     places = stored(term_places(docs, able.select("term").distinct()), "pii-places")
-    both = (
-        places.select("row_key", "term", "context").join(able.select("entity", "term"), "term")
-        .join(mentioned.distinct(), ["row_key", "entity"], "left_semi")
-    )
-    seen = (
-        both.groupBy("entity", "term", "context").agg(F.count("*").alias("n"))
-        .groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("contexts"))
-    )
-    given = disclosure(n, F.col("n_e"), F.col("n_t"), F.col("n_et"), F.col("contexts"))
-    judged = able.join(seen, ["entity", "term"]).select("entity", "term", given.alias("disclosure"))
-    return judged.filter(F.col("disclosure") >= disclosed), places
+    mentioned = found.select("row_key", F.explode("entities").alias("entity")).distinct()
+    both = places.select("row_key", "term").join(able.select("entity", "term"), "term").join(mentioned, ["row_key", "entity"], "left_semi")
+    n_et = both.groupBy("entity", "term").agg(F.count("*").alias("n_et"))
+    counts = [F.col(c) for c in ("n_e", "n_t", "n_et", "contexts")]
+    judged = able.join(n_et, ["entity", "term"]).filter(reveals(n, *counts, disclosed))
+    return judged.select("entity", "term", disclosure(n, *counts).alias("disclosure")), places
 
 
 def term_spans(revealing: DataFrame, places: DataFrame) -> DataFrame:
@@ -368,7 +401,7 @@ def sanitised(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", actio
         )
 
     key, terms = aside(docs.columns, "_row_key", "_terms")
-    keyed = docs.withColumn(key, F.xxhash64(quoted(doc_id).cast("long"), quoted(text)))
+    keyed = docs.withColumn(key, row_key(quoted(doc_id).cast("long"), quoted(text)))
     joined = keyed.join(added.select(F.col("row_key").alias(key), F.col("terms").alias(terms)), key, "left")
     out = joined.withColumn(text, mask(quoted(text), F.col(terms)["start"], F.col(terms)["end"]))
     return out.select(*[quoted(c) for c in docs.columns])

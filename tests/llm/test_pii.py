@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 
@@ -6,7 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from steward.llm.bindings import QUERIES
-from steward.llm.pii import base_spans, luhn, masked, personal_data, sanitised
+from steward.llm.pii import (
+    CONFIDENCE, DISCLOSED, LIKELY, WINDOW, base_spans, candidate_pairs, free_words, luhn, masked, mentions, personal_data,
+    revealing_terms, sanitised,
+)
 from tests.llm.rows import DOCS, documents, prose
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -78,13 +82,109 @@ def test_copies_are_one_context(spark):
     assert personal_data(documents(spark, rows)).filter("terms IS NOT NULL").count() == 0
 
 
-def test_an_entity_of_one_document_is_judged(spark):
-    rows = [(0, "Please write to Zorbane at jo@corp.example.com about the plan " + prose(0, 40), "en", "a")]
-    rows += [(i, "Please write at once about the plan to " + prose(i, 40), "en", "a") for i in range(1, 3000)]
-    found = personal_data(documents(spark, rows)).filter("terms IS NOT NULL").collect()
-    assert [r["doc_id"] for r in found] == [0]
-    spans = {rows[0][1][s["start"] : s["end"]] for s in found[0]["terms"]}
-    assert "Zorbane" in spans and not spans & {"Please", "write", "to", "at", "about", "the", "plan"}
+def revealed(spark, rows):
+    """The words of ``rows(doc_id, text)`` that are spans, in small letters."""
+    found = personal_data(documents(spark, [(i, t, "en", "a") for i, t in rows])).filter("terms IS NOT NULL").collect()
+    texts = dict(rows)
+    return {texts[r["doc_id"]][s["start"] : s["end"]].lower() for r in found for s in r["terms"]}
+
+
+@pytest.mark.parametrize("n", [1000, 1100, 3000])
+def test_what_was_seen_once_is_no_evidence_in_a_table_of_any_size(spark, n):
+    rows = [(0, "write zorbane quickly jo@corp.example.com about plan")] + [(i, prose(i, 40)) for i in range(1, n)]
+    assert revealed(spark, rows) == set()
+
+
+@pytest.mark.parametrize("n", [300, 1000, 1100])
+def test_addresses_of_one_domain_are_pooled(spark, n):
+    rows = [(i, f"{prose(i, 20)} zorbane a{i}@corp.example.com {prose(50 + i, 20)}") for i in range(4)]
+    rows += [(i, prose(i, 40)) for i in range(10, n)]
+    assert revealed(spark, rows) == {"zorbane"}
+
+
+def planted(seed, n=1500):
+    """People who are named beside their own address in three to six documents, and rare words beside other addresses: one or two
+    documents each, or as often without the address as with it."""
+    rng = random.Random(seed)
+    rows, names, rare = [], set(), set()
+    for p in range(30):
+        names.add(f"qname{p}x")
+        rows += [f"{prose(rng.random(), 15)} qname{p}x wrote user{p}@host{p}.example.com {prose(rng.random(), 15)}" for _ in range(rng.randint(3, 6))]
+    for p in range(200):
+        rare.add(f"zrare{p}y")
+        rows += [f"{prose(rng.random(), 15)} zrare{p}y one{p}@other{p}.example.com {prose(rng.random(), 15)}" for _ in range(rng.randint(1, 2))]
+    for p in range(30):
+        rare.add(f"ycommon{p}z")
+        texts = (f"{prose(rng.random(), 15)} ycommon{p}z {'many%d@more%d.example.com' % (p, p) if i % 2 else ''} {prose(rng.random(), 15)}" for i in range(10))
+        rows += texts
+    rows += [prose(rng.random(), 30) for _ in range(n - len(rows))]
+    return list(enumerate(rows)), names, rare
+
+
+def test_precision_and_recall_on_planted_names(spark):
+    rows, names, rare = planted(5)
+    spans = revealed(spark, rows)
+    assert names <= spans and not spans & rare
+    assert len(spans & names) / len(spans) > 0.9
+
+
+def brute_terms(rows):
+    """The judgement pair by pair, in plain loops."""
+    z2, n = CONFIDENCE**2, len(rows)
+    words = {i: {w.lower() for w in re.findall(r"[^\W\d_][\w'-]*", t)} for i, t in rows}
+    free = {i: {w for _, _, w in free_words(t, base_spans(t))} for i, t in rows}
+    contexts, holders = {}, {}
+    for i, t in rows:
+        for span in base_spans(t):
+            mine = [w for w in free_words(t, base_spans(t))]
+            before = [w for a, _, w in mine if a < span[1]][-WINDOW:]
+            around = before + [w for a, _, w in mine if a >= span[2]][:WINDOW]
+            value = t[span[1] : span[2]].lower()
+            for entity in {(span[0], value), *([("domain", value.split("@")[1])] if span[0] == "email" else [])}:
+                holders.setdefault(entity, set()).add(i)
+                for w in around:
+                    contexts.setdefault((entity, w), set()).add(tuple(around))
+    out = {}
+    for (entity, w), seen in contexts.items():
+        n_e, n_t = len(holders[entity]), sum(w in words[i] for i, _ in rows)
+        n_et, k = sum(w in free[i] for i in holders[entity]), len(seen)
+        rate, own = n_et / n_t, n_e / n
+        m = k / rate
+        low = (rate + z2 / 2 / m - CONFIDENCE * (rate * (1 - rate) / m + z2 / 4 / m / m) ** 0.5) / (1 + z2 / m)
+        given = 1 - math.log((rate * k + own) / (k + 1)) / math.log(own)
+        if given >= DISCLOSED and low > LIKELY:
+            out[w] = max(out.get(w, 0), given)
+    return out
+
+
+def test_disclosure_equals_brute_force(spark):
+    rng = random.Random(8)
+    common = [f"w{c}" for c in "abcdefghijklmnopqrstuvwxyz"]
+    rows = []
+    for i in range(400):
+        said = [rng.choice(common) for _ in range(12)]
+        if i % 3 == 0:
+            p = rng.randrange(12)
+            said.insert(rng.randrange(12), f"u{p}@d{p % 5}.example.com")
+            if rng.random() < 0.8:
+                said.insert(rng.randrange(12), f"name{'abcdefghijkl'[p]}")
+        elif rng.random() < 0.1:
+            said.append(f"name{rng.choice('abcdefghijkl')}")
+        rows.append((i, " ".join(said)))
+    docs = documents(spark, [(i, t, "en", "a") for i, t in rows]).select("doc_id", "text")
+    judged = revealing_terms(docs, mentions(docs))[0].groupBy("term").agg(F.max("disclosure").alias("d")).collect()
+    want = brute_terms(rows)
+    assert want and {r["term"] for r in judged} == want.keys()
+    assert all(math.isclose(r["d"], want[r["term"]]) for r in judged)
+
+
+def test_pruning_before_counting_loses_nothing(spark):
+    """Every pair judged without pruning that reveals is among the candidates; pairs seen once or twice are not counted."""
+    rows, names, rare = planted(6, 900)
+    docs = documents(spark, [(i, t, "en", "a") for i, t in rows]).select("doc_id", "text")
+    found = mentions(docs)
+    kept = {r["term"] for r in candidate_pairs(found).select("term").distinct().collect()}
+    assert brute_terms(rows).keys() <= kept and names <= kept and not kept & {w for w in rare if w.startswith("zrare")}
 
 
 def test_revealing_terms_are_spans_wherever_they_stand(spark):
