@@ -104,7 +104,7 @@ def signature(grams: np.ndarray, count: int) -> np.ndarray:
 
 SIGNED = T.StructType(
     [
-        T.StructField("doc_id", T.LongType()), T.StructField("text_key", T.LongType()), T.StructField("row", T.LongType()),
+        T.StructField("doc_id", T.LongType()), T.StructField("text_key", T.StringType()), T.StructField("row", T.LongType()),
         T.StructField("class", T.BinaryType()), T.StructField("ngrams", T.LongType()),
         T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("signature", T.BinaryType()),
     ]
@@ -263,7 +263,9 @@ def _classified(docs: DataFrame, doc_id: str, text: str, n: int = NGRAM, thresho
     blocks = members.groupBy("root").agg(
         F.greatest(F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("ngrams") / BLOCK_NGRAMS)).alias("blocks")
     )
-    texts = rows.select(text_key("doc_id", "text").alias("text_key"), "text")
+    # Repeated rows share a key: one text of each, chosen by partial aggregation, goes on.
+    keyed = rows.select(text_key("doc_id", "text").alias("text_key"), "text")
+    texts = keyed.join(members.select("text_key"), "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
     held = members.drop("ngrams").join(texts, "text_key").join(blocks, "root")
     links = stored(verified_links(_in_block_pairs(held, "node", "blocks"), n, threshold), "links")
 
@@ -295,8 +297,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def text_key(doc_id: str, text: str):
-    """What tells the rows of a table apart: equal for rows of one id and text only."""
-    return F.xxhash64(quoted(doc_id).cast("long"), quoted(text))
+    """What tells the rows of a table apart: 128 bits of id and text, as text, equal for rows of one id and text only."""
+    i, t = quoted(doc_id).cast("long"), quoted(text)
+    return F.concat_ws(":", F.hex(F.xxhash64(i, t)), F.hex(F.xxhash64(F.lit("second"), t, i)))
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:

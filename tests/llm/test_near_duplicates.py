@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from steward.llm import near_duplicates as nd
 from steward.llm.near_duplicates import band_count, keep_one, near_duplicates, ngram_set, signature
@@ -109,3 +110,21 @@ def test_signatures_agree_as_sets_do():
     share = len(np.intersect1d(x, y)) / len(np.union1d(x, y))
     assert abs((signature(x, 4000) == signature(y, 4000)).mean() - share) < 0.03
     assert len(ngram_set(" ".join(a))) == len(grams(" ".join(a)))
+
+
+def test_repeated_rows_send_one_text(spark, monkeypatch):
+    """5,000 copies of a row and a near copy make one pair of texts to verify, not 5,000."""
+    seen = []
+    verified = nd.verified_links
+
+    def counting(texts, *rest):
+        seen.append(texts.groupBy("root", "low", "high").count().agg(F.max("count"), F.sum("count")).first())
+        return verified(texts, *rest)
+
+    monkeypatch.setattr(nd, "verified_links", counting)
+    text = prose(1, 100)
+    rows = spark.range(5000).select(F.lit(1).cast("long").alias("doc_id"), F.lit(text).alias("text"))
+    near = spark.createDataFrame([(2, text + " tail")], "doc_id long, text string")
+    found = near_duplicates(rows.unionByName(near)).groupBy("doc_id", "class_id", "n_links").count().collect()
+    assert tuple(seen[0]) == (2, 2)
+    assert sorted(map(tuple, found)) == [(1, 1, 5000, 5000), (2, 1, 5000, 1)]
