@@ -1,3 +1,6 @@
+import random
+import re
+
 import duckdb
 import pandas as pd
 import pytest
@@ -5,7 +8,7 @@ import pytest
 from steward.llm.bindings import URL_RULES
 from steward.llm.components import components
 from steward.llm.sql import URL_FILTERS
-from steward.llm.url_filters import judge_urls, rule
+from steward.llm.url_filters import judge_urls, rule, rule_table
 
 RULES = [rule(*r) for r in URL_RULES]
 
@@ -104,3 +107,59 @@ def test_all_links_and_all_urls_of_a_node_count(spark):
     rules = [rule("block", "example.org/es/"), rule("block", "com/de/")]
     got = judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string"), rules)
     assert {r["page_id"]: r["verdict"] for r in got.collect()} == {0: "block", 1: "block", 2: "block", 3: "block", 4: "allow"}
+
+
+def brute_rule(url, rules):
+    """The longest rule that fits by a loop over all, for a page without links."""
+    after = (url or "").partition("://")[2] if "://" in (url or "") else ""
+    host = re.split("[/?#]", after)[0]
+    path = re.split("[?#]", after[len(host) :])[0]
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    fit = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    best = min(fit, key=lambda r: (-len(r.text), r.text), default=None)
+    return (best.text, best.verdict) if best else (None, "allow")
+
+
+def many_rules(rng, n):
+    hosts = ["com", "org", "example.com", "example.org", "a.example.com", "net", "x.net", "", "b.c.net"]
+    made = {}
+    while len(made) < n:
+        text = rng.choice(hosts) + "/" + "".join(rng.choice("ab1/") for _ in range(rng.randint(0, 12)))
+        made[text] = rule(rng.choice(["allow", "block"]), text)
+    return list(made.values())
+
+
+def test_any_number_of_rules_by_joins(spark, pages):
+    """More rules than an expression takes give what a loop over all gives; few give the same by either way."""
+    rng = random.Random(3)
+    rules = many_rules(rng, 5000)
+    urls = [f"http://{rng.choice(['A.', 'q.w.', ''])}{rng.choice(['example.com', 'x.net', 'org', 'c.net', 'b.c.net:80', 'net.'])}/"
+            + "".join(rng.choice("ab1/?#") for _ in range(rng.randint(0, 15))) for _ in range(800)]
+    urls += [None, "", "none", "://", "http://", "http:///ab", "http://com", urls[0], urls[0]]
+    table = spark.createDataFrame([(i, u, None) for i, u in enumerate(urls)], "page_id long, url string, html string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in judge_urls(table, rules).collect()}
+    assert got == {i: brute_rule(u, rules) for i, u in enumerate(urls)} and len({r for r, _ in got.values()}) > 100
+    by_table = sorted(map(tuple, judge_urls(pages, rule_table(spark, RULES)).collect()), key=str)
+    assert by_table == sorted(map(tuple, judge_urls(pages, RULES).collect()), key=str)
+    empty = spark.createDataFrame([], "verdict string, host string, path string")
+    assert {r["verdict"] for r in judge_urls(pages, empty).collect()} == {"allow"}
+    for repeated in ([RULES[0], RULES[0]], rule_table(spark, [RULES[0], RULES[0]])):
+        with pytest.raises(ValueError):
+            judge_urls(pages, repeated)
+
+
+def test_a_hundred_thousand_rules(spark, sf):
+    """On the given pages: rules on two thirds of their paths and very many that fit none."""
+    urls = [r["url"] for r in spark.read.parquet(f"{sf}/pages.parquet").select("url").collect()]
+    texts = {}
+    for i, url in enumerate(urls):
+        after = (url or "").partition("://")[2]
+        if "/" in after and i % 3:
+            text = re.split("[?#]", after)[0].lower()[: -(i % 2) or None]
+            texts[text] = rule(("allow", "block")[i % 2], text) if "/" in text else rule("allow", text + "/")
+    rules = list(texts.values()) + [rule("block", f"host{i % 977}.example.com/p{i}") for i in range(100_000 - len(texts))]
+    few = list(texts.values()) + rules[-100:]
+    table = spark.read.parquet(f"{sf}/pages.parquet")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in judge_urls(table, rules).collect()}
+    want = {r["page_id"]: brute_rule(r["url"], few) for r in table.select("page_id", "url").collect()}
+    assert len(rules) == 100_000 and got == want and sum(r is not None for r, _ in got.values()) > 20
