@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from steward.operators.slices import floor_to, micros
 from steward.session import stored
 
 #: Units of :func:`rapid_fire_by_bucket`.
@@ -143,10 +144,6 @@ def _ranks(means: DataFrame) -> DataFrame:
     )
 
 
-def _micros(ts: Column) -> Column:
-    return F.unix_micros(ts.cast("timestamp"))
-
-
 def rapid_fire_in_frame(
     tx: DataFrame,
     key: str | Sequence[str],
@@ -162,49 +159,46 @@ def rapid_fire_in_frame(
 
     A range frame is re-evaluated for each row and would hold all rows of a key in one task. Here the rows of a key and
     instant are counted first, which combines before the shuffle; the count opens at its instant and closes one frame
-    later, and what a frame holds is the running sum of openings and closings. The time line of a key is cut into slices,
-    each a window partition of its own, and what is open at the start of a slice is the running total of the slices before,
-    one short row each. Only the instants above the limit meet the rows again. By default a frame is sixteen slices;
-    ``slice_seconds`` cuts keys that fire extremely often finer still. The result is the same.
+    later, and what a frame holds is a running sum of openings and closings. The time line of a key is cut into slices, a
+    whole number to the frame, and each is a window partition of its own: what is open at its start is what opened in as many
+    slices before it as a frame has, so their totals are all that a slice needs to know of the others, and nothing runs along
+    a key. Only the instants above the limit meet the rows again. By default a slice is a frame; ``slice_seconds`` cuts keys
+    that fire extremely often finer. The result is the same.
     """
     keys = [key] if isinstance(key, str) else list(key)
     frame = round(frame_seconds * 1_000_000)
-    width = round(slice_seconds * 1_000_000) if slice_seconds else max(1, frame // 16)
+    width = round(slice_seconds * 1_000_000) if slice_seconds else frame
     if frame <= 0 or width <= 0:
         raise ValueError("frame_seconds and slice_seconds must be positive")
+    per_frame = -(-frame // width)
 
     slots = [f"_k{i}" for i in range(len(keys))]
     at_once = [F.col(f"`{k}`").alias(slot) for k, slot in zip(keys, slots)]
     timed = tx.where(F.col(f"`{ts}`").isNotNull()).select(
-        *at_once, _micros(F.col(f"`{ts}`")).alias("_opens"), F.struct(*[F.col(f"`{c}`") for c in tx.columns]).alias("_row")
+        *at_once, micros(F.col(f"`{ts}`")).alias("_opens"), F.struct(*[F.col(f"`{c}`") for c in tx.columns]).alias("_row")
     )
     instants = timed.groupBy(*slots, "_opens").agg(F.count(F.lit(1)).alias("_n"))
-    steps = instants.select(*slots, "_opens", F.posexplode(F.array(F.col("_n"), -F.col("_n"))).alias("_kind", "_step"))
-    at = F.col("_opens") + F.col("_kind") * F.lit(frame)
-    # At one time openings come before closings, since a frame includes both its ends.
-    marks = steps.select(
-        *slots, "_opens", "_kind", "_step", _slice_of(at, width).alias("_slice"), (at * 2 + F.col("_kind")).alias("_order")
-    )
-    running = (
-        Window.partitionBy(*slots, "_slice").orderBy("_order").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    # Slices are numbered: those of a frame share the whole frames before them.
+    nth = F.expr(f"(_opens - pmod(_opens, {frame})) div {frame}") * per_frame + F.expr(f"pmod(_opens, {frame}) * {per_frame} div {frame}")
+    placed = instants.withColumn("_slice", nth)
+    # At one time openings come before closings, since a frame includes both its ends; what is open at the start comes first.
+    opening = F.struct(F.col("_slice").alias("_slice"), (F.col("_opens") * 2).alias("_order"), F.col("_n").alias("_step"))
+    closing = F.struct(
+        (F.col("_slice") + per_frame).alias("_slice"), ((F.col("_opens") + frame) * 2 + 1).alias("_order"), (-F.col("_n")).alias("_step")
     )
-    net = marks.groupBy(*slots, "_slice").agg(F.sum("_step").alias("_net"))
-    earlier = Window.partitionBy(*slots).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    open_at_start = net.select(*slots, "_slice", F.coalesce(F.sum("_net").over(earlier), F.lit(0)).alias("_open"))
-    counted = marks.withColumn("_run", F.sum("_step").over(running)).where("_kind = 0").alias("m")
-    same_slice = [F.col(f"m.{c}").eqNullSafe(F.col(f"o.{c}")) for c in [*slots, "_slice"]]
-    hits = counted.join(open_at_start.alias("o"), same_slice).select(
-        *[F.col(f"m.{c}").alias(c) for c in [*slots, "_opens"]], (F.col("_run") + F.col("_open")).alias("_run")
-    )
-    hits = hits.where(F.col("_run") > more_than).alias("h")
+    marks = placed.select(*slots, F.inline(F.array(opening, closing)))
+    later = F.explode(F.sequence(F.col("_slice") + 1, F.col("_slice") + per_frame)).alias("_slice")
+    totals = placed.groupBy(*slots, "_slice").agg(F.sum("_n").alias("_step"))
+    at_start = totals.select(*slots, later, F.lit(-(1 << 63)).alias("_order"), "_step")
+    running = Window.partitionBy(*slots, "_slice").orderBy("_order").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = marks.unionByName(at_start).withColumn("_run", F.sum("_step").over(running))
+    opens = (F.col("_step") > 0) & (F.col("_order") > -(1 << 63))
+    hits = counted.where(opens & (F.col("_run") > more_than)).select(*slots, F.expr("_order div 2").alias("_opens"), "_run")
+    hits = hits.alias("h")
     same_instant = [F.col(f"t.{c}").eqNullSafe(F.col(f"h.{c}")) for c in [*slots, "_opens"]]
     return timed.alias("t").join(hits, same_instant).select("_row.*", F.col("_run").alias("tx_count"))
 
 
-def _slice_of(at: Column, width: int) -> Column:
-    return at - F.pmod(at, F.lit(width))
-
-
 def double_spend(
     tx: DataFrame,
     same: Sequence[str],
@@ -230,13 +224,13 @@ def double_spend(
     slots = [f"_k{i}" for i in range(len(same))]
     timed = tx.where(F.col(f"`{ts}`").isNotNull()).select(
         *[F.col(f"`{c}`").alias(slot) for c, slot in zip(same, slots)],
-        _micros(F.col(f"`{ts}`")).alias("_at"), F.col(f"`{tx_id}`").alias("_id"),
+        micros(F.col(f"`{ts}`")).alias("_at"), F.col(f"`{tx_id}`").alias("_id"),
         F.struct(*[F.col(f"`{c}`") for c in tx.columns]).alias("_row"),
     )
-    crosses = _slice_of(F.col("_at") + F.lit(limit), width) > _slice_of(F.col("_at"), width)
+    crosses = floor_to(F.col("_at") + F.lit(limit), width) > floor_to(F.col("_at"), width)
     shown = timed.withColumn(
         "_next", F.explode(F.when(crosses, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-    ).withColumn("_slice", _slice_of(F.col("_at"), width) + F.col("_next") * F.lit(width))
+    ).withColumn("_slice", floor_to(F.col("_at"), width) + F.col("_next") * F.lit(width))
     order = Window.partitionBy(*slots, "_slice").orderBy("_at", "_id")
     return (
         shown.withColumn("_previous", F.lag("_id").over(order))

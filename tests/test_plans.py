@@ -58,11 +58,25 @@ def test_copies_share_one_aggregation(spark, sf):
     assert "ReusedExchange" in plan(df).split("== Initial Plan ==")[0]
 
 
-def test_frame_counts_share_no_hot_window(spark, sf):
-    """No window gathers a whole key: rows are partitioned by key and slice, only slice totals by key."""
-    text = plan(QUERIES["Q5_rapid_fire_in_frame"](spark, sf))
-    assert re.search(r"hashpartitioning\((coalesce\()?_k0#\d+L?.*_slice#\d+L?", text)
-    assert "RangeFrame, -" not in text
+def windows(text):
+    """The partition columns of each window of a plan."""
+    return [set(re.findall(r"(_\w+|\w+)#", found)) for found in re.findall(r"Window \[.*?\], \[([^\]]*?)\], \[", text)]
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if n.startswith("Q5")])
+def test_frame_counts_share_no_hot_window(spark, sf, name):
+    """No window gathers a whole key: all are partitioned by key and slice."""
+    found = windows(plan(QUERIES[name](spark, sf)))
+    assert found and all("_slice" in columns and "_k0" in columns for columns in found)
+
+
+@pytest.mark.parametrize("name", ["J1_asof_join", "J1b_asof_join_within_types"])
+def test_asof_windows_hold_slices(spark, sf, name):
+    """Rows meet in windows by key and slice; those by key alone hold blocks of slices, one row each."""
+    text = plan(QUERIES[name](spark, sf))
+    kinds = sorted(map(sorted, windows(text)))
+    assert [k for k in kinds if "_slice" in k] and all("_slice" in k or "_block" in k or k == ["_k0"] for k in kinds)
+    assert text.count("NestedLoop") == 0
 
 
 def test_top_k_is_not_a_full_sort(spark, sf):
