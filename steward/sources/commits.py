@@ -86,6 +86,9 @@ class _Files:
         finally:
             stream.close()
 
+    def remove(self, name: str) -> None:
+        self.fs.delete(self.path(name), True)
+
     def publish(self, name: str, text: str) -> bool:
         """Create a file with this text under a name that nobody has used, at once; whether it was ours."""
         draft = f"_drafts/{uuid.uuid4().hex}"
@@ -231,6 +234,36 @@ def append_once(rows: DataFrame, root: str, batch: str) -> OnceReport:
     raise Conflict(f"{ATTEMPTS} attempts at {root} came second")
 
 
+def replace_once(rows: DataFrame, root: str, batch: str) -> bool:
+    """Make ``rows``, of the table's types, the whole contents of the table as the change ``batch``; whether it was to be done."""
+    spark = rows.sparkSession
+    for _ in range(ATTEMPTS):
+        version = current_version(spark, root)
+        if is_applied(spark, root, batch):
+            return False
+        folder, buckets = _write(rows.select(*[F.col(f"`{c}`") for c in version.schema.names]), root, version)
+        folders = {folder: buckets} if buckets else {}
+        try:
+            _publish(spark, root, replace(version, number=version.number + 1, batch=batch, folders=folders), version)
+        except Conflict:
+            continue
+        return True
+    raise Conflict(f"{ATTEMPTS} attempts at {root} came second")
+
+
+def clean_up(spark: SparkSession, root: str, versions: int = 2) -> None:
+    """Remove the versions before the newest ``versions`` ones and folders of rows that none of these names. Readers of what is
+    removed fail, and so do changes that run meanwhile, whose rows no version names yet; they may be run again."""
+    files = _Files(spark, root)
+    names = sorted(n for n in files.names("_versions") if n.endswith(".json") and not n.startswith("."))
+    kept = {folder for n in names[-versions:] for folder in Version.of(files.read(f"_versions/{n}")).folders}
+    for n in names[:-versions]:
+        files.remove(f"_versions/{n}")
+    for folder in files.names("data"):
+        if folder not in kept:
+            files.remove(f"data/{folder}")
+
+
 #: What a merge calls a key, beside those of the table that no change names.
 CLASSES = ("insert", "update", "delete", "same", "absent")
 
