@@ -5,9 +5,11 @@ back. A truncated singular value decomposition of the labelled vectors gives the
 whose size is a parameter, are broadcast; every document's cosines with all of them are computed block by block, exactly, and
 the nearest vote with weights that grow with similarity. Nothing but the text goes into a score.
 
-Defined results: a null or empty text, and one near no labelled vector, score the mean of the class shares, one half; without
-any label all texts score one half; repeated rows score alike; labels of a repeated id are averaged; null labels and labels
-without a document teach nothing; an empty table gives an empty result.
+Defined results: a null or empty text, and one near no labelled vector, score the mean of the class shares, one half (and so are
+predicted good: nothing speaks against them, and rules on length are the place to refuse them); without any label all texts score
+one half; which of equal cosines at the last neighbour's place count is left to rounding; very long texts are read whole;
+repeated rows score alike; labels of a repeated id are averaged; null labels and labels without a document teach nothing; other
+columns stay as they are whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations

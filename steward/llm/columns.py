@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from steward.llm.workers import share_package
+
 
 def aside(columns: Iterable[str], *wanted: str) -> list[str]:
     """A column name for each wanted one that no column of ``columns`` has."""
@@ -30,5 +32,8 @@ def quoted(name: str) -> Column:
 
 
 def picked(df: DataFrame, **columns: str) -> DataFrame:
-    """The named columns under new names, and nothing else: helper columns can then clash with none of the input's."""
+    """The named columns under new names, and nothing else: helper columns can then clash with none of the input's.
+
+    Every operator starts from this, so this is where Python workers are told of the package, too."""
+    share_package(df.sparkSession)
     return df.select(*[quoted(old).alias(new) for new, old in columns.items()])

@@ -9,8 +9,10 @@ are only as many lengths as a sequence has tokens, a superstep works on runs and
 length, 1024 numbers, and rows meet the plan once, when every piece looks up the run its rank falls into. Ranks settle all
 conflicts, so the result is that of sequential best-fit decreasing over the whole corpus.
 
-Defined results: a null or empty text is its end token only; repeated rows are packed each for itself; a null id stays null;
-an empty table gives an empty result.
+Defined results: a null or empty text is its end token only; repeated rows are packed each for itself; pieces of one length are
+alike, and where they lie in the input decides which goes where; the name of a special token in a text is that token, as the
+vocabulary file has it; very long texts are cut and nothing of them lost; a null id stays null; other columns are not read; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -136,7 +138,7 @@ def token_pieces(docs: DataFrame, capacity: int, end_id: int, json_path: str, ra
         for batch in batches:
             rows = []
             for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                ids = np.array([*encode(text, json_path, ranks_path), end_id] if text else [end_id], dtype="<u4")
+                ids = np.array([*encode(text, json_path, ranks_path, names_are_text=False), end_id] if text else [end_id], dtype="<u4")
                 for piece, (start, length) in enumerate(cut_points(len(ids), capacity)):
                     part = ids[start : start + length]
                     held = part.astype("int32") if with_ids else None

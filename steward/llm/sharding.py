@@ -6,7 +6,8 @@ changes, keys only move into it (if it grows) or out of it (if it shrinks): no k
 below a node whose weight and children stay moves at all. The law is ``key``: the key and the tree decide, no other row.
 
 Defined results: a null key is hashed as such and goes to one shard; repeated rows go to the same shard, in slots of their
-own; a null text has size 1 and the checksum of the empty text; an empty table gives an empty result.
+own; children that draw the same time are taken in their order; a null text has size 1 and the checksum of the empty text; very
+long texts are sized whole; other columns are kept apart by name or not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations

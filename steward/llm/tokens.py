@@ -39,25 +39,33 @@ def decode(ids: list[int], ranks_path: str) -> bytes:
 
 
 @functools.cache
-def _plain(path: str):
+def _loaded(path: str, names_are_text: bool):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    tokenizer.encode_special_tokens = names_are_text
     return tokenizer
 
 
-def encode(text: str, json_path: str, ranks_path: str | None) -> list[int]:
-    """The ids of ``text`` in the vocabulary of ``json_path``, special tokens' names being ordinary text.
+@functools.cache
+def _names(path: str) -> tuple[str, ...]:
+    """How the tokens look in a text that the vocabulary has beside its pieces, such as the one for a text's end."""
+    return tuple(t.content for t in _loaded(path, False).get_added_tokens_decoder().values())
+
+
+def encode(text: str, json_path: str, ranks_path: str | None, names_are_text: bool = True) -> list[int]:
+    """The ids of ``text`` in the vocabulary of ``json_path``, special tokens' names being ordinary text; or, if
+    ``names_are_text`` is false, the tokens of these names, as the file has it.
 
     ``ranks_path`` names the same vocabulary as merge ranks, which encode several times faster; the tests hold both ways
     against each other. Texts that the faster one gives up on (runs of white space too long for its pattern) take the other.
     """
-    if ranks_path:
+    named = not names_are_text and any(name in text for name in _names(json_path))
+    if ranks_path and not named:
         try:
             return _ranked(ranks_path).encode_ordinary(text)
         except BaseException as error:  # its panics are no Exceptions
             if isinstance(error, (KeyboardInterrupt, SystemExit, GeneratorExit)):
                 raise
-    return _plain(json_path).encode(text, add_special_tokens=False).ids
+    return _loaded(json_path, not named).encode(text, add_special_tokens=False).ids

@@ -60,6 +60,19 @@ def test_both_ways_to_encode_agree():
         assert encode(text, JSON, RANKS) == plain.encode(text, add_special_tokens=False).ids == encode(text, JSON, None)
 
 
+def test_names_of_special_tokens_are_those_tokens_in_packing(spark):
+    as_loaded = Tokenizer.from_file(JSON)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext", "x<|endoftext|><|endoftext|>y", "plain"]
+    for text in texts:
+        ids = as_loaded.encode(text, add_special_tokens=False).ids
+        assert encode(text, JSON, RANKS, names_are_text=False) == ids == encode(text, JSON, None, names_are_text=False)
+    assert encode(texts[0], JSON, RANKS, names_are_text=False) == [64, 220, 50256, 275]
+    packed = pack_documents(documents(spark, [(i, t, "en", "a") for i, t in enumerate(texts)]), with_ids=True)
+    assert {r["doc_id"]: list(r["ids"]) for r in packed.collect()} == {
+        i: [*as_loaded.encode(t, add_special_tokens=False).ids, 2] for i, t in enumerate(texts)
+    }
+
+
 def test_pieces_and_places(spark, odd_documents):
     capacity = 64
     packed = pack_documents(odd_documents, capacity=capacity, with_ids=True)

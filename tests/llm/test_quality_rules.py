@@ -74,3 +74,24 @@ def test_empty_table(spark):
 @pytest.mark.parametrize("column", ["kept", "base_failed"])
 def test_verdicts_are_never_null(odd_documents, column):
     assert quality_verdicts(odd_documents).filter(f"{column} IS NULL").count() == 0
+
+
+def marked(i, per_mille):
+    """A text of 200 different words, of which so many carry a symbol."""
+    return " ".join(f"word{i}x{j}" + ("#" if j < per_mille * 200 // 1000 else "") for j in range(200))
+
+
+def test_a_quantile_decides_where_it_lies_in_the_corridor(spark):
+    """Quartiles of 100 and 140 per mille give a fence of 260, between the corridor's ends of 100 and 300: rows on both sides of it
+    lie inside the corridor, so that it is the group's own quantiles that keep the one and reject the other."""
+    shares = [100] * 40 + [120] * 20 + [140] * 35 + [255, 260, 265, 290, 300]
+    rows = [(i, marked(i, s), "en", "code") for i, s in enumerate(shares)]
+    # Another source has the same rows beside many without a symbol: its quartiles are 0, and all those rows go.
+    rows += [(1000 + i, marked(i, s), "en", "prose") for i, s in enumerate(shares)]
+    rows += [(2000 + i, marked(i, 0), "en", "prose") for i in range(500)]
+    docs = documents(spark, rows)
+    limits = {r["source"]: r["symbols_fence"] for r in fences(sketches(text_counts(docs)), min_group=50).collect()}
+    assert limits == {"code": 4 * 140 - 3 * 100, "prose": RATIOS[0].lowest_fence}
+    kept = {r["doc_id"]: r["kept"] for r in quality_verdicts(docs, min_group=50).collect()}
+    assert {shares[i] for i in range(100) if not kept[i]} == {265, 290, 300} and kept[96]
+    assert {shares[i] for i in range(100) if kept[1000 + i]} == {100} and all(kept[2000 + i] for i in range(500))

@@ -1,7 +1,10 @@
+import math
+import struct
 import zlib
 from collections import Counter
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from steward.llm.sharding import Node, even_tree, grown_tree, shard_documents, shard_of, with_shards
@@ -58,3 +61,23 @@ def test_all_columns_stay_and_empty_tables_pass(spark, odd_documents):
 def test_no_positive_weight_is_refused():
     with pytest.raises(ValueError):
         shard_of(None, Node("root", (Node("a", shard=0, leaf_weight=0.0),)))
+
+
+def drawn(key, tree):
+    """The descent by a plain hash: every child waits an exponential time, the shortest wins."""
+    while tree.children:
+        start = 42 if key is None else xxhash.xxh64_intdigest(struct.pack("<q", key), seed=42)
+        waits = []
+        for i, child in enumerate(tree.children):
+            bits = xxhash.xxh64_intdigest(child.name.encode(), seed=start) & ((1 << 53) - 1)
+            waits.append((-math.log((bits + 0.5) / (1 << 53)) / child.weight if child.weight else math.inf, i))
+        tree = tree.children[min(waits)[1]]
+    return tree.shard
+
+
+def test_the_draw_equals_an_independent_one(spark):
+    uneven = Node("root", (TREE.children[0], _scaled(TREE.children[1], 2.5), Node("x", (Node("x/y", (Node("x/y/z", shard=99, leaf_weight=0.7),)),))))
+    for tree in (TREE, grown_tree(TREE, 16), uneven):
+        assert shards(spark, tree, 2000) == {i: drawn(i, tree) for i in range(2000)}
+    null = spark.range(1).select(shard_of(F.lit(None).cast("long"), uneven)).first()[0]
+    assert null == drawn(None, uneven)
