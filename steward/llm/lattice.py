@@ -154,3 +154,68 @@ def log_marginal(unit: str, vocabulary: Pieces, weights: list[float]) -> float:
     arrived = ahead.popleft()
     most = max(arrived)
     return most + math.log(sum([math.exp(t - most) for t in arrived]))
+
+
+def add_expected(unit: str, vocabulary: Pieces, weights: list[float], chances: list[float], out: list[float]) -> None:
+    """Add to ``out`` how often each piece is expected in a segmentation of ``unit``, given that it is spelled: forward and
+    backward sums over its lattice. ``chances`` are the ``exp`` of ``weights``.
+
+    Sums are of probabilities, or of their logarithms where these are too small.
+    """
+    n, tree, arcs = len(unit), vocabulary.tree, []
+    for start in range(n):
+        node = tree.get(unit[start])
+        if node is None or node[0] < 0:
+            arcs.append((start, start + 1, vocabulary.byte_ids(unit[start])))
+        end = start + 1
+        while node is not None:
+            if node[0] >= 0:
+                arcs.append((start, end, node[0]))
+            if end == n:
+                break
+            node = node[2].get(unit[end])
+            end += 1
+    forward = [1.0] + [0.0] * n
+    sized = []
+    for start, end, piece in arcs:
+        p = chances[piece] if isinstance(piece, int) else math.prod([chances[i] for i in piece])
+        sized.append(p)
+        forward[end] += forward[start] * p
+    if forward[n] > 1e-250:
+        backward = [0.0] * n + [1.0 / forward[n]]
+        for (start, end, piece), p in zip(reversed(arcs), reversed(sized)):
+            after = p * backward[end]
+            backward[start] += after
+            share = forward[start] * after
+            for i in (piece,) if isinstance(piece, int) else piece:
+                out[i] += share
+        return
+    logs = [weights[piece] if isinstance(piece, int) else sum(weights[i] for i in piece) for _, _, piece in arcs]
+    into: list[list[float]] = [[] for _ in range(n + 1)]
+    into[0].append(0.0)
+    before = [0.0] * (n + 1)
+    at = 0
+    for (start, end, _), w in zip(arcs, logs):
+        while at <= start:  # all arcs into a place come before those out of it
+            before[at] = _log_sum(into[at])
+            at += 1
+        into[end].append(before[start] + w)
+    total = _log_sum(into[n])
+    onward: list[list[float]] = [[] for _ in range(n + 1)]
+    onward[n].append(0.0)
+    after, at = [0.0] * (n + 1), n
+    for (start, end, piece), w in zip(reversed(arcs), reversed(logs)):
+        while at > start:
+            after[at] = _log_sum(onward[at])
+            at -= 1
+        onward[start].append(w + after[end])
+        share = math.exp(before[start] + w + after[end] - total)
+        for i in (piece,) if isinstance(piece, int) else piece:
+            out[i] += share
+
+
+def _log_sum(terms: list[float]) -> float:
+    if not terms:
+        return -math.inf
+    most = max(terms)
+    return most if most == -math.inf else most + math.log(sum([math.exp(t - most) for t in terms]))

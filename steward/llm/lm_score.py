@@ -1,16 +1,19 @@
 """Language-model scores by subword lattice likelihood (operator 3).
 
 A text is a sequence of words and an end; a word's probability is that of all its segmentations. The arcs of its lattice are
-the pieces of a public vocabulary, weighted by that vocabulary's scores, and one arc for the whole word, weighted by how often
-the training documents have it: ``(c - d) / N`` for a word seen ``c`` times in ``N`` training tokens, where the discount ``d``
-leaves ``d * V / N`` for the spelled ones. A forward recursion in log space sums over the segmentations. No piece reaches
-across words, so the marginal probability of a text is the product over its words, and each word is worked out once.
-
-What is gathered from the corpus is the count of every word. The most frequent words, at most ``BROADCAST_WORDS``, are sent to
+the pieces of a public vocabulary and one arc for the whole word, weighted by how often the training documents have it:
+``(c - d) / N`` for a word seen ``c`` times in ``N`` training tokens, where the discount ``d`` leaves ``d * V / N`` for the
+spelled ones. Pieces start with the vocabulary's scores as weights. They are then estimated anew from the corpus: forward and
+backward sums over the lattices of all distinct training words tell how often each piece is expected, and how many pieces a word
+has. After each piece the word ends with a fixed chance, so spellings of all lengths add up to 1. A forward recursion in log
+space sums over the segmentations. No piece reaches across words, so the marginal probability of a text is the product over
+its words, and each word is worked out once.
+
+What is gathered from the corpus is the count of every word, and from the distinct ones the expected count of every piece. The most frequent words, at most ``BROADCAST_WORDS``, are sent to
 all tasks; the others are joined by a shuffle of the rarer words of each document. Both ways use the same numbers.
 
-Defined results: null and empty texts are an end only; without training documents no token is known, and all mass is spelled;
-repeated rows are scored and counted each; a null id is scored, and belongs to training; an empty table gives an empty result.
+Defined results: null and empty texts are an end only; without training documents no token is known, and all mass is spelled, by
+the vocabulary's scores; very long texts and words are taken whole; repeated rows are scored and counted each; a null id is scored, and belongs to training; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,7 +21,9 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +31,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from steward.llm.columns import picked
-from steward.llm.lattice import log_marginal, pieces, rank_weights
+from steward.llm.lattice import Pieces, add_expected, log_marginal, pieces, rank_weights
 from steward.llm.tokens import vocabulary_path
 from steward.session import stored
 
@@ -35,6 +40,10 @@ BROADCAST_WORDS = 200_000
 #: Distinct words a worker counts before it passes them on.
 COUNTED_AT_ONCE = 400_000
 DISCOUNT = 0.5
+#: Pieces that the vocabulary's own weights count for when weights are estimated.
+PRIOR = 1000.0
+#: Pieces whose sums are passed on together.
+PIECES_AT_ONCE = 1024
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -70,11 +79,75 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text", "in_training").mapInArrow(count, COUNTED).groupBy("word").agg(F.sum("c").alias("c"))
 
 
+@dataclass(frozen=True)
+class Spelling:
+    """Natural log weights of the pieces, each with the chance that the word goes on after it, and what ending adds."""
+
+    weights: list[float]
+    end: float
+
+    @staticmethod
+    def of(shares: list[float], ends: float) -> Spelling:
+        """From the pieces' shares, which add up to 1, and the chance that a word ends after a piece."""
+        return Spelling([math.log(p * (1 - ends)) if p else -math.inf for p in shares], math.log(ends / (1 - ends)))
+
+    def log_probability(self, word: str, vocabulary: Pieces) -> float:
+        return log_marginal(" " + word, vocabulary, self.weights) + self.end
+
+
+def given_spelling(path: str) -> tuple[list[float], Spelling]:
+    """The shares of the pieces by the vocabulary's scores, and the spelling with these: half of the pieces end a word."""
+    shares = [math.exp(w) for w in rank_weights(pieces(path))]
+    return shares, Spelling.of(shares, 0.5)
+
+
+EXPECTED = T.StructType(
+    [T.StructField("block", T.IntegerType()), T.StructField("n", T.ArrayType(T.DoubleType())), T.StructField("words", T.LongType())]
+)
+
+
+def learned_spelling(counts: DataFrame, path: str) -> Spelling:
+    """The spelling estimated from the distinct words of ``counts`` that training has, each taken once: what the lattice is needed for
+    are words that it lacks, which are like the rare ones. The given shares count like ``PRIOR`` pieces.
+
+    Each task adds up what its words lead to expect and passes on blocks of these sums, which are as many as there are pieces.
+    """
+    shares, given = given_spelling(path)
+    size = -(-len(shares) // PIECES_AT_ONCE)
+    schema = to_arrow_schema(EXPECTED)
+
+    def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, chances = pieces(path), [math.exp(w) for w in given.weights]
+        out, words = [0.0] * len(chances), 0
+        for batch in batches:
+            for word in batch["word"].to_pylist():
+                add_expected(" " + word.decode(), vocabulary, given.weights, chances, out)
+                words += 1
+        if words:
+            parts = [out[i * PIECES_AT_ONCE : (i + 1) * PIECES_AT_ONCE] for i in range(size)]
+            rows = [range(size), parts, [words] * size]
+            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(rows, schema, strict=True)], schema)
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.sum([np.array(n) for n in table["n"].to_pylist()], axis=0)
+        rows = [[table["block"][0].as_py()], [total.tolist()], [sum(table["words"].to_pylist())]]
+        return pa.table([pa.array(c, f.type) for c, f in zip(rows, schema, strict=True)], schema=schema)
+
+    parts = counts.filter("c > 0").select("word").mapInArrow(expect, EXPECTED)
+    sums = {r["block"]: r for r in parts.groupBy("block").applyInArrow(add, EXPECTED).collect()}
+    if not sums:
+        return given
+    expected = [n for block in range(size) for n in sums[block]["n"]]
+    total, words = sum(expected), sums[0]["words"]
+    learned = [(n + PRIOR * p) / (total + PRIOR) for n, p in zip(expected, shares, strict=True)]
+    return Spelling.of(learned, (words + PRIOR / 2) / (total + PRIOR))
+
+
 class Model:
     """Log10 terms of a token with ``c`` training occurrences: plain add-half, and discounted with the lattice below."""
 
-    def __init__(self, train_tokens: int, distinct: int, path: str):
-        self.n, self.path = train_tokens, path
+    def __init__(self, train_tokens: int, distinct: int, path: str, spelling: Spelling):
+        self.n, self.path, self.spelling = train_tokens, path, spelling
         self.base_norm = train_tokens + 0.5 * (distinct + 1)
         self.left = DISCOUNT * distinct / train_tokens if train_tokens else 1.0
 
@@ -82,8 +155,7 @@ class Model:
         return math.log10((c + 0.5) / self.base_norm)
 
     def word(self, word: bytes, c: int) -> float:
-        vocabulary, weights = pieces(self.path), _weights(self.path)
-        spelled = math.log(self.left) + log_marginal(" " + word.decode(), vocabulary, weights)
+        spelled = math.log(self.left) + self.spelling.log_probability(word.decode(), pieces(self.path))
         if not c:
             return spelled / math.log(10)
         whole = math.log((c - DISCOUNT) / self.n)
@@ -95,15 +167,6 @@ class Model:
         return math.log10((c - DISCOUNT) / self.n if c else self.left)
 
 
-_WEIGHTS: dict[str, list[float]] = {}
-
-
-def _weights(path: str) -> list[float]:
-    if path not in _WEIGHTS:
-        _WEIGHTS[path] = rank_weights(pieces(path))
-    return _WEIGHTS[path]
-
-
 TERMS = T.StructType(
     [T.StructField("word", T.BinaryType()), T.StructField("c", T.LongType()), T.StructField("base", T.DoubleType()),
      T.StructField("full", T.DoubleType())]
@@ -155,7 +218,7 @@ def score_texts(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text:
     counts = stored(word_counts(rows.withColumn("in_training", ~F.col("held_out"))), "word-counts")
     facts = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
     ends = rows.filter(~F.col("held_out")).count()
-    model = Model(facts["n"] + ends, facts["v"] + (ends > 0), path)
+    model = Model(facts["n"] + ends, facts["v"] + (ends > 0), path, learned_spelling(counts, path))
 
     terms = stored(word_terms(counts, model), "word-terms")
     least = _frequent(counts, broadcast_words)
