@@ -142,7 +142,13 @@ def d5b(spark, sf):
     return profile.max_depth(_records(spark, sf), "record")
 
 
-@query("D5c_max_depth_of_maps", "SELECT CAST(2 AS INT) AS depth FROM (SELECT count(*) AS n FROM events) WHERE n > 0")
+@query(
+    "D5c_max_depth_of_maps",
+    """
+    WITH r AS (SELECT json_object('a', CASE WHEN event_type = 'view' THEN json_object('user', user_id) ELSE json_object() END) AS j FROM events)
+    SELECT CAST(max(length(fullkey) - length(replace(fullkey, '.', ''))) AS INT) AS depth FROM r, json_tree(j)
+    """,
+)
 def d5c(spark, sf):
     inner = F.when(F.col("event_type") == "view", F.create_map(F.lit("user"), F.col("user_id")))
     record = F.create_map(F.lit("a"), F.coalesce(inner, F.create_map().cast("map<string,bigint>")))

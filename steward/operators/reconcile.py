@@ -79,7 +79,12 @@ def _bag(incoming: DataFrame, stored: DataFrame, times: Column) -> DataFrame:
 
 
 def fresh_rows(incoming: DataFrame, stored: DataFrame) -> DataFrame:
-    """Incoming rows that have no equal row in the table; each match uses up one stored copy."""
+    """Incoming rows that have no equal row in the table; each match uses up one stored copy.
+
+    Made for batches that are small beside the table, whose rows are first reduced to those that meet the batch's hashes. Where the
+    batch is about as large, that filter is a shuffle of the table in itself; with wide rows take :func:`fresh_rows_by_digest`
+    then, as ``plans.load.load_fresh`` does with ``by_digest``.
+    """
     return _bag(incoming, _met(incoming, stored), F.col("_incoming") - F.col("_stored"))
 
 
