@@ -259,7 +259,8 @@ def _classified(docs: DataFrame, doc_id: str, text: str, n: int = NGRAM, thresho
         "classes",
     )
     groups = stored(components(candidate_edges(classes)), "candidate-groups")
-    members = groups.join(classes.select("node", "text_key", "ngrams", "copies"), "node")
+    # Stored, so that Spark knows how few they are before it plans the join: the texts then need not be shuffled to meet them.
+    members = stored(groups.join(classes.select("node", "text_key", "ngrams", "copies"), "node"), "members")
     blocks = members.groupBy("root").agg(
         F.greatest(F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("ngrams") / BLOCK_NGRAMS)).alias("blocks")
     )
