@@ -251,6 +251,26 @@ def replace_once(rows: DataFrame, root: str, batch: str) -> bool:
     raise Conflict(f"{ATTEMPTS} attempts at {root} came second")
 
 
+def compact(spark: SparkSession, root: str) -> int:
+    """Write the rows of the table anew in one folder, for a table that many small appends have made of many; gives the version.
+
+    Which batches are applied stays known. Follow it by :func:`clean_up` when no reader needs the versions before.
+    """
+    for _ in range(ATTEMPTS):
+        version = current_version(spark, root)
+        if len(version.folders) < 2:
+            return version.number
+        folder, buckets = _write(_read(spark, root, version), root, version)
+        folders = {folder: buckets} if buckets else {}
+        following = replace(version, number=version.number + 1, batch=f"compacted {version.number}", folders=folders)
+        try:
+            _publish(spark, root, following, version)
+        except Conflict:
+            continue
+        return following.number
+    raise Conflict(f"{ATTEMPTS} attempts at {root} came second")
+
+
 def clean_up(spark: SparkSession, root: str, versions: int = 2) -> None:
     """Remove the versions before the newest ``versions`` ones and folders of rows that none of these names. Readers of what is
     removed fail, and so do changes that run meanwhile, whose rows no version names yet; they may be run again."""

@@ -33,7 +33,8 @@ def double_spend_stream(
 
     Gives the ``same`` columns (as text, NULL being equal to NULL), ``tx_id``, ``ts``, ``previous_id`` and ``gap_micros``; the rows of
     ``operators.analytics.double_spend``, each once the watermark has passed its time. Ids are whole numbers. Rows without time are
-    left out, and so are rows that come later than the watermark allows. Rows of one time are ordered by id.
+    left out, and so are rows that come later than the watermark allows; the engine takes that of the batch before for it. Rows of
+    one time are ordered by id.
     """
     limit = round(within_seconds * 1_000_000)
     if limit < 0:

@@ -7,7 +7,8 @@ tables change by commits under the batch's number, and the table of open windows
 whatever point, finds what is done and does the rest, so nothing is counted or emitted twice. The stream's checkpoint says which
 rows make up a batch.
 
-State is the open windows: what ends later than the watermark, one row a key and window.
+State is the open windows: what ends later than the watermark, one row a key and window. Results and late rows get a folder each a
+batch; ``commits.compact`` makes one of them now and then.
 """
 
 from __future__ import annotations
@@ -136,20 +137,24 @@ def count_windows(
         if is_applied(spark, tables.at("open"), batch):
             return
         held = stored(rows, "stream-batch")
-        high = read_committed(spark, tables.at("progress")).where(F.col("batch") < number).agg(F.max("high")).first()[0]
+        # Of this batch and the one before, so that a batch that runs again starts from the same watermark.
+        known = {r["batch"]: r["high"] for r in read_committed(spark, tables.at("progress")).collect() if r["batch"] < number}
+        high = known[max(known)] if known else None
         at = micros(F.col(f"`{ts}`"))
         passed = at.isNull() | comes_late(at, high - allowed) if high is not None else at.isNull()
         append_once(held.where(passed), tables.at("late"), batch)
         fresh = held.where(~passed).select(*[F.col(f"`{k}`").alias(s) for s, k in zip(slots, keys)], at.alias("_at"))
         before = hidden(read_committed(spark, tables.at("open")))
         windows = stored(merge(in_batch(fresh, slots).unionByName(before), slots), "stream-windows")
-        newest = held.agg(F.max(at)).first()[0]
+        newest, earlier = held.agg(F.max(at)).first()[0], high
         high = max((v for v in (high, newest) if v is not None), default=None)
         closes = F.col("_end") <= high - allowed if high is not None else F.lit(False)
         append_once(shown(windows.where(closes)), tables.at("closed"), batch)
-        append_once(spark.createDataFrame([(number, high)], _PROGRESS), tables.at("progress"), batch)
+        reached = [(number - 1, earlier), (number, high)]
+        replace_once(spark.createDataFrame(reached, _PROGRESS), tables.at("progress"), batch)
         replace_once(shown(windows.where(~closes)), tables.at("open"), batch)
-        clean_up(spark, tables.at("open"))
+        for name in ("progress", "open"):
+            clean_up(spark, tables.at(name))
 
     writer = stream.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint or tables.at("checkpoint"))
     return writer.trigger(availableNow=True).start(), tables

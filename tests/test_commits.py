@@ -99,6 +99,33 @@ def test_two_writers(spark, monkeypatch):
     assert held(spark, root) == [*ROWS[:5], (7, "theirs", 0), (8, "ours", 0)]
 
 
+def test_compaction_and_clean_up(spark, monkeypatch):
+    root = made(spark, ROWS[:10])
+    for i in (1, 2, 3):
+        append_once(spark.createDataFrame(ROWS[10 * i : 10 * i + 10], SCHEMA), root, f"b{i}")
+    assert len(current_version(spark, root).folders) == 4
+    write, done = commits._write, []
+
+    def slow(rows, *rest):
+        out = write(rows, *rest)
+        if not done:
+            done.append(1)
+            append_once(spark.createDataFrame([(77, "meanwhile", 0)], SCHEMA), root, "meanwhile")
+        return out
+
+    with monkeypatch.context() as patch:
+        patch.setattr(commits, "_write", slow)
+        number = commits.compact(spark, root)
+    assert held(spark, root) == [*ROWS, (77, "meanwhile", 0)] and len(current_version(spark, root).folders) == 1
+    assert commits.compact(spark, root) == number
+    commits.clean_up(spark, root, versions=1)
+    files = commits._Files(spark, root)
+    assert held(spark, root) == [*ROWS, (77, "meanwhile", 0)] and len(files.names("data")) == 1 and len([n for n in files.names("_versions") if n.endswith(".json") and n[0] != "."]) == 1
+    assert not any(append_once(spark.createDataFrame(ROWS, SCHEMA), root, b).applied for b in ("first", "b1", "b2", "b3", "meanwhile"))
+    assert not commits.replace_once(spark.createDataFrame([], SCHEMA), root, "b2")
+    assert commits.replace_once(spark.createDataFrame(ROWS[:2], SCHEMA), root, "anew") and held(spark, root) == ROWS[:2]
+
+
 def test_rejects(spark):
     root = made(spark, ROWS[:3])
     texts = spark.createDataFrame([("1", "taken", "1"), ("50", "fine", "2"), ("51", "bad", "x"), (None, "no key", "1"), ("60", "a", "1"), ("60", "b", "1")], "id string, v string, n string")
