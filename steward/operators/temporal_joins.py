@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from steward.operators.slices import floor_to, last_before, micros
+from steward.session import stored
 
 
 def _named(names: Sequence[str]) -> list[Column]:
@@ -52,7 +53,8 @@ def asof_join(
 
     Both sides are first reduced to one row per key and instant, which combines before the shuffle, so repeated instants of a hot
     key are one row. Windows then hold the instants of one key and slice of ``slice_seconds``; what is current at the start of
-    a slice is carried along a table of slices. The left rows meet their match last, in an equality join on key and instant.
+    a slice is carried along a table of slices. The left rows meet their match last, in an equality join on key and instant. The
+    instants with what is current are stored in the shared scratch folder, which is an action, since both read them.
     """
     if how not in ("left", "inner"):
         raise ValueError("how is 'left' or 'inner'")
@@ -85,8 +87,9 @@ def asof_join(
     line = offers.unionByName(asked, allowMissingColumns=True).withColumn("_slice", floor_to(F.col("_at"), width))
 
     until = Window.partitionBy(*slots, "_slice").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    inside = line.withColumn("_inside", F.last("_found", ignorenulls=True).over(until)).where(F.col("_kind") == (0 if strict else 1))
-    ends = line.groupBy(*slots, "_slice").agg(F.max_by("_found", F.when(F.col("_found").isNotNull(), F.col("_at"))).alias("_found"))
+    current = stored(line.withColumn("_inside", F.last("_found", ignorenulls=True).over(until)).drop("_found"), "asof")
+    inside = current.where(F.col("_kind") == (0 if strict else 1))
+    ends = current.groupBy(*slots, "_slice").agg(F.max_by("_inside", F.struct("_at", "_kind")).alias("_found"))
     carried = last_before(ends, slots, "_slice", "_found", width).withColumnRenamed("_found", "_carried")
     matched = inside.join(carried, [*slots, "_slice"]).select(*slots, "_at", F.coalesce("_inside", "_carried").alias("_found"))
     fits = F.col("_found").isNotNull()
