@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from bindings.registry import query, table
 from steward.operators import fields, grains, sketches
+from steward.operators.quantiles import exact_quantiles
 from steward.session import scratch_path
 from steward.sources.commits import append_once, create_committed, read_committed
 
@@ -105,15 +106,10 @@ def k1b(spark, sf):
     """Whether each quantile is within 1 % of the exact one."""
     shares = [0.01, 0.25, 0.5, 0.75, 0.99]
     numeric = ["l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_discount", "l_tax"]
-    exact = table(spark, sf, "lineitem").agg(
-        *[F.array(*[F.expr(f"CAST(percentile_disc({s}) WITHIN GROUP (ORDER BY {c}) AS DOUBLE)") for s in shares]).alias(c) for c in numeric]
-    )
-    listed = exact.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("exact")) for c in numeric])))
-    listed = listed.select("column", F.posexplode("exact").alias("at", "exact"))
-    listed = listed.select("column", F.get(F.array(*[F.lit(s) for s in shares]), F.col("at")).alias("share"), "exact")
+    exact = exact_quantiles(table(spark, sf, "lineitem"), numeric, shares).withColumnRenamed("value", "exact")
     found = sketches.quantiles(_stored_sketches(spark, sf), shares)
     fits = F.abs(F.col("value") - F.col("exact")) <= 0.0100001 * F.abs(F.col("exact"))
-    return found.join(listed, ["column", "share"]).select("column", "share", fits.alias("within_1_percent"))
+    return found.join(exact, ["column", "share"]).select("column", "share", fits.alias("within_1_percent"))
 
 
 @query(
