@@ -1,15 +1,17 @@
 """Double spends found as rows arrive (X2): keyed state with event-time timers.
 
-The state of a group (rows equal in source, destination and amount) are the rows that the watermark has not passed, for an earlier one
-may still come, and the last row before them, for as long as it can be near enough to count. Whatever the order of arrival
-within the lateness allowed, rows are judged in the order of their time, as the batch operator does. A timer wakes a group when
-the watermark reaches its next row, or when its last row is too old for any other, and then the group has no state at all.
+What is kept of a group (rows equal in source, destination and amount) are the rows that the watermark has not passed, for an earlier
+one may still come, and the last row before them, for as long as it can be near enough to count. Whatever the order of arrival
+within the lateness allowed, rows are judged in the order of their time, as the batch operator does. Groups share a fixed number of
+states, by hash of the group, each judged column by column. A timer wakes a state when the watermark reaches its next row, or when
+a group's last row is too old for any other; a state without rows is removed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,12 +20,32 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from steward.operators.slices import micros
 
+#: Groups are dealt into so many states by hash, so that a batch costs a call of Python for each of these and not for each group.
+BUCKETS = 2048
+
+# Rows that wait and the last rows of groups, as the bytes of columns: the place of the row's group in ``groups``, time and id.
 _STATE = T.StructType(
-    [
-        T.StructField("times", T.ArrayType(T.LongType())), T.StructField("ids", T.ArrayType(T.LongType())),
-        T.StructField("last_time", T.LongType()), T.StructField("last_id", T.LongType()),
-    ]
+    [T.StructField("groups", T.ArrayType(T.StringType()))]
+    + [T.StructField(f"{part}_{name}", T.BinaryType()) for part in ("pending", "last") for name in ("group", "_at", "_id")]
 )
+_NUMBERS = {"group": "int32", "_at": "int64", "_id": "int64"}
+
+
+def _rows_of(state: tuple | None, part: str) -> pd.DataFrame:
+    """The rows of one part of a state, as ``(_key, _at, _id)``."""
+    if state is None:
+        return pd.DataFrame({"_key": pd.Series([], dtype=object), "_at": np.array([], "int64"), "_id": np.array([], "int64")})
+    held = dict(zip(_STATE.names, state))
+    at = {name: np.frombuffer(bytes(held[f"{part}_{name}"]), dtype) for name, dtype in _NUMBERS.items()}
+    return pd.DataFrame({"_key": np.array(held["groups"], dtype=object)[at["group"]], "_at": at["_at"], "_id": at["_id"]})
+
+
+def _state_of(pending: pd.DataFrame, last: pd.DataFrame) -> tuple:
+    places, groups = pd.factorize(pd.concat([pending["_key"], last["_key"]]))
+    parts = []
+    for rows, at in ((pending, places[: len(pending)]), (last, places[len(pending) :])):
+        parts += [column.astype(dtype).tobytes() for column, dtype in zip((at, rows["_at"].to_numpy(), rows["_id"].to_numpy()), _NUMBERS.values())]
+    return ([str(g) for g in groups], *parts)
 
 
 def double_spend_stream(
@@ -51,35 +73,37 @@ def double_spend_stream(
          T.StructField("previous_id", T.LongType()), T.StructField("gap_micros", T.LongType())]
     )
 
-    def judge(group: tuple, parts: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        times, ids, last_time, last_id = state.get if state.exists else ([], [], None, None)
-        pending = list(zip(times, ids))
-        if not state.hasTimedOut:
-            for part in parts:
-                pending += zip(part["_at"].tolist(), part["_id"].tolist())
+    def judge(bucket: tuple, parts: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = state.get if state.exists else None
+        new = [] if state.hasTimedOut else [part[["_key", "_at", "_id"]] for part in parts]
+        waiting = pd.concat([_rows_of(held, "pending"), *new], ignore_index=True)
+        last = _rows_of(held, "last")
         passed = state.getCurrentWatermarkMs() * 1000
-        pending.sort()
-        found, done = [], 0
-        for at, tx in pending:
-            if at >= passed:
-                break
-            if last_time is not None and at - last_time <= limit:
-                found.append((group[0], at, tx, last_id, at - last_time))
-            last_time, last_id, done = at, tx, done + 1
-        pending = pending[done:]
-        if last_time is not None and last_time + limit < passed:
-            last_time = last_id = None
-        if pending or last_time is not None:
-            state.update(([at for at, _ in pending], [tx for _, tx in pending], last_time, last_id))
-            wakes = min(([pending[0][0]] if pending else []) + ([last_time + limit] if last_time is not None else []))
+        due = waiting["_at"] < passed
+        pending = waiting[~due]
+        # The last row of a group, of which the state has one at most, comes before all that are due.
+        line = pd.concat([last.assign(_new=1), waiting[due].assign(_new=2)], ignore_index=True)
+        line = line.sort_values(["_key", "_new", "_at", "_id"], ignore_index=True)
+        same = (line["_key"] == line["_key"].shift()).to_numpy(dtype=bool)
+        before = line[["_at", "_id"]].shift(fill_value=0)
+        gap = line["_at"] - before["_at"]
+        hit = same & (line["_new"] == 2).to_numpy() & (gap <= limit).to_numpy()
+        found = line.assign(previous_id=before["_id"], gap_micros=gap)[hit]
+        last = line[~line["_key"].duplicated(keep="last").to_numpy(dtype=bool)]
+        last = last[last["_at"] + limit >= passed]
+        if len(pending) or len(last):
+            state.update(_state_of(pending, last))
+            wakes = min(([int(pending["_at"].min())] if len(pending) else []) + ([int(last["_at"].min()) + limit] if len(last) else []))
             # Timers are in milliseconds and must lie beyond the watermark.
             state.setTimeoutTimestamp(max(wakes // 1000 + 1, passed // 1000 + 1))
         elif state.exists:
             state.remove()
-        yield pd.DataFrame(found, columns=out.names).astype({"_at": "int64", "_id": "int64", "previous_id": "int64", "gap_micros": "int64"})
+        if len(found):
+            yield found[out.names].reset_index(drop=True)
 
     keyed = rows.withColumn("_key", F.to_json(key, {"ignoreNullFields": "false"}))
-    judged = keyed.groupBy("_key").applyInPandasWithState(judge, out, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    dealt = keyed.withColumn("_bucket", F.pmod(F.xxhash64("_key"), F.lit(BUCKETS)).cast("int"))
+    judged = dealt.groupBy("_bucket").applyInPandasWithState(judge, out, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
     parts = F.from_json("_key", T.StructType([T.StructField(s, T.StringType()) for s in slots]))
     kept = stream.schema[ts].dataType
     return judged.withColumn("_parts", parts).select(

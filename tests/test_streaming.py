@@ -9,6 +9,7 @@ import pytest
 from steward.operators.analytics import double_spend
 from steward.session import scratch_path
 from steward.sources.commits import read_committed
+from steward.streaming import double_spend as double_spend_module
 from steward.streaming import windows
 from steward.streaming.double_spend import double_spend_stream
 from steward.streaming.windows import count_windows
@@ -181,3 +182,19 @@ def test_double_spends_that_come_too_late_are_left_out(spark):
     source.add([(5, "b", START + timedelta(seconds=300))])
     _, got = spends(spark, source, scratch_path(spark, "out"), scratch_path(spark, "checkpoint"), 1)
     assert [(r[1], r[3], r[4]) for r in got] == [(2, 1, 400_000)]
+
+
+def test_many_groups_share_a_bounded_number_of_states(spark, monkeypatch):
+    """With a state, and so a call of Python, for each group a batch took as long as there were groups."""
+    monkeypatch.setattr(double_spend_module, "BUCKETS", 3)
+    rng, source = random.Random(8), Source(spark)
+    given = [[(b * 1000 + i, rng.choice(["", None, "é", *map(str, range(40))]), START + timedelta(seconds=b * 20 + rng.randrange(80) / 4)) for i in range(200)] for b in range(3)]
+    for rows in given:
+        source.add(rows)
+    running, _ = spends(spark, source, scratch_path(spark, "open"), scratch_path(spark, "checkpoint"), 30)
+    assert 1 <= running.lastProgress["stateOperators"][0]["numRowsTotal"] <= 3
+    source.add([(-1, "end", START + timedelta(days=1))])
+    _, got = spends(spark, source, scratch_path(spark, "out"), scratch_path(spark, "checkpoint"), 30)
+    df = spark.createDataFrame([r for rows in given for r in rows], SCHEMA)
+    want = double_spend(df, ["k"], "ts", "id", 0.5).select("k", "id", "ts", "previous_id", "gap_micros")
+    assert got == sorted(map(tuple, want.collect()), key=str) and len(got) > 20
