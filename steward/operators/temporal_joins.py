@@ -115,10 +115,10 @@ def _level(length: Column) -> Column:
 
 
 def _binned(rows: DataFrame, levels: Column) -> DataFrame:
-    """A row per level of ``levels`` and bin of that size that the interval touches; ``_first`` is the first such bin."""
+    """A row per level of ``levels`` and bin of that size that the interval touches."""
     at_level = rows.withColumn("_bin_level", F.explode(levels))
     first, last = F.expr("shiftright(_from, _bin_level)"), F.expr("shiftright(_to - 1, _bin_level)")
-    return at_level.withColumn("_first", first).withColumn("_bin", F.explode(F.sequence("_first", last)))
+    return at_level.withColumn("_bin", F.explode(F.sequence(first, last)))
 
 
 def overlap_join(
@@ -139,6 +139,9 @@ def overlap_join(
     rows' own levels, and, where the right interval is the longer one, once among those of the right rows'. Shorter
     intervals are therefore shown at each longer level that the other side has, of which there are 63 at most. Cells with more than
     ``cell_rows`` rows of a side are dealt into parts by hash, and the other side is shown to each of the parts.
+
+    Rows whose key the other side lacks are left out first; the keys of both sides are stored in the shared scratch folder, which is
+    an action. The cells dealt into parts are broadcast, so a row is shuffled once for each of its bins.
     """
     pairs = [(k, k) if isinstance(k, str) else tuple(k) for k in on]
     left_keys, right_keys = [p[0] for p in pairs], [p[1] for p in pairs]
@@ -150,18 +153,22 @@ def overlap_join(
         whole = isinstance(df.schema[name].dataType, T.IntegralType)
         return F.col(f"`{name}`").cast("long") if whole else micros(F.col(f"`{name}`"))
 
-    def prepared(df: DataFrame, keys: Sequence[str], interval: tuple[str, str], columns: Sequence[str]) -> DataFrame:
+    def prepared(df: DataFrame, keys: Sequence[str], interval: tuple[str, str], columns: Sequence[str], side: str) -> DataFrame:
         out = df.select(
             *[c.alias(s) for c, s in zip(_named(keys), slots)], bound(df, interval[0]).alias("_from"),
-            bound(df, interval[1]).alias("_to"), F.struct(*_named(columns)).alias("_row"),
+            bound(df, interval[1]).alias("_to"), *[c.alias(f"_{side}{i}") for i, c in enumerate(_named(columns))],
         )
         own = _level(F.col("_to") - F.col("_from"))
         # Equal rows of different input partitions are dealt apart.
-        spread = F.xxhash64("_row", F.spark_partition_id())
+        spread = F.xxhash64(*[f"_{side}{i}" for i in range(len(columns))], F.spark_partition_id())
         return out.where(_all_given(_named(slots)) & (F.col("_from") < F.col("_to"))).withColumns({"_level": own, "_spread": spread})
 
-    a = prepared(left, left_keys, left_interval, left.columns)
-    b = prepared(right, right_keys, right_interval, given)
+    a = prepared(left, left_keys, left_interval, left.columns, "a")
+    b = prepared(right, right_keys, right_interval, given, "b")
+    if slots:
+        # Stored, so that their size is known and few keys are sent to the rows and not the rows to the keys.
+        shared = stored(a.select(*slots).distinct().join(b.select(*slots).distinct(), slots), "overlap-keys")
+        a, b = (rows.join(shared, slots, "left_semi") for rows in (a, b))
     levels_of = {}
     for side, rows in (("a", a), ("b", b)):
         levels_of[side] = sorted(r[0] for r in rows.select("_level").distinct().collect())  # 64 numbers at most
@@ -180,18 +187,22 @@ def overlap_join(
         hot = counts.groupBy(*cell).agg(*parts).where("_n > 0 AND _m > 0 AND _n + _m > 2")
 
         def dealt(rows: DataFrame, mine: str, others: str, names: tuple[str, str]) -> DataFrame:
-            cut = rows.join(hot, cell, "left")
+            # A hot cell has more than ``cell_rows`` rows of a side, so there are few.
+            cut = rows.join(F.broadcast(hot), cell, "left")
             cut = cut.withColumn(names[0], F.pmod("_spread", F.coalesce(F.col(mine), F.lit(1))).cast("int"))
             each = F.sequence(F.lit(0), F.coalesce(F.col(others), F.lit(1)) - 1)
             return cut.withColumn(names[1], F.explode(each)).drop("_n", "_m", "_spread", "_level")
 
         x = dealt(own, "_n", "_m", ("_p", "_q")).alias("x")
-        y = dealt(other, "_m", "_n", ("_q", "_p")).alias("y")
+        # A file's size tells nothing of the rows after they are shown in bins, so Spark is not to broadcast them for it.
+        y = dealt(other, "_m", "_n", ("_q", "_p")).hint("merge").alias("y")
         same = reduce(lambda p, q: p & q, [F.col(f"x.{c}") == F.col(f"y.{c}") for c in [*cell, "_p", "_q"]])
-        once = F.col("x._bin") == F.greatest("x._first", "y._first")
+        # The first bin that both touch is that of the later start.
+        once = F.col("x._bin") == F.expr("shiftright(greatest(x._from, y._from), x._bin_level)")
         overlaps = (F.col("x._from") < F.col("y._to")) & (F.col("y._from") < F.col("x._to"))
         return x.join(y, same & once & overlaps)
 
-    first = met(a, b, levels_of["a"], equal=True).select("x._row.*", "y._row.*")
-    second = met(b, a, levels_of["b"], equal=False).select("y._row.*", "x._row.*")
+    named = [F.col(f"_{side}{i}").alias(c) for side, columns in (("a", left.columns), ("b", given)) for i, c in enumerate(columns)]
+    first = met(a, b, levels_of["a"], equal=True).select(*named)
+    second = met(b, a, levels_of["b"], equal=False).select(*named)
     return first.unionAll(second)

@@ -146,3 +146,14 @@ def test_hot_cells_are_dealt_into_parts(spark):
     assert whole.count() == parts.count() == parts.distinct().count()
     assert "_p#" in parts._jdf.queryExecution().optimizedPlan().toString()
     assert temporal_joins.CELL_ROWS == 20_000
+
+
+def test_rows_are_shuffled_once_a_bin_and_without_foreign_keys(spark):
+    """Rows met the hot cells by a shuffle of their own, and keys that one side lacks were shown in every bin."""
+    l = spark.range(200).selectExpr("id AS i", "id % 2 AS k", "id AS a", "id + 5 AS b")
+    r = spark.range(5000).selectExpr("id AS j", "id AS k", "id % 200 AS c", "id % 200 + 9 AS d")
+    got = overlap_join(l, r, ("a", "b"), ("c", "d"), ["k"], cell_rows=3)
+    want = [(i, j) for i in range(200) for j in range(2) if i % 2 == j and i < j + 9 and j < i + 5]
+    assert sorted((x.i, x.j) for x in got.select("i", "j").collect()) == want
+    text = got._jdf.queryExecution().sparkPlan().toString()
+    assert text.count("SortMergeJoin") == 2 and "LeftSemi" in text and text.count("BroadcastHashJoin") >= 4
