@@ -33,8 +33,9 @@ ACCURACY = 0.01
 #: Share of a batch's filled values from which a value is kept. What is reported may be short of the truth by that share of the
 #: filled values of the batches that did not keep it.
 SUPPORT = 0.001
-#: Hash cells that pick the values worth counting one by one.
-CELLS = 1 << 16
+#: Hash cells that pick the values worth counting one by one. A cell is the first bits of the hash, so it lies in one register.
+CELL_BITS = 16
+CELLS = 1 << CELL_BITS
 
 SKETCH = T.StructType(
     [
@@ -47,6 +48,18 @@ _GAMMA = (1 + ACCURACY) / (1 - ACCURACY)
 #: Buckets of positive numbers are numbered from here up, of negative ones from its negative down; 0 is the number 0.
 _MIDDLE = 1 << 20
 
+# A slot is one number for a column, one of its two kinds of counters (cells, buckets) and the counter; a code adds a rank.
+_AT_BITS, _RANK_BITS = 30, 6
+_RANKS = 1 << _RANK_BITS
+
+
+def _slot(column: int, kind: int, at: Column) -> Column:
+    return F.lit((2 * column + kind) << _AT_BITS).cast("long") + at
+
+
+def _cell(digest: Column) -> Column:
+    return F.shiftrightunsigned(digest, 64 - CELL_BITS)
+
 
 def _bucket(number: Column) -> Column:
     """The bucket of a number; numbers in one differ by twice ``ACCURACY`` at most. NaN is the highest, infinities come next to it."""
@@ -69,8 +82,9 @@ def sketch_batch(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     """The sketch of the rows of ``df``: ``(column, kind, at, value, n)``.
 
     Values are compared as texts; empty ones count as absent, as in the profiles of ``operators.profile``. Quantiles are kept of
-    numeric columns. Two passes: the first counts registers, buckets and hash cells, of which each task has a bounded number before
-    anything is shuffled; the second counts, one by one, the values of the cells that hold enough to matter.
+    numeric columns. Two passes: the first counts hash cells, with the highest rank in each, and buckets, of which each task has a
+    bounded number before anything is shuffled; rows, filled values and registers are sums and maxima of cells. The second counts,
+    one by one, the values of the cells that hold enough to matter, and reads only the columns that have such cells.
     """
     fields = [f for f in df.schema.fields if columns is None or f.name in columns]
     if not fields or (columns is not None and len(fields) != len(set(columns))):
@@ -80,46 +94,72 @@ def sketch_batch(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     if refused:
         raise ValueError(f"columns without a text: {refused}")
 
-    def cell(f: T.StructField) -> Column:
-        held = F.col(f"`{f.name}`")
-        number = held.cast("double") if isinstance(f.dataType, T.NumericType) else F.lit(None).cast("double")
-        return F.struct(F.lit(f.name).alias("column"), F.nullif(held.cast("string"), F.lit("")).alias("value"), number.alias("number"))
+    texts, numbers = [f"_t{i}" for i in range(len(fields))], [f"_x{i}" for i in range(len(fields))]
+    held = [F.col(f"`{f.name}`") for f in fields]
+    # What is used several times is a column of a projection before, so that it is worked out once.
+    read = df.select(
+        *[F.nullif(c.cast("string"), F.lit("")).alias(t) for c, t in zip(held, texts)],
+        *[c.cast("double").alias(x) for f, c, x in zip(fields, held, numbers) if isinstance(f.dataType, T.NumericType)],
+    )
+    digests = [F.when(F.col(t).isNotNull(), F.xxhash64(t)).alias(f"_d{i}") for i, t in enumerate(texts)]
+
+    def cell_code(i: int) -> Column:
+        digest = F.col(f"_d{i}")
+        # The rank is the place of the first 1 in the bits that are not the register's.
+        left = digest.bitwiseAND(F.lit((1 << (64 - REGISTER_BITS)) - 1))
+        rank = F.when(left == 0, 64 - REGISTER_BITS + 1).otherwise(64 - REGISTER_BITS + 1 - F.octet_length(F.bin(left)))
+        return F.when(digest.isNull(), _slot(i, 0, F.lit(CELLS)) * _RANKS).otherwise(_slot(i, 0, _cell(digest)) * _RANKS + rank)
+
+    def size_code(i: int) -> Column:
+        number = F.col(f"_x{i}")
+        return F.when(number.isNull(), F.lit(-1).cast("long")).otherwise(_slot(i, 1, _bucket(number) + 4 * _MIDDLE) * _RANKS)
+
+    codes = [cell_code(i) for i in range(len(fields))]
+    codes += [size_code(i) for i, f in enumerate(fields) if isinstance(f.dataType, T.NumericType)]
+    coded = read.select("*", *digests).select(F.explode(F.array(*codes)).alias("_code")).where("_code >= 0")
+    slots = coded.groupBy(F.shiftright("_code", _RANK_BITS).alias("_slot")).agg(
+        F.max(F.col("_code").bitwiseAND(F.lit(_RANKS - 1))).alias("_rank"), F.count(F.lit(1)).alias("_count")
+    )
+    kept = stored(slots, "sketch")
 
-    cells = df.select(F.inline(F.array(*[cell(f) for f in fields])))
-    digest = F.xxhash64("value")
-    register = F.shiftrightunsigned(digest, 64 - REGISTER_BITS)
-    # The rank is the place of the first 1 in the bits left.
-    left = digest.bitwiseAND(F.lit((1 << (64 - REGISTER_BITS)) - 1))
-    rank = (64 - REGISTER_BITS) - F.length(F.conv(left.cast("string"), 10, 2)) + 1
-    rank = F.when(left == 0, 64 - REGISTER_BITS + 1).otherwise(rank)
+    which, at = F.shiftright("_slot", _AT_BITS), F.col("_slot").bitwiseAND(F.lit((1 << _AT_BITS) - 1))
+    column = F.get(F.array(*[F.lit(f.name) for f in fields]), F.shiftright(which, 1).cast("int"))
+    named = kept.select(column.alias("column"), "_slot", (which.bitwiseAND(F.lit(1)) == 0).alias("_is_cell"), at.alias("_at"), "_rank", "_count")
 
     def row(kind: str, at: Column, n: Column, given: Column) -> Column:
         full = F.struct(F.lit(kind).alias("kind"), at.cast("long").alias("at"), n.cast("long").alias("n"))
         return F.when(given, full)
 
-    there, one, nothing = F.col("value").isNotNull(), F.lit(1), F.lit(0)
+    is_cell, nothing, count = F.col("_is_cell"), F.lit(0), F.col("_count")
+    there = is_cell & (F.col("_at") < CELLS)
     parts = F.array_compact(
         F.array(
-            row("rows", nothing, one, F.lit(True)),
-            row("filled", nothing, one, there),
-            row("distinct", register, rank, there),
-            row("quantile", _bucket(F.col("number")), one, there & F.col("number").isNotNull()),
-            row("cell", F.pmod(F.xxhash64("value", F.lit(1)), F.lit(CELLS)), one, there),
+            row("rows", nothing, count, is_cell),
+            row("filled", nothing, count, there),
+            row("distinct", F.shiftright("_at", CELL_BITS - REGISTER_BITS), F.col("_rank"), there),
+            row("quantile", F.col("_at") - 4 * _MIDDLE, count, ~is_cell),
         )
     )
-    grouped = cells.select("column", F.inline(parts)).groupBy("column", "kind", "at")
-    counted = stored(_merged(grouped.agg(F.max("n").alias("_most"), F.sum("n").alias("_sum"))), "sketch")
-    filled = counted.where("kind = 'filled'").select("column", F.col("n").alias("_filled"))
-    # At most 1 / SUPPORT cells a column.
-    heavy = counted.where("kind = 'cell'").join(F.broadcast(filled), "column").where(F.col("n") >= F.col("_filled") * SUPPORT)
-    heavy = heavy.select("column", F.col("at").alias("_cell"), "_filled")
-    placed = cells.where(there).withColumn("_cell", F.pmod(F.xxhash64("value", F.lit(1)), F.lit(CELLS)))
+    grouped = named.select("column", F.inline(parts)).groupBy("column", "kind", "at")
+    counted = _merged(grouped.agg(F.max("n").alias("_most"), F.sum("n").alias("_sum")))
+    filled = named.where(there).groupBy("column").agg(F.sum("_count").alias("_filled"))
+    # At most 1 / SUPPORT cells a column, and most columns have none.
+    heavy = named.where(there).join(F.broadcast(filled), "column").where(F.col("_count") >= F.col("_filled") * SUPPORT)
+    heavy = heavy.select("column", "_slot", "_filled")
+    found = {r[0] for r in heavy.select("column").distinct().collect()}
+    values = [
+        F.struct(_slot(i, 0, _cell(F.xxhash64(t))).alias("_slot"), F.col(t).alias("value"))
+        for i, (f, t) in enumerate(zip(fields, texts)) if f.name in found
+    ]
+    names = SKETCH.names
+    small = counted.withColumn("value", F.lit(None).cast("string")).select(*names)
+    if not values:
+        return small
+    placed = read.select(F.inline(F.array(*values))).where(F.col("value").isNotNull())
     frequent = (
-        placed.join(F.broadcast(heavy), ["column", "_cell"]).groupBy("column", "value", "_filled").agg(F.count(F.lit(1)).alias("n"))
+        placed.join(F.broadcast(heavy), "_slot").groupBy("column", "value", "_filled").agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") >= F.col("_filled") * SUPPORT)
     )
-    names = SKETCH.names
-    small = counted.where("kind <> 'cell'").withColumn("value", F.lit(None).cast("string")).select(*names)
     return small.unionByName(frequent.withColumns({"kind": F.lit("frequent"), "at": F.lit(0).cast("long")}).select(*names))
 
 

@@ -9,6 +9,7 @@ from itertools import permutations
 import pytest
 from pyspark.sql import functions as F
 
+from steward.operators import sketches as sketches_module
 from steward.operators.fields import merged_fields, nested_fields, type_conflicts
 from steward.operators.grains import cube, rollup, totals_by_grains
 from steward.operators.sketches import (
@@ -178,3 +179,17 @@ def test_fields_merge_and_conflict(spark):
 def test_counts_combine_before_the_shuffle(spark, sf):
     text = merged_fields([spark.createDataFrame([("a", "b", 1)], "path string, type string, n long")])
     assert "partial_sum" in text._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_batch_makes_two_counters_a_value(spark):
+    """Five counters a value, each with the names of its column and kind, were hashed; cells hold what rows and registers need."""
+    df = spark.createDataFrame(numbers(3, 500), SCHEMA)
+    rows = []
+    keep = sketches_module.stored
+    try:
+        sketches_module.stored = lambda counted, label: rows.append(counted) or keep(counted, label)
+        sketch_batch(df)
+    finally:
+        sketches_module.stored = keep
+    counted = rows[0].select("_slot", "_count").collect()
+    assert sum(r["_count"] for r in counted) == 3 * 500 + df.where("x IS NOT NULL").count() + df.where("`i.j` IS NOT NULL").count()
